@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from utterlake.llm import tokens
+from utterlake.llm import chat, decontam, mixing, tokens, warc
+from utterlake.llm.common import cut, shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +28,112 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type and payload of each page's record, as read back from the archives."""
+    out = shared_dir(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), out)
+    return warc.read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL_OP4 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha256(coalesce(html, '')) AS digest, octet_length(encode(coalesce(html, ''))) AS n
+  FROM pages),
+f AS (SELECT digest, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY digest)
+SELECT page_id, n::BIGINT AS payload_bytes, p.digest AS payload_digest,
+  CASE WHEN first_id IS NULL OR first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f ON p.digest = f.digest AND p.n >= 100
+"""
+
+
+def op6_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside windows of the benchmark."""
+    return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+SQL_OP6 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+dw AS (
+  SELECT k, i, n, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT k, i, dw.n, item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.n = bw.n),
+words AS (SELECT k, count(DISTINCT j) AS n_hit FROM (SELECT DISTINCT k, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT k, i, n FROM hit)) GROUP BY k),
+items AS (SELECT k, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT k, item_id::VARCHAR AS id FROM hit) GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
+"""
+
+
+def op8_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each conversation, read back from formatted segments and prefix-target examples."""
+    odd = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    formatted = cut(chat.format_turns(turns), "chat-segments")
+    trained = cut(chat.examples(formatted), "chat-examples")
+    return chat.read_back(formatted, trained)
+
+
+SQL_OP8 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(12 + length(replace(replace(replace(role, chr(92), '\s'), '<', '\l'), chr(10), '\n')) + 1
+      + length(replace(replace(text, chr(92), '\s'), '<', '\l')) + 11)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of each document."""
+    rows = mixing.copies(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("n_copies")).alias("taken"))
+
+
+SQL_OP9 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight FROM s),
+l AS (
+  SELECT *, source_size / weight AS fill,
+    (1.5::DOUBLE * sum(source_size) OVER ()
+     - coalesce(sum(source_size * 2) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w),
+g AS (SELECT level FROM l WHERE source_size * 2 > weight * level ORDER BY fill, source NULLS LAST LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN source_size * 2 <= weight * level THEN (source_size * 2)::DOUBLE ELSE weight * (SELECT level FROM g) END AS target FROM l),
+r AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE target / source_size END AS rate FROM t)
+SELECT doc_id, size, source_size, target,
+  (size * (floor(rate) + CASE WHEN ('0x' || substr(md5('9:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+"""
+
+_QUERIES = [
+    (op1_token_output, None),
+    (op4_warc_revisits, SQL_OP4),
+    (op6_benchmark_hits, SQL_OP6),
+    (op8_chat_examples, SQL_OP8),
+    (op9_source_mix, SQL_OP9),
+]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_token_output": op1_token_output}
+    return {f.__name__: f for f, _ in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {f.__name__: sql for f, sql in _QUERIES if sql}

@@ -7,11 +7,14 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dir: list[str] = []
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
@@ -28,6 +31,21 @@ def shared_dir(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/utterlake/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers of a session, in case they cannot import it by themselves."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="utterlake-")) / f"{package.name}.zip"
+    atexit.register(shutil.rmtree, target.parent, True)
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(package.rglob("*.py")):
+            z.write(p, p.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: what follows doesn't recompute it, whatever executor is lost."""
     path = shared_dir(df.sparkSession, tag)

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterlake.llm import chat, decontam, mixing, tokens, warc
-from utterlake.llm.common import cut, shared_dir
+from utterlake.llm import chat, decontam, mixing, near, tokens, topk, warc
+from utterlake.llm.common import cut, shared_dir, ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,6 +29,24 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of each query with all other vectors."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+SQL_OP2 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 5
+"""
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type and payload of each page's record, as read back from the archives."""
     out = shared_dir(spark, "warc")
@@ -73,6 +92,30 @@ FROM d LEFT JOIN words USING (k) LEFT JOIN items USING (k)
 """
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of each document under links of at least 80 % shared two-word shingles."""
+    return near.near_duplicates(_table(spark, sf_dir, "documents"), words=2)
+
+
+SQL_OP7 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS doc_id, b AS reach FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a),
+c AS (SELECT doc_id, min(reach) AS least FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(least, d.doc_id)) AS component_id,
+  least(d.doc_id, coalesce(least, d.doc_id)) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
 def op8_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each conversation, read back from formatted segments and prefix-target examples."""
     odd = "</s>[INST] ok [/INST]"
@@ -124,8 +167,10 @@ FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 
 _QUERIES = [
     (op1_token_output, None),
+    (op2_top_products, SQL_OP2),
     (op4_warc_revisits, SQL_OP4),
     (op6_benchmark_hits, SQL_OP6),
+    (op7_near_duplicates, SQL_OP7),
     (op8_chat_examples, SQL_OP8),
     (op9_source_mix, SQL_OP9),
 ]

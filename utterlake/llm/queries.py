@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterlake.llm import chat, decontam, mixing, near, tokens, topk, warc
+from utterlake.llm import chat, decontam, licences, mixing, near, quality, tokens, topk, warc
 from utterlake.llm.common import cut, shared_dir, ship
 
 
@@ -66,6 +66,11 @@ FROM p LEFT JOIN f ON p.digest = f.digest AND p.n >= 100
 """
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document."""
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside windows of the benchmark."""
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -165,19 +170,35 @@ SELECT doc_id, size, source_size, target,
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: source / thousands / fifties / name, where each fiftieth document is a licence file."""
+    n = F.col("doc_id")
+    name = F.when(n % 50 == 0, F.lit("LICENSE")).otherwise(F.concat(n.cast("string"), F.lit(".txt")))
+    return docs.withColumn("path", F.concat_ws("/", "source", F.floor(n / 1000).cast("string"), F.floor(n / 50).cast("string"), name))
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of each document, by itself or from its directories."""
+    return licences.scan(as_files(_table(spark, sf_dir, "documents")))
+
+
 _QUERIES = [
     (op1_token_output, None),
     (op2_top_products, SQL_OP2),
     (op4_warc_revisits, SQL_OP4),
+    (op5_quality, None),
     (op6_benchmark_hits, SQL_OP6),
     (op7_near_duplicates, SQL_OP7),
     (op8_chat_examples, SQL_OP8),
     (op9_source_mix, SQL_OP9),
+    (op10_licences, None),
 ]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f, _ in _QUERIES}
+    import corpus_pipeline
+
+    return {f.__name__: f for f, _ in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

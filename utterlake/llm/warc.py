@@ -31,19 +31,18 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def resolve(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 100) -> DataFrame:
     """A row for each page: page_id, url, payload, digest, n_bytes, copy (from 1), record_type, refers_to, refers_url."""
     own = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("payload"))
-    own = own.withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.octet_length("payload").cast("long")})
-    heads = own.select("page_id", "url", "digest", "n_bytes").where(F.col("n_bytes") >= min_bytes)
-    first = F.min(F.struct(F.col("page_id").isNull().alias("unnamed"), F.col("page_id").alias("id"), F.col("url").alias("url")))
-    origins = heads.groupBy("digest").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1").select("digest", "first")
-    repeats = heads.select("page_id", "digest").distinct().join(origins, "digest").select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "first")
-    same = own["page_id"].eqNullSafe(repeats["_id"]) & (own["digest"] == repeats["_digest"])
-    rows = own.join(repeats, same, "left").drop("_id", "_digest")
-    rows = rows.withColumn("copy", F.row_number().over(W.partitionBy("page_id", "digest").orderBy("url")))
-    revisit = F.col("first").isNotNull() & ~(F.col("first.id").eqNullSafe(F.col("page_id")) & (F.col("copy") == 1))
+    own = own.withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.octet_length("payload").cast("long"), "unnamed": F.col("page_id").isNull(), "id": F.coalesce("page_id", F.lit(0).cast("long"))})
+    heads = own.select("unnamed", "id", "page_id", "url", "digest", "n_bytes").where(F.col("n_bytes") >= min_bytes)
+    origins = heads.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("unnamed", "page_id", "url")).alias("first")).where("n > 1").select("digest", "first")
+    repeats = heads.select("unnamed", "id", "digest").distinct().join(origins, "digest")
+    # join and window share their keys, so payloads are shuffled once
+    page = ["unnamed", "id", "digest"]
+    rows = own.join(repeats, page, "left").withColumn("copy", F.row_number().over(W.partitionBy(*page).orderBy("url")))
+    revisit = F.col("first").isNotNull() & ~(F.col("first.page_id").eqNullSafe(F.col("page_id")) & (F.col("copy") == 1))
     return rows.select(
         "page_id", "url", "payload", "digest", "n_bytes", "copy",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("first.id")).alias("refers_to"),
+        F.when(revisit, F.col("first.page_id")).alias("refers_to"),
         F.when(revisit, F.col("first.url")).alias("refers_url"),
     )
 

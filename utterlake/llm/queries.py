@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterlake.llm import chat, decontam, licences, mixing, near, quality, tokens, topk, warc
+from utterlake.llm import chat, decontam, licences, mixing, near, quality, substrings, tokens, topk, warc
 from utterlake.llm.common import cut, shared_dir, ship
 
 
@@ -47,6 +47,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+def op3_substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without bytes covered by repeated 400-byte strings."""
+    return substrings.removal(_table(spark, sf_dir, "documents"))
+
+
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Type and payload of each page's record, as read back from the archives."""
     out = shared_dir(spark, "warc")
@@ -185,6 +190,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = [
     (op1_token_output, None),
     (op2_top_products, SQL_OP2),
+    (op3_substring_removal, None),
     (op4_warc_revisits, SQL_OP4),
     (op5_quality, None),
     (op6_benchmark_hits, SQL_OP6),

@@ -22,9 +22,16 @@ def query(sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    """Import the modules whose queries register themselves."""
+    from utterlake.plans import lexical, relational, scalar, transcripts  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)

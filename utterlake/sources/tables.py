@@ -33,9 +33,14 @@ def catalogue(spark: SparkSession, report: str) -> DataFrame:
 
 def corpus_roots(spark: SparkSession, root: str, marker: str = ".zip_placeholder") -> DataFrame:
     """Folders that hold a marker file: folder, name."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{marker}").load(root).select("path")
-    folder = F.regexp_replace("path", r"/[^/]*$", "")
-    return files.select(folder.alias("folder"), F.element_at(F.split(folder, "/"), -1).alias("name")).distinct()
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listing = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    folders = set()  # markers are empty, and Spark's readers pass over empty files
+    while listing.hasNext():
+        file = listing.next().getPath()
+        if file.getName().endswith(marker):
+            folders.add((file.getParent().toString(), file.getParent().getName()))
+    return spark.createDataFrame(sorted(folders), "folder string, name string")
 
 
 def tagged_csv(spark: SparkSession, pattern: str, schema: T.StructType | None = None) -> DataFrame:

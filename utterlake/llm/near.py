@@ -10,8 +10,8 @@ bucket. Of each bucket, pairs are tested on their full sets until its members ar
 been tested:
   1. each class with the first class (in a hashed order) of its buckets: one test a class settles most groups, whatever their size;
   2. buckets of up to SMALL classes: every pair not yet in one component;
-  3. larger buckets: again one test a class, in other hashed orders, HUB_ROUNDS times;
-  4. what is left: the classes outside a bucket's largest component against all its classes, block by block.
+  3. larger buckets: each class outside a bucket's largest component against all classes of that component, and then the
+     classes outside against each other, block by block with their sets, until a link to each component is found.
 A pair is left untested only if its estimated similarity (of BANDS * ROWS coordinates) is below the threshold by FLOOR, or if
 a path already joins it, so no group is listed pair by pair and none is capped.
 
@@ -34,9 +34,9 @@ from utterlake.llm.common import cut, drop_cut, hash_spans, joined_bytes, mix64,
 
 BANDS, ROWS = 32, 5
 CIRCLE_BITS = 20
-SMALL, HUB_ROUNDS = 16, 5
+SMALL = 16
 FLOOR = 0.2
-STRAYS, MEMBERS = 256, 2048
+STRAYS, MEMBERS = 512, 2048
 
 #: Bytes of words: all but white space, with capitals made small.
 _WORD = np.arange(256, dtype=np.uint8)
@@ -145,6 +145,7 @@ class _Links:
 
     def __init__(self, members: DataFrame, classes: DataFrame, sets: DataFrame, k: int, part: int, whole: int):
         self.sigs = classes.select("key", "sig")
+        self.known = sets.join(self.sigs, "key")
         self.sets, self.k, self.part, self.whole = sets, k, part, whole
         self.labels = cut(members.select("key").distinct().withColumn("comp", F.col("key")), "near-labels")
         self.tested: DataFrame | None = None
@@ -179,6 +180,9 @@ class _Links:
         edges = cut(_both(likely, self.sets, "hashes").mapInArrow(similar, "a binary, b binary"), "near-edges")
         self.labels = merge_labels(self.labels, edges)
 
+    def add(self, edges: DataFrame) -> None:
+        self.labels = merge_labels(self.labels, cut(edges, "near-edges"))
+
     def open_buckets(self, members: DataFrame) -> DataFrame:
         """The rows (band, key, comp) of members whose buckets hold more than one component, with the bucket's size m."""
         rows = members.select("band", "key").join(self.labels, "key")
@@ -196,8 +200,8 @@ def _both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
 def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """labels (key, comp) after joining the components of each edge (a, b).
 
-    Every component hooks onto the least of its neighbours, trees are flattened by pointer jumping, and the edges
-    between what is left go through the same again: the number of components falls by half a round at least.
+    Every component hooks onto the least of its neighbours, pointers jump twice in the same plan, and the edges between what
+    is left go through the same again: each round at least halves the components that have edges.
     """
 
     def between(edges: DataFrame, names: DataFrame, key: str, comp: str) -> DataFrame:
@@ -209,13 +213,11 @@ def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
     left = between(edges, labels, "key", "comp")
     while left.take(1):
         ends = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        roots = cut(ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")), "near-roots")
-        while True:
+        roots = ends.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
+        for _ in range(2):
             up = roots.select(F.col("a").alias("root"), F.col("root").alias("above"))
-            further = cut(roots.join(up, "root").select("a", F.col("above").alias("root"), (F.col("above") != F.col("root")).alias("moved")), "near-roots")
-            roots = further.select("a", "root")
-            if not further.where("moved").take(1):
-                break
+            roots = roots.join(up, "root").select("a", F.col("above").alias("root"))
+        roots = cut(roots, "near-roots")
         top = roots.select(F.col("a").alias("comp"), "root")
         labels = cut(labels.join(top, "comp", "left").select("key", F.coalesce("root", "comp").alias("comp")), "near-labels")
         left = between(left, roots, "a", "root")
@@ -226,14 +228,6 @@ def _pairs(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _hub_pairs(rows: DataFrame, number: int) -> DataFrame:
-    """One pair for each class: with the first, in hashed order `number`, of the hubs of its buckets that lie in another component."""
-    order = W.partitionBy("band").orderBy(_order("key", number), "key")
-    hubs = rows.withColumns({"hub": F.first("key").over(order), "hub_comp": F.first("comp").over(order)}).where("comp <> hub_comp")
-    best = hubs.groupBy("key").agg(F.min(F.struct(_order("hub", number).alias("o"), "hub")).alias("best"))
-    return best.select(*_pairs(F.col("key"), F.col("best.hub"))).distinct()
-
-
 def _all_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of different components in buckets of at most SMALL classes."""
     small = rows.where(F.col("m") <= SMALL)
@@ -241,34 +235,121 @@ def _all_pairs(rows: DataFrame) -> DataFrame:
     return x.join(y, "band").where("x < y AND cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
-def _stray_pairs(rows: DataFrame, sigs: DataFrame, k: int, least: float) -> DataFrame:
-    """Likely pairs between classes outside a bucket's largest component and all its classes, found block by block."""
+def _shared(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many elements of sorted `one` each of the others holds."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(one, flat), len(one) - 1)
+    lens = np.array([len(o) for o in others])
+    return np.add.reduceat((one[at] == flat).astype(np.int64), np.cumsum(lens) - lens)
+
+
+class _Block:
+    """Classes with signatures and sets, to look for links between them."""
+
+    def __init__(self, table: pa.Table, k: int, part: int, whole: int):
+        self.keys = table.column("key").to_pylist()
+        self.comp = table.column("comp").to_pylist()
+        self.sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u2").reshape(-1, k)
+        self.sets = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+        self.least, self.part, self.whole = (part / whole - FLOOR) * k, part, whole
+
+    def links(self, i: int, others: np.ndarray):
+        """Those of others that are similar to i, the likeliest first, tested a few at a time."""
+        same = (self.sig[others] == self.sig[i]).sum(axis=1)
+        order = np.argsort(-same, kind="stable")
+        order = others[order[same[order] >= self.least]]
+        for a in range(0, len(order), 32):
+            some = order[a : a + 32]
+            both = _shared(self.sets[i], [self.sets[j] for j in some])
+            union = len(self.sets[i]) + np.array([len(self.sets[j]) for j in some]) - both
+            yield from some[self.whole * both >= self.part * union].tolist()
+
+    def edge(self, i: int, j: int) -> tuple[bytes, bytes]:
+        return tuple(sorted((self.keys[i], self.keys[j])))
+
+
+def _edge_table(edges: list) -> pa.Table:
+    a, b = zip(*edges) if edges else ((), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _largest(rows: DataFrame) -> DataFrame:
+    """rows (band, key, comp) with big, the component that has most classes in the bucket."""
     sizes = rows.groupBy("band", "comp").count()
-    largest = sizes.groupBy("band").agg(F.max(F.struct("count", "comp"))["comp"].alias("big"))
-    rows = rows.join(largest, "band").join(sigs, "key")
-    stray = F.col("comp") != F.col("big")
-    place = W.partitionBy("band", stray.cast("int")).orderBy("key")
-    rows = rows.withColumn("at", F.row_number().over(W.partitionBy("band").orderBy("key")) - 1)
-    rows = rows.withColumn("stray_at", F.when(stray, F.row_number().over(place) - 1))
-    counts = rows.groupBy("band").agg(F.max("at").alias("last"), F.max("stray_at").alias("last_stray"))
-    rows = rows.join(counts, "band")
-    one = rows.where(stray).select("band", F.floor(F.col("stray_at") / STRAYS).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / MEMBERS))).alias("j"), "key", "comp", "sig", F.lit(True).alias("stray"))
-    other = rows.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last_stray") / STRAYS))).alias("i"), F.floor(F.col("at") / MEMBERS).alias("j"), "key", "comp", "sig", F.lit(False).alias("stray"))
+    return rows.join(sizes.groupBy("band").agg(F.max(F.struct("count", "comp"))["comp"].alias("big")), "band")
+
+
+def _in_chunks(rows: DataFrame, by: str, size: int, chunk: str) -> DataFrame:
+    n = F.row_number().over(W.partitionBy(by).orderBy("key"))
+    return rows.withColumn(chunk, F.floor((n - 1) / size))
+
+
+def _until(last: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(last)))
+
+
+def _outside_links(rows: DataFrame, links: _Links) -> DataFrame:
+    """Links (a, b) between classes outside a bucket's largest component and that component, one for each class at most."""
+    outside = _largest(rows).where("comp <> big").select("big", "key").distinct()
+    inside = links.labels.join(outside.select(F.col("big").alias("comp")).distinct(), "comp").select(F.col("comp").alias("big"), "key")
+    outside, inside = _in_chunks(outside, "big", STRAYS, "i"), _in_chunks(inside, "big", MEMBERS, "j")
+    last = outside.groupBy("big").agg(F.max("i").alias("last_i")).join(inside.groupBy("big").agg(F.max("j").alias("last_j")), "big")
+    one = outside.join(last, "big").select("big", "i", _until("last_j").alias("j"), "key", F.lit(True).alias("stray"))
+    other = inside.join(last, "big").select("big", _until("last_i").alias("i"), "j", "key", F.lit(False).alias("stray"))
+    k, part, whole = links.k, links.part, links.whole
 
     def block(table: pa.Table) -> pa.Table:
-        t = table.to_pydict()
-        sig = np.frombuffer(b"".join(t["sig"]), "<u2").reshape(-1, k)
-        s, o = np.flatnonzero(t["stray"]), np.flatnonzero(~np.array(t["stray"]))
-        a, b = [], []
-        for i in s.tolist():
-            for n in o[(sig[o] == sig[i]).sum(axis=1) >= least].tolist():
-                if t["comp"][n] != t["comp"][i]:
-                    lo, hi = sorted((t["key"][i], t["key"][n]))
-                    a.append(lo)
-                    b.append(hi)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        b = _Block(table, k, part, whole)
+        stray = np.array(table.column("stray").to_pylist(), bool)
+        members = np.flatnonzero(~stray)
+        first = ((i, next(b.links(i, members), None)) for i in np.flatnonzero(stray).tolist())
+        return _edge_table([b.edge(i, j) for i, j in first if j is not None])
 
-    return one.unionByName(other).groupBy("band", "i", "j").applyInArrow(block, "a binary, b binary").distinct()
+    both = one.unionByName(other).join(links.known, "key").withColumn("comp", F.col("big"))
+    return both.groupBy("big", "i", "j").applyInArrow(block, "a binary, b binary")
+
+
+def _bands_of(sig: np.ndarray, one: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """The first band in which each signature agrees with one."""
+    return (sig == one).reshape(len(sig), bands, rows).all(axis=2).argmax(axis=1)
+
+
+def _stray_links(rows: DataFrame, links: _Links, bands: int, n_rows: int) -> DataFrame:
+    """Links (a, b) between classes outside their bucket's largest component; a pair is looked at in the first bucket that it shares."""
+    stray = _in_chunks(_largest(rows).where("comp <> big").select("band", "key", "comp"), "band", STRAYS, "c")
+    stray = stray.join(stray.groupBy("band").agg(F.max("c").alias("last")), "band").withColumn("d", _until("last"))
+    stray = stray.select("band", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"), "c", "key", "comp")
+    k, part, whole = links.k, links.part, links.whole
+
+    def block(table: pa.Table) -> pa.Table:
+        b = _Block(table, k, part, whole)
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        chunk = np.array(table.column("c").to_pylist())
+        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        # the bucket's own band: the one in which all its classes agree and, of those, the least; checked pair by pair
+        root = {c: c for c in b.comp}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        common = (b.sig == b.sig[0]).reshape(len(b.sig), bands, n_rows).all(axis=2).all(axis=0)
+        own = int(common.argmax())
+        edges = []
+        for x in left.tolist():
+            others = right[right > x] if i == j else right
+            if not len(others):
+                continue
+            others = others[_bands_of(b.sig[others], b.sig[x], bands, n_rows) == own] if common.any() else others
+            for y in b.links(x, np.array([y for y in others.tolist() if find(b.comp[y]) != find(b.comp[x])], np.int64)):
+                if find(b.comp[x]) != find(b.comp[y]):
+                    root[find(b.comp[x])] = find(b.comp[y])
+                    edges.append(b.edge(x, y))
+        return _edge_table(edges)
+
+    return stray.join(links.known, "key").groupBy("band", "i", "j").applyInArrow(block, "a binary, b binary").distinct()
 
 
 def _set_table(texts: DataFrame, words: int) -> DataFrame:
@@ -311,16 +392,9 @@ def components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
     links.test(best.select(*_pairs(F.col("key"), F.col("best.hub"))).distinct())
     left = links.open_buckets(members)
     links.test(_all_pairs(left))
-    left = left.where(F.col("m") > SMALL)
-    for number in range(1, HUB_ROUNDS + 1):
-        left = links.open_buckets(left)
-        if not left.take(1):
-            break
-        links.test(_hub_pairs(left, number))
-    else:
-        left = links.open_buckets(left)
-        if left.take(1):
-            links.test(_stray_pairs(left, links.sigs, k, (threshold[0] / threshold[1] - FLOOR) * k))
+    left = links.open_buckets(left.where(F.col("m") > SMALL))
+    if left.take(1):  # both over the same components, so that together they cover every pair of a bucket
+        links.add(_outside_links(left, links).unionByName(_stray_links(left, links, bands, rows)))
 
     named = classes.select("key", "doc_id").join(links.labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

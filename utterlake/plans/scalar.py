@@ -95,12 +95,6 @@ def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
-@query("""SELECT * FROM (VALUES (1, 'n|dog v|BRK', ['n|dog', 'v|run']), (2, 'x', ['BRK', 'v|go'])) x(id, a, b) WHERE false""")
-def empty_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query without rows keeps its columns."""
-    return spark.createDataFrame([], "id int, a string, b array<string>")
-
-
 @query("""SELECT * FROM (VALUES
   (1, ['BRK', 'BRK', 'pro|I', 'v|want', 'n|milk']), (2, ['BRK', 'n|dog', 'v|run']), (3, ['pro|you', 'v|see']), (4, ['EXC', 'n|cat', 'NON-LINGUISTIC']), (5, ['NO_UTT']), (6, NULL)) x(id, mor)""")
 def reformulation_realign(spark: SparkSession, sf_dir: str) -> DataFrame:

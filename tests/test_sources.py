@@ -132,7 +132,7 @@ def release(spark, tmp_path_factory):
     (root / "d.json").write_text(document(pid=None, people=two, lines=[line("CHI", [word("two")])]))
     (root / "e.json").write_text("{")
     docs = chat_json.read(spark, str(root)).withColumns({"collection_name": F.lit("Eng"), "corpus_name": F.lit("Brown")})
-    corpora = spark.createDataFrame([("Eng", "Brown", "CHILDES")], "collection_name string, corpus_name string, data_source string")
+    corpora = spark.createDataFrame([("Eng", "Brown", "bank")], "collection_name string, corpus_name string, data_source string")
     return {k: v.cache() for k, v in build.release(docs, corpora).items()}
 
 
@@ -175,10 +175,12 @@ def test_release_roundtrip(spark, release, tmp_path):
 
     for name, df in release.items():
         tables.write_table(df, f"file://{tmp_path}", "2026.1", name)
+    tables.write_table(build.admin(spark, "2026.1", "2026-02-01"), f"file://{tmp_path}", "2026.1", "admin")
     tables.write_table(release["token"].limit(0), f"file://{tmp_path}", "empty", "token")
     r = Release(spark, f"file://{tmp_path}", "2026.1")
     assert r.tokens("d%").count() == 2 and r.tokens(role="Target_Child", age=(0, 28)).count() == 5
     assert r.sql("SELECT count(*) AS n FROM utterance WHERE speaker_code = :who", who="CHI").first().n == 4
+    assert str(r.table("admin").first().date) == "2026-02-01"
     assert r.collections().first().name == "Eng" and r.speaker_statistics(role="Mother").count() == 2
     assert Release(spark, f"file://{tmp_path}", "empty").table("token").count() == 0
     counts = spark.createDataFrame([("token", 10), ("utterance", 5)], "name string, rows long")

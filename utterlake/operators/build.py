@@ -6,7 +6,7 @@ position. Numbering windows are partitioned by corpus; AQE spreads everything el
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -164,6 +164,12 @@ def frequencies(token: DataFrame, key: list[str], gloss: str = "gloss") -> DataF
     return token.where(F.col(gloss) != "").groupBy(*key, gloss).agg(F.count("*").cast("int").alias("count"))
 
 
+def admin(spark: SparkSession, version: str, date: str | None = None) -> DataFrame:
+    """The one-row table of a release's date (today, if none is given) and version."""
+    day = F.lit(date).cast("date") if date else F.current_date()
+    return spark.range(1).select(F.lit(1).cast("long").alias("id"), day.alias("date"), F.lit(version).alias("version"))
+
+
 def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of documents (chat_json.DOCUMENT with corpus_name and collection_name) and their corpora, as schemas.TABLES has them."""
     collection, corpus = dimensions(corpora)

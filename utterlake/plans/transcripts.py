@@ -66,7 +66,7 @@ def json_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = f"{_folder(spark)}/documents"
     chat_json.parsed(as_json(utt(spark, sf_dir))).write.parquet(parsed)  # parsed once, read by every table
     docs = spark.read.parquet(parsed).withColumns({"collection_name": F.lit("Test"), "corpus_name": F.lit("Conversations")})
-    corpora = spark.createDataFrame([("Test", "Conversations", "CHILDES")], "collection_name string, corpus_name string, data_source string")
+    corpora = spark.createDataFrame([("Test", "Conversations", "bank")], "collection_name string, corpus_name string, data_source string")
     tables = build.release(docs, corpora)
     files = tables["transcript"].select(F.col("id").alias("transcript_id"), "filename")
     whole = [F.col(c).cast("long").alias(c) for c in ("num_utterances", "num_tokens", "num_types")]

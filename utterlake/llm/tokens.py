@@ -38,7 +38,9 @@ SEEK_FRAME, INDEX_FRAME, PAD_FRAME = 0x184D2A5E, 0x184D2A5D, 0x184D2A50
 PAD = struct.pack("<II", PAD_FRAME, len(SEEK_MAGIC))
 FRAME_IDS = 1 << 16
 #: Units that a worker remembers; beyond, it starts afresh. Changes speed, never ids.
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 500_000
+#: Bytes of text that are encoded at a time (or one longer text).
+SLICE = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = True
@@ -184,7 +186,7 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, end_id: int, frame_ids
 
     for batch in batches:
         names, texts = batch.column(0), batch.column(1)
-        for a, b in text_slices(texts):
+        for a, b in text_slices(texts, SLICE):
             ids, n = enc.encode(texts.slice(a, b - a).to_pylist())
             docs.extend(names.slice(a, b - a).to_pylist())
             counts.append(n)

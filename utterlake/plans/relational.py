@@ -274,7 +274,7 @@ def participants_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min(known).alias("min_age"), F.max(known).alias("max_age"), F.min_by("event_type", "event_id").alias("first_type"))
 
 
-@query("""SELECT a.lang, a.n, round((a.top / a.n::DOUBLE + b.top / a.n::DOUBLE) / 2, 4), a.others = 1 AND b.others = 1 FROM
+@query("""SELECT a.lang, a.n, round((a.top / a.n::DOUBLE + b.top / a.n::DOUBLE) / 2, 4) AS score, a.others = 1 AND b.others = 1 AS passes FROM
 (SELECT lang, sum(top) AS top, max(o) AS others, sum(n)::BIGINT AS n FROM (SELECT lang, s, max(c) AS top, count(*) AS o, sum(c) AS n FROM (SELECT lang, source AS s, n_chars % 5 AS t, count(*) AS c FROM documents GROUP BY ALL) GROUP BY ALL) GROUP BY lang) a
 JOIN (SELECT lang, sum(top) AS top, max(o) AS others FROM (SELECT lang, t, max(c) AS top, count(*) AS o FROM (SELECT lang, source AS s, n_chars % 5 AS t, count(*) AS c FROM documents GROUP BY ALL) GROUP BY ALL) GROUP BY lang) b USING (lang)""")
 def partition_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:

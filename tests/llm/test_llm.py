@@ -409,3 +409,37 @@ def test_licence_scores_are_plain_cosines(spark, texts):
         want = best if best[1] >= licences.THRESHOLD else (None, None)
         assert got[i].own_licence == want[0]
         assert want[1] is None or got[i].own_score == pytest.approx(want[1])
+
+
+@pytest.mark.parametrize("common", [3, 20_000])
+def test_licence_weights_of_all_words(spark, monkeypatch, common):
+    """Scores against TF-IDF cosines by their definition; ordinary words around a statement cost it little."""
+    monkeypatch.setattr(licences, "COMMON", common, raising=False)
+    monkeypatch.setattr(licences, "HELD", 50, raising=False)
+    monkeypatch.setattr(licences, "FLUSH", 40, raising=False)
+    rng = random.Random(4)
+    docs = [f"en on be {prose(rng, rng.choice([3, 30]))}" for _ in range(120)]
+    docs[3] = "be en\nen Licensed under the Apache License, Version 2.0. on be"
+    docs[4] = docs[3]
+    docs[5] = "on\nw1 Released under the MIT License. w2 w3 w4 w5 w6"
+    docs[6] = "be on all rights reserved be\nw7 all w8 rights"
+    docs[7] = "All rights reserved.\n\n" + docs[7]
+    paths = [f"d/{'LICENSE' if i in (6, 7) else i}.{i}" for i in range(len(docs))]
+    split = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.translate(LOWER))
+    held = Counter(w for t in docs for w in set(split(t)))
+    idf = lambda w: np.log((len(docs) + 1) / (held[w] + 1)) + 1
+
+    def cosine(a, b):
+        a, b = ({w: n * idf(w) for w, n in Counter(split(t)).items()} for t in (a, b))
+        norm = np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(a[w] * b[w] for w in a.keys() & b.keys()) / norm if norm else 0.0
+
+    df = spark.createDataFrame([(i, paths[i], t) for i, t in enumerate(docs)], "doc_id long, path string, text string").repartition(3)
+    got = {r.doc_id: r for r in licences.own_licences(df).collect()}
+    assert len(got) == len(docs)
+    for i, t in enumerate(docs):
+        tried = [*t.split("\n"), *([t] if i in (6, 7) else [])]
+        score, name = max(((cosine(x, y), name) for x in tried for name, y in licences.TEMPLATES), key=lambda x: x[0])
+        assert got[i].own_licence == (name if score >= licences.THRESHOLD else None), i
+        assert got[i].own_score == (pytest.approx(score) if score >= licences.THRESHOLD else got[i].own_score), i
+    assert got[3].own_licence == got[4].own_licence == "Apache-2.0"

@@ -1,13 +1,14 @@
 """Licence scan: sparse TF-IDF cosine of lines and licence files to templates, then inheritance down directories.
 
 Every line of every text, and every licence file as a whole, is a passage. A passage's vector holds its words with weight
-tf * idf; idf comes from the number of documents that hold a word, counted over all documents for the templates' words, while any
-other word weighs as one found nowhere. A document's own licence is that of the most similar template if the cosine reaches
-`threshold`. A document without one takes that of the nearest directory at or above its own that has a licence file
+tf * idf; idf comes from the number of documents that hold a word, counted over all documents for all words, and serves both
+sides of the cosine. A document's own licence is that of the most similar template if the cosine reaches `threshold`. A document without one takes that of the nearest directory at or above its own that has a licence file
 (a name such as LICENSE or COPYING) with a licence of its own.
 
 Only lines that hold one of a template's rare words can reach the threshold (checked when the weights are made), so
-the others are passed over without being scored. Directories are made distinct before they are joined with their
+the others are passed over without being scored. The counts of the templates' words and of the COMMON words that most documents
+hold are handed to the scan; the counts of all others, each in few documents, are joined to the words of the scored lines. Words
+are compared by 64-bit hashes, and scores are rounded to 12 digits, as sums run in no fixed order. Directories are made distinct before they are joined with their
 ancestors, so a directory with a third of all files counts as one.
 
 Defined cases: null and empty texts have no licence of their own; a null path has no directory, so nothing is inherited; of
@@ -30,6 +31,10 @@ from utterlake.llm.common import cut, hash_spans, joined_bytes, text_slices
 from utterlake.llm.decontam import _LOWER, word_table
 
 THRESHOLD = 0.7
+#: Words whose counts the scan holds; the others are joined. Changes speed, never scores.
+COMMON = 20_000
+#: (word, count) pairs that a counting task holds before it adds them up, and sums it holds before it hands them on.
+HELD, FLUSH = 2_000_000, 1_000_000
 #: Customary licence statements and the openings of licence texts.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -63,11 +68,11 @@ def vocabulary(templates=TEMPLATES) -> list[str]:
 
 
 class Weights:
-    """idf of the templates' words, and the templates' vectors."""
+    """idf of the found words and the templates' words, and the templates' vectors."""
 
     def __init__(self, n_docs: int, found: dict[str, int], templates=TEMPLATES, threshold: float = THRESHOLD):
         self.rare = math.log(n_docs + 1) + 1
-        self.idf = {w: math.log((n_docs + 1) / (found.get(w, 0) + 1)) + 1 for w in vocabulary(templates)}
+        self.idf = {w: math.log((n_docs + 1) / (found.get(w, 0) + 1)) + 1 for w in {*vocabulary(templates), *found}}
         self.threshold, self.templates = threshold, []
         self.anchors: set[str] = set()
         for name, text in templates:
@@ -101,28 +106,45 @@ def _keys(words: list[str]) -> np.ndarray:
     return hash_spans(low, starts, starts + np.array([len(w.encode()) for w in words]))
 
 
-def document_counts(docs: DataFrame, text: str, templates=TEMPLATES) -> tuple[int, dict[str, int]]:
-    """The number of documents, and of those that hold each word of the templates."""
-    vocab = vocabulary(templates)
-    keys = _keys(vocab)
-    order = np.argsort(keys)
-    keys = keys[order]
+def document_counts(docs: DataFrame, text: str) -> DataFrame:
+    """key, n: the number of documents that hold each word, by its hash, and the number of all documents under a null key."""
     rows = docs.select(F.col(text).cast("string").alias("text"))
 
+    def added(held):
+        keys, n = np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held])
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], np.add.reduceat(n, first)
+
+    def table(keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n, pa.int64())], ["key", "n"])
+
     def scan(batches):
-        total, n = np.zeros(len(keys), np.int64), 0
+        held, size, total = [], 0, 0
         for batch in batches:
+            total += len(batch)
             for a, b in text_slices(batch.column(0)):
                 words, bounds = word_table(batch.column(0).slice(a, b - a).to_pylist())
-                at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-                hit = np.flatnonzero(keys[at] == words)
-                doc = np.searchsorted(bounds, hit, "right") - 1
-                total += np.bincount(np.unique(doc * len(keys) + at[hit]) % len(keys), minlength=len(keys))
-            n += len(batch)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(keys))], pa.int64()), pa.array([n, *total.tolist()], pa.int64())], ["term", "n"])
-
-    got = {r.term: r.n for r in rows.mapInArrow(scan, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return got.get(-1, 0), {vocab[order[i]]: got.get(i, 0) for i in range(len(vocab))}
+                if not len(words):
+                    continue
+                order = np.argsort(words, kind="stable")
+                words, doc = words[order], np.repeat(np.arange(b - a), np.diff(bounds))[order]
+                new = np.append(True, (words[1:] != words[:-1]) | (doc[1:] != doc[:-1]))
+                words = words[new].view(np.int64)
+                held.append(added([(words, np.ones(len(words), np.int64))]))
+                size += len(held[-1][0])
+                if size > HELD:
+                    held = [added(held)]
+                    size = len(held[0][0])
+                    if size > FLUSH:
+                        yield table(*held[0])
+                        held, size = [], 0
+        if held:
+            yield table(*added(held))
+        yield table(pa.array([None], pa.int64()), [total])
+
+    return rows.mapInArrow(scan, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def is_licence_file(path: Column) -> Column:
@@ -132,32 +154,63 @@ def is_licence_file(path: Column) -> Column:
 
 def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, path, is_file, own_licence, own_score (that of the best template, null without any rare word of one)."""
-    weights = Weights(*document_counts(docs, text, templates), templates, threshold)
+    counts = cut(document_counts(docs, text), "licence-words")
+    vocab = vocabulary(templates)
+    vocab_keys = _keys(vocab).view(np.int64).tolist()
+    known = {r.key: r.n for r in counts.where(F.col("key").isNull() | F.col("key").isin(vocab_keys)).collect()}
+    n_docs = known.pop(None, 0)
+    weights = Weights(n_docs, {w: known[k] for w, k in zip(vocab, vocab_keys) if k in known}, templates, threshold)
+    known |= {r.key: r.n for r in counts.where("key IS NOT NULL").orderBy(F.desc("n"), "key").limit(COMMON).collect()}
+    known_keys = np.array(sorted(known), np.int64)
+    known_idf = np.log((n_docs + 1) / (np.array([known[k] for k in sorted(known)], np.float64) + 1)) + 1
     anchors = np.sort(_keys(sorted(weights.anchors)))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), is_licence_file(F.col(path)).alias("is_file"), F.col(text).cast("string").alias("text"))
-
-    def judge(text: str | None, whole: bool) -> tuple[str | None, float]:
-        text = text or ""
-        tried = [weights.best(words_of(p)) for p in text.split("\n") if weights.anchors.intersection(words_of(p))]
-        if whole:
-            tried.append(weights.best(words_of(text)))
-        return max(tried, key=lambda x: x[1], default=(None, 0.0))
+    key_of = dict(zip(vocab, vocab_keys))
+    vectors = [(name, {key_of[w]: x * weights.idf[w] for w, x in v.items()}) for name, v in weights.templates]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), is_licence_file(F.col(path)).alias("is_file"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
+
+    def passage(words: np.ndarray) -> dict:
+        """The best template's licence and product with the passage, the square of its known part, and its other words."""
+        keys, n = np.unique(words.view(np.int64), return_counts=True)
+        held, name, top = dict(zip(keys.tolist(), n.tolist())), None, 0.0
+        for licence, v in vectors:
+            dot = sum(v[k] * held[k] for k in v if k in held)
+            if dot > top * (1 + 1e-12):
+                name, top = licence, dot
+        at = np.minimum(np.searchsorted(known_keys, keys), len(known_keys) - 1)
+        found = known_keys[at] == keys
+        square = float(((n[found] * known_idf[at[found]]) ** 2).sum())
+        return {"name": name, "dot": top, "square": square, "keys": keys[~found], "times": n[~found]}
+
+    def tried(text: str, whole: bool) -> list[dict]:
+        words, bounds = word_table([*text.split("\n"), *([text] if whole else [])])
+        at = np.minimum(np.searchsorted(anchors, words), len(anchors) - 1)
+        holds = np.unique(np.searchsorted(bounds, np.flatnonzero(anchors[at] == words), "right") - 1)
+        return [passage(words[bounds[i] : bounds[i + 1]]) for i in holds.tolist()]
+
+    kind = pa.list_(pa.struct([("name", pa.string()), ("dot", pa.float64()), ("square", pa.float64()), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]))
 
     def scan(batches):
         for batch in batches:
-            for a, b in text_slices(batch.column(3)):
+            for a, b in text_slices(batch.column(4)):
                 part = batch.slice(a, b - a)
-                texts, files = part.column(3).to_pylist(), part.column(2).to_pylist()
+                texts, files = part.column(4).to_pylist(), part.column(2).to_pylist()
                 words, bounds = word_table(texts)
                 at = np.minimum(np.searchsorted(anchors, words), len(anchors) - 1)
-                hits = np.add.reduceat(np.append(anchors[at] == words, False).astype(np.int64), bounds[:-1]) if len(texts) else []
-                hits = np.where(np.diff(bounds) > 0, hits, 0)
-                found = [judge(t, f) if h else (None, 0.0) for t, f, h in zip(texts, files, hits)]
-                name = pa.array([n if s >= threshold else None for n, s in found], pa.string())
-                score = pa.array([s if n else None for n, s in found], pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns[:3], name, score], ["doc_id", "path", "is_file", "own_licence", "own_score"])
-
-    return rows.mapInArrow(scan, "doc_id long, path string, is_file boolean, own_licence string, own_score double")
+                hits = set((np.searchsorted(bounds, np.flatnonzero(anchors[at] == words), "right") - 1).tolist())
+                found = [tried(t, f) if i in hits else None for i, (t, f) in enumerate(zip(texts, files))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(found, kind)], ["doc_id", "path", "is_file", "row", "found"])
+
+    schema = "doc_id long, path string, is_file boolean, row long, found array<struct<name:string,dot:double,square:double,keys:array<long>,times:array<long>>>"
+    judged = cut(rows.mapInArrow(scan, schema), "licence-lines")
+    lines = judged.where("found IS NOT NULL").select("row", F.posexplode("found").alias("line", "f")).select("row", "line", "f.*")
+    others = lines.select("row", "line", F.explode(F.arrays_zip("keys", "times")).alias("w")).select("row", "line", "w.*").withColumnRenamed("keys", "key")
+    idf = F.log((F.lit(n_docs) + 1) / (F.col("n") + 1)) + 1
+    more = others.join(counts, "key").groupBy("row", "line").agg(F.sum(F.pow(F.col("times") * idf, 2)).alias("more"))
+    score = F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce("more", F.lit(0.0))), 12)
+    scored = lines.drop("keys", "times").join(more, ["row", "line"], "left").withColumn("score", score)
+    best = scored.groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("s"), "line", "name")).alias("b"))
+    best = best.select("row", F.when(-F.col("b.s") >= threshold, F.col("b.name")).alias("own_licence"), (-F.col("b.s")).alias("own_score"))
+    return judged.drop("found").join(best, "row", "left").drop("row")
 
 
 def scan(docs: DataFrame, **options) -> DataFrame:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from utterlake.llm import chat, decontam, licences, mixing, near, quality, substrings, tokens, topk, warc
+from utterlake.llm import chat, decontam, licences, mixing, near, quality, queries, substrings, tokens, topk, warc
 from utterlake.llm.common import ship
 from utterlake.llm.queries import vocabulary
 from utterlake.llm.suffix import suffix_array
@@ -330,6 +330,29 @@ def test_chat(spark):
     assert chat.examples(formatted).count() == 4
 
 
+def test_chat_contexts_are_read_back(spark):
+    turns = [(1, i, "assistant" if i % 2 else "user", "same") for i in range(6)] + [(2, 0, "assistant", "alone"), (None, 1, "assistant", "none")]
+    formatted = chat.format_turns(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).cache()
+    whole, lengths = chat.prompts(formatted), chat.examples(formatted)
+    assert sorted(map(repr, chat.read_back(formatted, whole).collect())) == sorted(map(repr, chat.read_back(formatted, lengths).collect()))
+    fifth = F.col("conv_id").eqNullSafe(1) & (F.col("seq") == 5)
+    third = whole.where("conv_id = 1 AND seq = 3").collect()[0].context
+    for bad in (
+        whole.withColumn("context", F.when(fifth, F.lit(third)).otherwise(F.col("context"))),
+        whole.withColumn("context", F.when(fifth, F.replace("context", F.lit("same"), F.lit("else"))).otherwise(F.col("context"))),
+        lengths.withColumn("context_chars", F.col("context_chars") + F.when(fifth, 1).otherwise(0)),
+    ):
+        with pytest.raises(Exception, match="context is not what precedes"):
+            chat.read_back(formatted, bad).collect()
+
+
+def test_chat_query_writes_contexts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(queries, "cut", lambda df, tag: seen.append(df) or df)
+    queries.op8_chat_examples(spark, "/root/testdata/sf0.001")
+    assert "context" in seen[-1].columns
+
+
 # 9
 
 

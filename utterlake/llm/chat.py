@@ -8,10 +8,10 @@ Inside roles and texts a backslash is written \\s and a less-than sign \\l, so n
 the writing can be undone; in roles a line feed is written \\n as well. Every assistant turn becomes an example: its
 context is all that precedes its reply, and only the reply is trainable.
 
-An example names its context by length: the first context_chars code points of its conversation's formatted text. So the
-output stays linear in the input, however long a conversation is (spelled out, m turns give m * m / 2 texts of
-context); prompts() spells contexts out for whoever wants them. Running lengths come from a window over each
-conversation, which Spark sorts on disk if need be; no conversation is gathered for writing.
+prompts() writes examples with their contexts spelled out, which m turns make m * m / 2 texts of context. examples() names a
+context by length, the first context_chars code points of its conversation's formatted text, for whoever wants output that
+stays linear. read_back() compares either form's contexts with the segments. Running lengths come from a window over each
+conversation, which Spark sorts on disk if need be; only prompts() and read_back() gather a conversation in a row.
 
 Defined cases: a null text or role is empty; turns are ordered by (turn, role, text), nulls first, so equal turns keep a
 fixed order; a null conv_id is a conversation of its own; other columns are ignored; a conversation without an
@@ -83,9 +83,14 @@ def examples(formatted: DataFrame) -> DataFrame:
 
 def prompts(formatted: DataFrame) -> DataFrame:
     """Examples with their contexts spelled out: conv_id, seq, context, target. Quadratic in a conversation's turns by nature."""
-    whole = formatted.groupBy("conv_id").agg(_in_order("segment").alias("_all"))
-    e = examples(formatted)
-    return e.join(whole, e["conv_id"].eqNullSafe(whole["conv_id"])).select(e["conv_id"], "seq", F.substring("_all", F.lit(1), F.col("context_chars").cast("int")).alias("context"), "target")
+    e = _with_whole(examples(formatted), formatted)
+    return e.select("conv_id", "seq", F.substring("_all", F.lit(1), F.col("context_chars").cast("int")).alias("context"), "target")
+
+
+def _with_whole(rows: DataFrame, formatted: DataFrame) -> DataFrame:
+    """rows with their conversation's formatted text as _all."""
+    whole = formatted.groupBy(F.col("conv_id").alias("_conv")).agg(_in_order("segment").alias("_all"))
+    return rows.join(whole, rows["conv_id"].eqNullSafe(whole["_conv"])).drop("_conv")
 
 
 def _in_order(column: str) -> Column:
@@ -94,11 +99,13 @@ def _in_order(column: str) -> Column:
 
 
 def read_back(formatted: DataFrame, trained: DataFrame) -> DataFrame:
-    """Digests of each conversation, from format_turns() and examples() alone.
+    """Digests of each conversation, from format_turns() and prompts() or examples() alone.
 
     conv_id, n_turns, turns_sha256 (role, line feed, text, line feed for each turn), loss_chars and loss_sha256 (the targets,
     unescaped, in order), formatted_chars (code points of the formatted conversation). A digest runs over a whole
-    conversation, so here, and only here, each conversation's text comes together in one row.
+    conversation, so here each conversation's text comes together in one row. An example fails the query unless its context is
+    the conversation's text up to its reply: a beginning of it that opens seq + 1 turns, ends in the speaker's line, and is
+    followed by the target and its end mark.
     """
     pattern = r"(?s)^<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n$"
     parts = formatted.select(
@@ -108,7 +115,12 @@ def read_back(formatted: DataFrame, trained: DataFrame) -> DataFrame:
         F.length("segment").cast("long").alias("chars"),
         F.lit(None).cast("string").alias("loss"),
     )
-    losses = trained.select("conv_id", "seq", F.lit(None).cast("string").alias("piece"), F.lit(0).cast("long").alias("chars"), unescape(F.col("target")).alias("loss"))
+    tried = _with_whole(trained, formatted)
+    context = F.col("context") if "context" in trained.columns else F.substring("_all", F.lit(1), F.col("context_chars").cast("int"))
+    opened = F.length(context) - F.length(F.replace(context, F.lit(START), F.lit("")))
+    right = F.startswith(F.col("_all"), F.concat(context, "target", F.lit(END))) & F.endswith(context, F.lit(f"{START}{TRAINED}{NL}")) & (opened == (F.col("seq") + 1) * len(START))
+    loss = F.when(right, unescape(F.col("target"))).otherwise(F.raise_error(F.lit("an example's context is not what precedes its reply")).cast("string"))
+    losses = tried.select("conv_id", "seq", F.lit(None).cast("string").alias("piece"), F.lit(0).cast("long").alias("chars"), loss.alias("loss"))
     return (
         parts.unionByName(losses)
         .groupBy("conv_id")

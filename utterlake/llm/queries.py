@@ -127,12 +127,12 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 
 
 def op8_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of each conversation, read back from formatted segments and prefix-target examples."""
+    """Digests of each conversation, read back from formatted segments and prefix-target examples with their contexts."""
     odd = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
     formatted = cut(chat.format_turns(turns), "chat-segments")
-    trained = cut(chat.examples(formatted), "chat-examples")
+    trained = cut(chat.prompts(formatted), "chat-examples")
     return chat.read_back(formatted, trained)
 
 

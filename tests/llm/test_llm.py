@@ -302,6 +302,25 @@ def test_near_group_larger_than_a_block(spark, monkeypatch):
     assert len(set(got.values())) > 3
 
 
+def test_one_row_is_kept_of_each_component(spark):
+    """Repeated and null doc_ids: as many rows as components, and each component's representative among them."""
+    rng = random.Random(6)
+    a, b, c, d = (prose(rng, 60) for _ in range(4))
+    near_a = a.replace(a.split(" ")[0], "zz", 1)
+    rows = [(1, a), (1, a), (1, a), (2, a), (None, a), (None, near_a), (4, b), (4, b + " zz"), (5, c), (5, d), (None, d), (None, "x y z"), (None, "x y z"), (7, ""), (7, ""), (7, None), (None, ""), (None, "")]
+    comps = near_components([t for _, t in rows], 2)
+    want = Counter()
+    for k in {k for n, k in comps if n}:
+        want[min((rows[i][0] is None, rows[i][0] or 0) for i, (n, x) in enumerate(comps) if n and x == k)] += 1
+    want += Counter({(False, 7): 2, (True, 0): 2})
+    df = spark.createDataFrame([(i, t, j) for j, (i, t) in enumerate(rows)], "doc_id long, text string, n_words int").repartition(4)
+    got = near.drop_copies(df, words=2).collect()
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in got) == want
+    assert all(rows[r.n_words] == (r.doc_id, r.text) for r in got)
+    kept = [comps[r.n_words] for r in got if comps[r.n_words][0]]
+    assert len(kept) == len(set(kept))
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

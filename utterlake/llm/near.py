@@ -19,7 +19,8 @@ With 32 bands of 5 rows, a pair at similarity 0.8 shares no bucket with probabil
 
 Defined cases: null, empty and blank texts have no shingle and are linked with nothing; a text with fewer words than a shingle
 is one shingle; repeated rows fall in one class; a null doc_id is never a component's name unless all its members' are
-null; other columns are ignored, or pass through drop_copies() unchanged; an empty table gives no rows.
+null; drop_copies() keeps one row of each component, of texts without a shingle one row of each doc_id and text, or every row
+where such a doc_id is null; other columns are ignored, or pass through drop_copies() unchanged; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -366,10 +367,11 @@ def _set_table(texts: DataFrame, words: int) -> DataFrame:
 
 
 def components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", words: int = 5, threshold: tuple[int, int] = (80, 100), bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """A row for each document: doc_id, mark, n_shingles, component_id.
+    """A row for each document: doc_id, mark, n_shingles, component_id, comp.
 
     Documents with threshold[1] * shared >= threshold[0] * united shingles are linked; component_id is the smallest doc_id
-    that links reach. mark is a hash of the text, to tell apart rows of the same doc_id.
+    that links reach. mark is a hash of the text, to tell apart rows of the same doc_id. comp names the component itself, as
+several may have equal or null component_ids where doc_ids are repeated or null; null for texts without a shingle.
     """
     k = bands * rows
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -398,9 +400,9 @@ def components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", w
 
     named = classes.select("key", "doc_id").join(links.labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_key = named.join(least, "comp").select("key", "component_id")
+    of_key = named.join(least, "comp").select("key", "component_id", "comp")
     out = signed.select("doc_id", "mark", F.col("n").alias("n_shingles"), "key").join(of_key, "key", "left")
-    return out.select("doc_id", "mark", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "mark", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
@@ -409,12 +411,27 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """docs without all but one document of each component: the one of smallest doc_id (documents without an id stay)."""
+    """docs without all but one row of each component: that of smallest doc_id (nulls last), then of least text hash.
+
+    Texts without a shingle are linked with nothing, so of them only repeated rows go, unless their doc_id is null.
+    """
     found = components(docs, doc_id=doc_id, text=text, **options)
-    kept = found.where("doc_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    rows = found.groupBy("comp", "doc_id", "mark").agg(F.count("*").alias("n"))
+    linked = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "mark", "n")).alias("f"))
+    alone = rows.where("comp IS NULL").select("doc_id", "mark", (F.col("doc_id").isNotNull() & (F.col("n") > 1)).alias("many"))
+    kept = linked.select("f.doc_id", "f.mark", (F.col("f.n") > 1).alias("many")).unionByName(alone)
+    kept = cut(kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "many"), "near-kept")
     n = len(docs.columns)
     own = docs.toDF(*[f"_c{i}" for i in range(n)])
     i, t = docs.columns.index(doc_id), docs.columns.index(text)
     own = own.withColumn("_of", F.xxhash64(F.col(f"_c{t}").cast("string")))
-    out = own.join(cut(kept, "near-kept"), own[f"_c{i}"].cast("long").eqNullSafe(F.col("_id")) & (own["_of"] == F.col("_mark")), "left_semi")
+
+    def of(keys: DataFrame) -> DataFrame:
+        return own.join(keys, own[f"_c{i}"].cast("long").eqNullSafe(F.col("_id")) & (own["_of"] == F.col("_mark")), "left_semi")
+
+    out = of(kept.where("NOT many"))
+    if kept.where("many").take(1):  # rows of equal doc_id and text: only they are numbered, so others are not shuffled for it
+        again = of(kept.where("many")).withColumn("_id", F.col(f"_c{i}").cast("long"))
+        first = F.row_number().over(W.partitionBy("_id", "_of").orderBy(F.lit(1)))
+        out = out.unionByName(again.withColumn("_row", first).where("_row = 1").drop("_id", "_row"))
     return out.select(*[F.col(f"_c{j}").alias(c) for j, c in enumerate(docs.columns)])

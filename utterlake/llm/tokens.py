@@ -13,7 +13,8 @@ Spark's text writer puts its line separator behind each row. The separator is se
 the seek table, and elsewhere they are the payload of a padding frame. So shards are written frame by frame through
 Spark's committer, to any store, and a lost executor only repeats its own shard.
 
-Defined cases: a null or empty text is the end id alone; rows with equal doc_id follow each other by hash of their text; a null
+Defined cases: strings of added tokens inside a text are encoded as ordinary text, unlike in the library's default;
+a null or empty text is the end id alone; rows with equal doc_id follow each other by hash of their text; a null
 doc_id comes first; an empty table gives no documents; columns other than the two named are ignored.
 """
 

@@ -1,3 +1,7 @@
+import random
+import re
+from collections import defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +68,69 @@ def test_scores(spark):
     assert loose["h"] == pytest.approx(2 / 3)
 
 
+def plain_keys(path, name):
+    """Rules in order of preference with their keys of a file, in plain Python."""
+    parts = path.split("/")
+    stem = re.sub(r"(?s)(.)\.[^.]*$", r"\1", parts[-1])
+    found = lambda p: m.group() if (m := re.search(p, stem)) else None
+    one = parts[0] if len(parts) > 1 else None
+    both = lambda b: None if one is None or b is None else f"{one}|{b}"
+    alpha, digits, tail = found(r"^[A-Za-z]+"), found(r"^[0-9]+"), found(r"[0-9]+$")
+    before = re.match(r"^(.*)[_-][^_-]+$", stem)
+    out = [("subdir1", one), ("subdir2", "/".join(parts[:2]) if len(parts) > 2 else None), ("alpha_prefix", alpha), ("stem", stem), ("digit_prefix", digits), ("digit_suffix", tail)]
+    out += [("before_last_sep", before.group(1) if before else None), ("subdir1+alpha_prefix", both(alpha)), ("subdir1+digit_prefix", both(digits)), ("subdir1+digit_suffix", both(tail)), ("subdir1+stem", both(stem))]
+    out += [(f"prefix{k}", stem[:k] if len(stem) >= k else None) for k in (6, 5, 4, 3, 2)]
+    return [*out, ("name2026", name), ("file", path), ("single", "corpus_child")]
+
+
+def plain_learn(rows):
+    """Rule, passed, score of each corpus with known files, by trying every rule."""
+    corpora = defaultdict(list)
+    for corpus, path, name, truth in rows:
+        corpora[corpus].append((dict(plain_keys(path, name)), name, truth))
+    order = [r for r, _ in plain_keys("x", None)]
+    out = {}
+    for corpus, fs in corpora.items():
+        known = [(k, t) for k, _, t in fs if t is not None]
+        if not known:
+            continue
+        named = sum(n is not None for _, n, _ in fs) / len(fs) >= 0.95
+        tried = []
+        for i, rule in enumerate(order):
+            pairs = [(k[rule], t) for k, t in known]
+            purity = lambda side: sum(max([x[1 - side] for x in pairs if x[side] == v].count(w) for w in {x[1 - side] for x in pairs if x[side] == v}) for v in {x[side] for x in pairs}) / len(pairs)
+            passes = None not in {k for k, _ in pairs} and len({k for k, _ in pairs}) == len({t for _, t in pairs}) == len(set(pairs))
+            score = round((purity(0) + purity(1)) / 2, 4)
+            place = -1 if rule == "name2026" and named else i
+            n_keys = len({k[rule] for k, _, _ in fs})
+            tried.append(((0, rule.startswith("prefix"), n_keys, place) if passes else (1, -score, place), rule, passes, 1.0 if passes else score))
+        out[corpus] = min(tried)[1:]
+    return out
+
+
+def test_rules_by_trying_all(spark):
+    """The choice of each corpus against plain Python, over corpora that call for different rules."""
+    rng = random.Random(12)
+    kids = ["Adam", "Eve", "Sarah"]
+    shapes = {
+        "dirs": lambda k, i: f"{k}/{i:06d}.cha", "deep": lambda k, i: f"lab/{k}/{i:04d}.cha", "alpha": lambda k, i: f"{k[:3].lower()}{i}.cha",
+        "digits": lambda k, i: f"{kids.index(k) + 1}{'ab'[i % 2]}{chr(99 + i)}.cha", "suffix": lambda k, i: f"{'xyzw'[i % 4]}{chr(97 + i)}{kids.index(k) + 10}.cha", "sep": lambda k, i: f"0{kids.index(k)}x_{i}.cha",
+        "two": lambda k, i: f"{'ab'[kids.index(k) % 2]}/{k[0]}{i}.cha", "prefix": lambda k, i: f"9{k[:2]}{'pqrs'[i % 4]}{i}.cha", "none": lambda k, i: f"{i}.cha",
+        "noise": lambda k, i: f"{rng.choice(kids)}/{rng.choice('ab')}{i}.cha", "named": lambda k, i: f"{i}z.cha",
+        "bare": lambda k, i: f"{k.lower()}{'' if i % 4 else 'q'}{i}.cha", "fewest": lambda k, i: f"{k.lower()}{'' if i % 4 else 'q'}{i}_{kids.index(k) + 10}.cha",
+    }
+    rows = []
+    for corpus, shape in shapes.items():
+        for i in range(14):
+            kid = kids[i % 3]
+            rows.append((corpus, shape(kid, i), kid if corpus == "named" else None, kid if i % 4 else None))
+    rows.append(("unknown", "a/b.cha", None, None))
+    got = {r.corpus: (r.rule, r.passed, r.score) for r in identity.learn(files(spark, rows)).collect()}
+    want = plain_learn(rows)
+    assert got == want
+    assert len({rule for rule, _, _ in want.values()}) >= 5
+
+
 def test_counts(spark):
     df = spark.createDataFrame([("  12 dog\n   3 the\nTotal\n",)], "out string").select(F.explode(quality.unigram_counts(F.col("out"))).alias("x")).select("x.*")
     assert [(r.word, r.n) for r in df.collect()] == [("dog", 12), ("the", 3)]

@@ -1,12 +1,16 @@
 """Queries of the training-data operators against their SQL, and the pipeline against its stages' brute force, on the smallest tables."""
 
+import hashlib
 import os
+import re
+from collections import Counter, defaultdict
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from utterlake.llm import queries
+from test_llm import contamination, near_components
+from utterlake.llm import quality, queries
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are absent")
@@ -42,3 +46,37 @@ def test_pipeline(spark):
     assert len(end) == left.count() and sorted(r.doc_id for r in end) == sorted(r.doc_id for r in left.collect())
     whole = sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
     assert whole == sorted(map(tuple, end))
+
+
+def test_stages_by_brute_force(spark):
+    """The rows that each stage keeps of the smallest documents, by their definitions in plain Python."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = sorted(docs.select("doc_id", "text", "source").collect())
+    stages = dict(corpus_pipeline.STAGES)
+    kept = lambda name: Counter(r.doc_id for r in stages[name](spark, docs, SF).select("doc_id").collect())
+
+    scores = {r.doc_id: r.score for r in quality.scores(docs, labels).collect()}
+    assert kept("quality") == Counter(d for d, s in scores.items() if s >= 0.5)
+
+    comps = near_components([r.text for r in rows], 5)
+    assert kept("near_dedup") == Counter(rows[i].doc_id for i, (_, c) in enumerate(comps) if c == i)
+
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    assert kept("decontaminate") == Counter(d for d, x in contamination([(r.doc_id, r.text) for r in rows], items) if not x[-1])
+
+    size = defaultdict(int)
+    for r in rows:
+        size[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(size))}
+    low, high, goal = 0.0, 4.0 * sum(size.values()), 1.5 * sum(size.values())
+    for _ in range(200):  # the level at which sources, none above twice its size, hold the goal
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(2 * n, weight[s] * level) for s, n in size.items()) < goal else (low, level)
+    want = Counter()
+    for r in rows:
+        rate = min(2 * size[r.source], weight[r.source] * high) / size[r.source] if size[r.source] else 0
+        rate = round(rate, 9)
+        draw = int(hashlib.md5(f"9:{r.doc_id}".encode()).hexdigest()[:8], 16) / 2**32
+        want[r.doc_id] = int(rate) + (draw < rate - int(rate))
+    assert kept("mix") == +want

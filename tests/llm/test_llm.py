@@ -256,6 +256,23 @@ def test_decontamination_without_items(spark, texts):
     assert decontam.contamination(frame(spark, texts), none).where("contaminated OR n_items > 0").count() == 0
 
 
+@pytest.mark.parametrize("block", [10**6, 25])
+def test_decontamination_of_repeated_words(spark, block):
+    """Texts that repeat few words: hits by brute force, and no pair of positions is listed for long ones."""
+    rng = random.Random(12)
+    docs = [(i, " ".join(rng.choice("ab") for _ in range(rng.choice([0, 9, 10, 40, 200])))) for i in range(30)] + [(30, "ab " * 300), (31, "a b " * 90), (None, "a " * 25)]
+    items = [(i, " ".join(rng.choice("ab") for _ in range(rng.choice([3, 10, 25])))) for i in range(12)] + [(20, "ab " * 30), (21, "a b " * 8), (22, "ab " * 10), (23, None)]
+    got = {r.doc_id: tuple(r)[1:] for r in decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), block_words=block).collect()}
+    assert got == dict(contamination(docs, items))
+
+
+def test_long_repeated_texts_are_linear():
+    index = decontam.build_index([("1", "ab " * 20_000), ("2", "ab " * 30 + "c")])
+    n, runs, names = decontam.find_hits(["ab " * 20_000, "x " + "ab " * 20_000], index)
+    assert n.tolist() == [20_000, 20_001] and decontam.merge_runs(*runs[1]) == [(1, 20_001)] and names[0] == ["1", "2"]
+    assert len(runs[0][0]) <= 20_000
+
+
 # 7
 
 

@@ -5,11 +5,14 @@ is one window. A document word inside any occurrence of a window is hit.
 
 Both sides hash every run of `gram` words and keep, of every span - gram + 1 runs in a row, the one of least hash (the last
 such). Two texts that share `span` words share the runs in them, so they keep a fingerprint in common: no shared span of that
-length is missed. Fingerprints in common are extended word by word to both sides, and extents of at least `span` words are
-hits. Items shorter than `span` have one window, kept whole under its own length.
+length is missed. A fingerprint in common is extended to the windows of `span` words around it in the document; a window is a
+hit if the items hold it, which is looked up once and then compared word by word. So each document position costs the same,
+however often a fingerprint or a window is repeated on either side. Items shorter than `span` have one window, kept whole
+under its own length. Windows that the same items hold share one list of them.
 
-The benchmark is read in blocks of at most BLOCK_WORDS words (or one longer item), whose index of some 40 bytes a word is
-broadcast; documents are passed over once for each block and never shuffled.
+The benchmark is read in blocks of at most BLOCK_WORDS words (or one longer item), whose index of some 60 bytes a word is
+broadcast. One block needs one pass over the documents. With more, documents are numbered and written once, each block's pass
+writes only the documents that it hits, and those are joined to the documents by number.
 
 Defined cases: a null text has no words; an item without words has no window; items with a null id are left out; equal
 items and repeated documents are each judged by themselves; an empty benchmark hits nothing; a document table's other
@@ -18,11 +21,9 @@ columns pass through, whatever their names.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +79,46 @@ def winnow(words: np.ndarray, bounds: np.ndarray, span: int, gram: int) -> tuple
     return keep, grams[keep]
 
 
+def _window_hashes(words: np.ndarray, starts: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """Hashes of the runs of n words that begin at starts."""
+    out = np.full(len(starts), n + (seed << 8), np.uint64)
+    for j in range(n):
+        out = mix64(out + words[starts + j])
+    return out
+
+
+def _same_words(a: np.ndarray, at: np.ndarray, b: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
+    """Whether the runs of n words at `at` in a and at `to` in b agree, word for word."""
+    ok = np.ones(len(at), bool)
+    for j in range(n):
+        ok &= a[at + j] == b[to + j]
+    return ok
+
+
+def _window_table(words: np.ndarray, starts: np.ndarray, owner: np.ndarray, n: int, lists: dict[bytes, int]) -> dict:
+    """The distinct windows of n words at starts: sorted hashes, where each lies in words, and the list of the items that hold it.
+
+    Hashes are drawn anew until no two different windows share one.
+    """
+    seed = 0
+    while True:
+        h = _window_hashes(words, starts, n, seed)
+        order = np.lexsort((owner, h))
+        h, at, who = h[order], starts[order], owner[order]
+        new = np.append(True, h[1:] != h[:-1])
+        first = np.flatnonzero(new)
+        if _same_words(words, at, words, at[first][np.cumsum(new) - 1], n).all():
+            break
+        seed += 1
+    numbers = np.empty(len(first), np.int64)
+    for i, (a, b) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(h)])):
+        held = who[a:b]
+        if b - a > 1:
+            held = held[np.append(True, held[1:] != held[:-1])]
+        numbers[i] = lists.setdefault(held.tobytes(), len(lists))
+    return {"n": n, "seed": seed, "hash": h[first], "at": at[first], "list": numbers}
+
+
 def build_index(items: list[tuple[str, str]], span: int = SPAN, gram: int = GRAM) -> dict:
     """What documents are matched against; items: (id, text). Equal word sequences share an entry."""
     words, bounds = word_table([t for _, t in items])
@@ -97,88 +138,68 @@ def build_index(items: list[tuple[str, str]], span: int = SPAN, gram: int = GRAM
     flat = np.concatenate([*kept, np.zeros(0, np.uint64)]).astype(np.uint64)
     lens = np.array([len(w) for w in kept], np.int64)
     ends = np.cumsum(lens)
-    long = lens >= span
-    at, prints = winnow(flat, np.append(0, ends), span, gram)
-    order = np.argsort(prints, kind="stable")
-    short = {}
-    for n in sorted(set(lens[~long].tolist())):
+    _, prints = winnow(flat, np.append(0, ends), span, gram)
+    lists: dict[bytes, int] = {}
+    tables = {}
+    item, left = np.repeat(np.arange(len(lens)), lens), np.repeat(ends, lens) - np.arange(len(flat))
+    starts = np.flatnonzero(left >= span)
+    if len(starts):
+        tables[span] = _window_table(flat, starts, item[starts], span, lists)
+    for n in sorted(set(lens[lens < span].tolist())):
         who = np.flatnonzero(lens == n)
-        h = np.array([gram_hashes(flat[ends[i] - n : ends[i]], n)[0] for i in who], np.uint64)
-        by = np.argsort(h)
-        short[n] = (h[by], who[by])
-    return {"names": names, "words": flat, "ends": ends, "item": np.repeat(np.arange(len(lens)), lens), "prints": prints[order], "at": at[order], "short": short, "span": span, "gram": gram}
+        tables[n] = _window_table(flat, ends[who] - n, who, n, lists)
+    holders = [np.frombuffer(key, np.int64) for key in lists]
+    return {"names": names, "words": flat, "prints": np.unique(prints), "tables": tables, "holders": holders, "span": span, "gram": gram}
 
 
-def _matches(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (into wanted, into the sorted keys) of equal values."""
-    a, b = np.searchsorted(keys, wanted, "left"), np.searchsorted(keys, wanted, "right")
-    n = b - a
-    total = int(n.sum())
-    return np.repeat(np.arange(len(wanted)), n), np.repeat(a - (np.cumsum(n) - n), n) + np.arange(total)
+def _found(words: np.ndarray, starts: np.ndarray, table: dict, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those of starts whose window the table has, and the number of each one's list of items."""
+    h = _window_hashes(words, starts, table["n"], table["seed"])
+    at = np.minimum(np.searchsorted(table["hash"], h), len(table["hash"]) - 1)
+    like = np.flatnonzero(table["hash"][at] == h)
+    like = like[_same_words(words, starts[like], flat, table["at"][at[like]], table["n"])]
+    return starts[like], table["list"][at[like]]
+
+
+def _candidates(words: np.ndarray, bounds: np.ndarray, left: np.ndarray, index: dict) -> np.ndarray:
+    """Starts of the windows that hold a fingerprint of the index: up to span - gram words before it."""
+    span, gram, keys = index["span"], index["gram"], index["prints"]
+    at, prints = winnow(words, bounds, span, gram)
+    at = at[keys[np.minimum(np.searchsorted(keys, prints), len(keys) - 1)] == prints]
+    around = np.zeros(len(words) + 1, np.int64)
+    np.add.at(around, np.maximum(at - (span - gram), 0), 1)
+    np.add.at(around, at + 1, -1)
+    return np.flatnonzero((np.cumsum(around[:-1]) > 0) & (left >= span))
 
 
 def find_hits(texts: list, index: dict) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]], list[list[str]]]:
     """For each text: its number of words, (starts, ends) of hit runs of words, and the names of items that occur."""
     words, bounds = word_table(texts)
     lens = np.diff(bounds)
-    span, gram = index["span"], index["gram"]
-    owner = np.repeat(np.arange(len(texts)), lens)
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    at, prints = winnow(words, bounds, span, gram)
-    i, j = _matches(index["prints"], prints)
-    if len(i):
-        p, q = at[i], index["at"][j]
-        item = index["item"][q]
-        found.append(_extend(words, bounds, owner, p, q, item, index))
-    for n, (keys, who) in index["short"].items():
-        if len(words) >= n:
-            left = np.repeat(bounds[1:], lens) - np.arange(len(words))
-            i, j = _matches(keys, gram_hashes(words, n))
-            inside = left[i] >= n
-            i, j = i[inside], j[inside]
-            found.append((i, i + n, who[j]))
+    left = np.repeat(bounds[1:], lens) - np.arange(len(words))
     runs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(texts)
     names: list[list[str]] = [[]] * len(texts)
-    if found:
-        a, b, item = (np.concatenate(x) for x in zip(*found))
-        text = owner[a]
-        by_text = defaultdict(list)
-        for k, t in enumerate(text.tolist()):
-            by_text[t].append(k)
-        for t, k in by_text.items():
-            runs[t] = (a[k] - bounds[t], b[k] - bounds[t])
-            names[t] = sorted({x for e in np.unique(item[k]).tolist() for x in index["names"][e]})
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for n, table in index["tables"].items():
+        starts = _candidates(words, bounds, left, index) if n == index["span"] else np.flatnonzero(left >= n)
+        if len(starts):
+            a, number = _found(words, starts, table, index["words"])
+            found.append((a, a + n, number))
+    if not found:
+        return lens, runs, names
+    a, b, number = (np.concatenate(x) for x in zip(*found))
+    text = np.searchsorted(bounds, a, "right") - 1
+    order = np.argsort(text, kind="stable")
+    a, b, number, text = a[order], b[order], number[order], text[order]
+    first = np.flatnonzero(np.diff(text, prepend=-1))
+    for i, j in zip(first.tolist(), [*first[1:].tolist(), len(text)]):
+        t = int(text[i])
+        runs[t] = (a[i:j] - bounds[t], b[i:j] - bounds[t])
+        held = np.unique(np.concatenate([index["holders"][x] for x in np.unique(number[i:j]).tolist()]))
+        names[t] = sorted({x for e in held.tolist() for x in index["names"][e]})
     return lens, runs, names
 
 
-def _extend(words, bounds, owner, p, q, item, index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The extents of at least span words around equal runs at p (documents) and q (items), word by word."""
-    gram, span = index["gram"], index["span"]
-    b_words, b_end = index["words"], index["ends"][item]
-    b_start = np.concatenate([[0], index["ends"][:-1]])[item]
-    d_start, d_end = bounds[owner[p]], bounds[owner[p] + 1]
-    ok = np.ones(len(p), bool)
-    for t in range(gram):
-        ok &= words[p + t] == b_words[q + t]
-    left, right = np.zeros(len(p), np.int64), np.full(len(p), gram)
-    live = np.flatnonzero(ok)
-    while len(live):
-        x, y = p[live] - left[live] - 1, q[live] - left[live] - 1
-        inside = (x >= d_start[live]) & (y >= b_start[live])
-        live, x, y = live[inside], x[inside], y[inside]
-        live = live[words[x] == b_words[y]]
-        left[live] += 1
-    live = np.flatnonzero(ok)
-    while len(live):
-        x, y = p[live] + right[live], q[live] + right[live]
-        inside = (x < d_end[live]) & (y < b_end[live])
-        live, x, y = live[inside], x[inside], y[inside]
-        live = live[words[x] == b_words[y]]
-        right[live] += 1
-    ok &= left + right >= span
-    return (p - left)[ok], (p + right)[ok], item[ok]
-
-
 def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int):
     """Items in blocks of a bounded number of words, one block in the driver at a time."""
     rows = benchmark.select(F.col(item_id).cast("string").alias("i"), F.col(text).cast("string").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
@@ -209,35 +230,56 @@ def hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id:
     own = plain.schema
     schema = T.StructType([*own.fields, T.StructField("n_words", T.LongType()), T.StructField("hit_runs", run), T.StructField("items", T.ArrayType(T.StringType()))])
     run_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    out = plain
-    blocks = _blocks(benchmark, item_id, item_text, block_words)
-    block, number = next(blocks), 0
-    while block is not None:
-        following = next(blocks, None)
-        bare = following is None and not keep_text
+    def passed(rows: DataFrame, block: list, schema: T.StructType, pack) -> DataFrame:
+        """rows through the index of a block; pack makes columns of a part of rows and what find_hits() says of it."""
         shared = spark.sparkContext.broadcast(build_index(block, span, gram))
-        first = number == 0
+        at = rows.columns.index(f"_c{k}")
 
-        def scan(batches, shared=shared, first=first, bare=bare):
+        def scan(batches):
             for batch in batches:
-                for a, b in text_slices(batch.column(k)):
+                for a, b in text_slices(batch.column(at)):
                     part = batch.slice(a, b - a)
-                    n, runs, names = find_hits(part.column(k).to_pylist(), shared.value)
-                    if not first:
-                        before = part.column(n_own + 1).to_pylist()
-                        runs = [(np.append(x, [r["start"] for r in o]).astype(np.int64), np.append(y, [r["stop"] for r in o]).astype(np.int64)) for (x, y), o in zip(runs, before)]
-                        names = [sorted({*x, *o}) for x, o in zip(names, part.column(n_own + 2).to_pylist())]
+                    n, runs, names = find_hits(part.column(at).to_pylist(), shared.value)
                     merged = [[{"start": s, "stop": e} for s, e in merge_runs(x, y)] for x, y in runs]
-                    columns = [*part.columns[:n_own], pa.array(n.astype(np.int64)), pa.array(merged, run_type), pa.array(names, pa.list_(pa.string()))]
-                    if bare:
-                        columns[k] = pa.nulls(len(part), columns[k].type)
-                    yield pa.RecordBatch.from_arrays(columns, schema.names)
-
-        if not first:
-            out = cut(out, "decontam-block")
-        out = out.mapInArrow(scan, schema)
-        block, number = following, number + 1
-    return out.toDF(*docs.columns, "n_words", "hit_runs", "items")
+                    found = [pa.array(n.astype(np.int64)), pa.array(merged, run_type), pa.array(names, pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays([*pack(part), *found], schema.names)
+
+        return rows.mapInArrow(scan, schema)
+
+    def own_columns(part):
+        return [pa.nulls(len(part), c.type) if i == k and not keep_text else c for i, c in enumerate(part.columns)]
+
+    blocks = _blocks(benchmark, item_id, item_text, block_words)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        return passed(plain, block, schema, own_columns).toDF(*docs.columns, "n_words", "hit_runs", "items")
+
+    numbered = cut(plain.withColumn("_row", F.monotonically_increasing_id()), "decontam-rows")
+    narrow = T.StructType([T.StructField("_row", T.LongType()), *schema.fields[n_own:]])
+    texts, hit = numbered.select("_row", f"_c{k}"), F.size("hit_runs") > 0
+    first = cut(passed(texts, block, narrow, lambda part: [part.column(0)]), "decontam-hits")
+    found = first.where(hit)
+    while following is not None:
+        found = found.unionByName(cut(passed(texts, following, narrow, lambda part: [part.column(0)]).where(hit), "decontam-hits"))
+        following = next(blocks, None)
+    found = found.groupBy("_row").agg(F.flatten(F.collect_list("hit_runs")).alias("_runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"))
+    out = numbered.join(first.select("_row", "n_words"), "_row").join(found.withColumn("_runs", _merged("_runs")), "_row", "left")
+    if not keep_text:
+        out = out.withColumn(f"_c{k}", F.lit(None).cast(own[k].dataType))
+    runs, items = F.coalesce("_runs", F.array().cast(run)), F.coalesce("_items", F.array().cast("array<string>"))
+    return out.select(*own.names, "n_words", runs, items).toDF(*docs.columns, "n_words", "hit_runs", "items")
+
+
+def _merged(runs: str) -> Column:
+    """An array of struct<start, stop>, sorted, touching and overlapping runs made one."""
+
+    def add(done: Column, r: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        grown = F.struct(last["start"].alias("start"), F.greatest(last["stop"], r["stop"]).alias("stop"))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(grown))
+        return F.when(F.coalesce(r["start"] <= last["stop"], F.lit(False)), joined).otherwise(F.concat(done, F.array(r)))
+
+    return F.aggregate(F.array_sort(F.col(runs)), F.slice(F.col(runs), 1, 0), add)
 
 
 def merge_runs(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:

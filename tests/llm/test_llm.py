@@ -150,6 +150,36 @@ def test_substring_removal(spark, texts, hot, monkeypatch):
     assert all(hashlib.sha256(bytes(left[i])).hexdigest() == got[i][3] for i in range(len(texts)))
 
 
+@pytest.mark.parametrize("hot", [500, 3])
+def test_substring_passage_in_a_third_of_all_texts(spark, hot, monkeypatch):
+    """A passage that very many texts hold in surroundings of few characters, next to copies, repetitive and short texts."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    rng = random.Random(21)
+    passage = prose(rng, 130)
+    around = lambda n: "".join(rng.choice("ab ") for _ in range(n))
+    texts = []
+    for i in range(90):
+        own = prose(rng, rng.randrange(5, 60), 5000)
+        texts.append(own if i % 3 else f"{own}{around(3)}{passage[: rng.choice([len(passage), 500, 420])]}{around(3)}{own[::-1]}")
+    texts += [texts[0], texts[0], "ab " * 500, "ab " * 170, "é" * 900, passage, passage[:400], passage[:399]]
+    got = {r.doc_id: tuple(r)[1:] for r in substrings.removal(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, want in enumerate(removed(texts)):
+        assert got[i] == want, i
+
+
+def test_equal_hashes_are_compared(monkeypatch):
+    """Windows are told apart by their bytes where their hashes agree."""
+    rng = np.random.default_rng(5)
+    core = rng.integers(97, 123, 380).astype(np.uint8).tobytes()
+    blobs = [bytes(rng.integers(97, 123, 15).astype(np.uint8)) + core + bytes(rng.integers(97, 123, 15).astype(np.uint8)) for _ in range(4)] * 1
+    blobs.append(blobs[0])
+    lo, hi = np.full(5, 30), np.full(5, 30 + len(blobs[0]) - 400)
+    want = substrings.repeated_offsets(blobs, lo, hi)
+    assert want[0] == want[4] == [(30, int(hi[0]))] and not any(want[1:4])
+    monkeypatch.setattr(substrings, "mix64", lambda h: h & np.uint64(0))
+    assert substrings.repeated_offsets(blobs, lo, hi) == want
+
+
 def test_substring_pieces(monkeypatch):
     rng = np.random.default_rng(0)
     data = rng.integers(97, 100, 9000).astype(np.uint8)

@@ -6,11 +6,13 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
 from test_llm import contamination, near_components
-from utterlake.llm import quality, queries
+from utterlake.llm import quality, queries, substrings
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are absent")
@@ -80,3 +82,54 @@ def test_stages_by_brute_force(spark):
         draw = int(hashlib.md5(f"9:{r.doc_id}".encode()).hexdigest()[:8], 16) / 2**32
         want[r.doc_id] = int(rate) + (draw < rate - int(rate))
     assert kept("mix") == +want
+
+
+def repeated_windows(texts, length=400):
+    """(bytes removed, runs, digest of what is left) of each text, from hashes of all windows by two products of the bytes."""
+    data = [(t or "").encode() for t in texts]
+    rng = np.random.default_rng(77)
+    value = rng.integers(1, 2**62, 256, dtype=np.uint64)
+    hashes = []
+    for b in data:
+        n = len(b) - length + 1
+        if n < 1:
+            hashes.append(np.zeros(0, np.uint64))
+            continue
+        level, width = value[np.frombuffer(b, np.uint8)], 1  # of 1, 2, 4, ... bytes, and 400 = 256 + 128 + 16
+        out, done = None, 0
+        for k in range(9):
+            if length >> k & 1:
+                part = level[done : done + n]
+                out = part.copy() if out is None else (out ^ (out >> np.uint64(29))) * np.uint64(0xD1342543DE82EF95) + part
+                done += width
+            if k < 8:
+                level = (level[:-width] ^ (level[:-width] >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C55) + level[width:]
+                width *= 2
+        hashes.append(out)
+    flat = np.concatenate(hashes)
+    order = np.argsort(flat, kind="stable")
+    same = flat[order][1:] == flat[order][:-1]
+    again = np.zeros(len(flat), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    at = 0
+    for b, h in zip(data, hashes):
+        cover = np.zeros(len(b) + 1, np.int64)
+        starts = np.flatnonzero(again[at : at + len(h)])
+        at += len(h)
+        np.add.at(cover, starts, 1)
+        np.add.at(cover, starts + length, -1)
+        gone = np.cumsum(cover)[: len(b)] > 0
+        left = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        yield int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(left).hexdigest()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are absent")
+def test_substrings_of_all_documents(spark):
+    """Each of 10,000 documents by brute force, from one table and dealt over many tasks with most anchors counted as hot."""
+    table = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"])
+    want = dict(zip(table["doc_id"].to_pylist(), repeated_windows(table["text"].to_pylist())))
+    for sf, hot in (("/root/testdata/sf0.1", substrings.HOT), ("/root/testdata/sf0.1", 2)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(substrings, "HOT", hot)
+            rows = queries.op3_substring_removal(spark, sf).collect()
+        assert len(rows) == len(want) and {r.doc_id: tuple(r)[2:] for r in rows} == want

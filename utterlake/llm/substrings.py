@@ -3,18 +3,23 @@
 How repeats meet. Every window of `length` bytes has an anchor, its 16-byte gram of least hash (the first such). Equal windows
 have equal anchors at the same offset, so they meet under their anchor's hash. A span is all windows of one anchor, laid
 over each other: some 1.5 windows' bytes for half a window's worth of starts.
-  1. Spans are counted by hash of their bytes. A span found twice repeats in full, and copies of texts end here, since
-     copies are added up before anything is shuffled by anchor.
-  2. Where an anchor has several different spans, one text of each is sent for. Anchors with more than HOT different
-     spans are split by runs of STEP offsets and by the core all windows of such a run share, so that one passage in a
-     third of all documents spreads over many tasks.
-  3. Tasks cut the spans of an anchor into blocks of 32 bytes counted from the anchor, rank the distinct blocks, and sort all
-     suffixes of the resulting strings by linear grouping (suffix.py). Neighbours that agree on 11 blocks form classes, and
-     windows are equal if their first whole block has the same class and the bytes to both sides are equal.
-  4. Found runs go back to all documents that hold the span and are merged; what is left is hashed.
-
-Windows are judged on the input, overlaps count, and a match never crosses documents. Spans are compared by a 64-bit hash next to
-a 64-bit anchor hash, bytes beside whole blocks by a 64-bit hash.
+  1. Spans whose anchor is found once are dropped, and copies of a text are added up.
+  2. Spans are counted by hash of their bytes, their kind. A kind found twice repeats in full.
+  3. Where an anchor has several kinds, one text of each is sent for. The spans of an anchor with up to HOT kinds meet in one
+     task, some 0.4 MB at most. They are cut into blocks of 32 bytes counted from the anchor, the distinct blocks are ranked, and
+     all suffixes of the resulting strings are sorted by linear grouping (suffix.py). Neighbours that agree on 11 blocks form
+     classes, and windows are equal if their first whole block has the same class and the bytes to both sides are equal.
+  4. An anchor with more kinds (a passage that very many documents hold in different surroundings) is never gathered. Its spans
+     are cut into parts of STEP offsets, and a part has two digests: of all its bytes, and of its core, the bytes that all its
+     windows share. Parts of equal bytes are added up and repeat in full; a part whose core no other part has holds no
+     repeated window; of the few that remain (at a passage's ends) each window is counted by its own digest.
+  5. Found runs go back to all documents that hold the kind and are merged; what is left is hashed.
+
+Counts are added up in the tasks before anything is shuffled, and what is joined by a key that many rows may share is joined between
+written tables, whose hot partitions Spark splits (adaptive skew joins).
+
+Windows are judged on the input, overlaps count, and a match never crosses documents. Kinds are compared by two 64-bit hashes
+(anchor and span), parts and windows of hot anchors by 128-bit digests, windows of the others byte by byte.
 
 Defined cases: a null text is empty; texts shorter than length keep all their bytes; documents with the same doc_id are
 each judged by themselves; other columns are ignored; an empty table gives no rows.
@@ -23,6 +28,7 @@ each judged by themselves; other columns are ignored; an empty table gives no ro
 from __future__ import annotations
 
 import hashlib
+import struct
 
 import numpy as np
 import pandas as pd
@@ -35,7 +41,7 @@ from utterlake.llm.suffix import suffix_array
 
 LENGTH, GRAM = 400, 16
 BLOCK, WHOLE = 32, 11
-#: Different spans of an anchor beyond which it is split, and the offsets of a part.
+#: Kinds of an anchor beyond which its spans are not gathered, and the offsets of a part of such a span.
 HOT, STEP = 500, 32
 #: Bytes of spans that a task sorts at a time; an anchor's spans stay together.
 BATCH = 1 << 20
@@ -114,6 +120,13 @@ def _bytes(value: str | None) -> np.ndarray:
     return np.frombuffer((value or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
+def _beside(data: np.ndarray, start: np.ndarray, block: np.ndarray, length: int) -> np.ndarray:
+    """The bytes of each window that lie outside of its WHOLE blocks: a row each, those before the first block first."""
+    n = length - WHOLE * BLOCK
+    at = np.arange(n)[None, :] + start[:, None]
+    return data[np.where(at < block[:, None], at, at + WHOLE * BLOCK)]
+
+
 def repeated_offsets(blobs: list[bytes], lo: np.ndarray, hi: np.ndarray, length: int = LENGTH) -> list[list[tuple[int, int]]]:
     """For each span (its bytes, and the least and largest offset of its windows) the runs of offsets whose windows other spans hold too."""
     lens = np.array([len(b) for b in blobs], np.int64)
@@ -148,8 +161,23 @@ def repeated_offsets(blobs: list[bytes], lo: np.ndarray, hi: np.ndarray, length:
     head = roll(start, block * BLOCK)
     tail = roll(block * BLOCK + WHOLE * BLOCK, start + length)
     key = mix64(head + mix64(tail + mix64(group[block + owner].astype(np.uint64) * np.uint64(BLOCK) + (block * BLOCK - start).astype(np.uint64))))
+    beside = lambda at: _beside(data, start[at], block[at] * BLOCK, length)
     codes, _ = pd.factorize(key)
     again = np.bincount(codes)[codes] > 1
+    hit = np.flatnonzero(again)
+    if len(hit):
+        first = np.empty(codes.max() + 1, np.int64)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        first = first[codes[hit]]
+        alike = (group[(block + owner)[hit]] == group[(block + owner)[first]]) & ((block * BLOCK - start)[hit] == (block * BLOCK - start)[first])
+        for i in range(0, len(hit), 100_000):
+            c = slice(i, i + 100_000)
+            alike[c] &= (beside(hit[c]) == beside(first[c])).all(axis=1)
+        if not alike.all():  # different windows with one hash: counted by what they hold
+            exact = [(int(group[block[i] + owner[i]]), int(block[i] * BLOCK - start[i]), beside(np.array([i])).tobytes()) for i in range(len(start))]
+            number: dict = {}
+            codes = np.array([number.setdefault(x, len(number)) for x in exact], np.int64)
+            again = np.bincount(codes)[codes] > 1
     edge = again & np.append(True, (owner[1:] != owner[:-1]) | ~again[:-1])
     close = again & np.append((owner[1:] != owner[:-1]) | ~again[1:], True)
     out: list[list[tuple[int, int]]] = [[] for _ in blobs]
@@ -196,41 +224,68 @@ def _unpack(z: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(z)
 
 
-def _parts(batches, length: int):
-    """Rows key, fp, sh, lo, hi, bytes: the spans that a text is asked for; hot ones in parts."""
+def _asked(batches, rows_of, types: list, names: list[str], size: int = BATCH):
+    """rows_of(text's bytes, span asked for) as batches of about `size` bytes in the last column."""
+    out: list[tuple] = []
+    n = 0
     for batch in batches:
-        out: list[tuple] = []
-        size = 0
         for text, asked in zip(batch.column(0), batch.column(1).to_pylist()):
             raw = _unpack(text.as_py())
             for x in asked:
-                p, lo, hi = x["p"], x["lo"], x["hi"]
-                steps = [(lo, hi)]
-                if x["hot"]:
-                    steps = [(max(lo, d), min(hi, d + STEP - 1)) for d in range(lo // STEP * STEP, hi + 1, STEP)]
-                for a, b in steps:
-                    blob = raw[p - b : p - a + length]
-                    key = x["fp"]
-                    if x["hot"]:
-                        d = a // STEP * STEP  # all windows of the part hold these bytes, whatever its own ends
-                        core = hashlib.blake2b(raw[p - d : p - d - STEP + 1 + length], digest_size=8, key=(x["fp"] & (2**64 - 1)).to_bytes(8, "little") + d.to_bytes(4, "little"))
-                        key = int.from_bytes(core.digest(), "little", signed=True)
-                    out.append((key, x["fp"], x["sh"], a, b, x["n"] > 1, blob))
-                    size += len(blob)
-            if size > BATCH:
-                yield _part_batch(out)
-                out, size = [], 0
-        if out:
-            yield _part_batch(out)
-
-
-def _part_batch(rows: list) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["key", "fp", "sh", "lo", "hi", "settled", "bytes"])
+                for row in rows_of(raw, x):
+                    out.append(row)
+                    n += len(row[-1])
+                if n > size:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                    out, n = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+
+
+_SPAN = {"fp": pa.int64(), "sh": pa.int64(), "lo": pa.int32(), "hi": pa.int32(), "settled": pa.bool_()}
+
+
+def _spans_of(batches, length: int):
+    """Rows fp, sh, lo, hi, settled, bytes: the spans that a text is asked for."""
+
+    def rows_of(raw, x):
+        yield x["fp"], x["sh"], x["lo"], x["hi"], x["n"] > 1, raw[x["p"] - x["hi"] : x["p"] - x["lo"] + length]
+
+    return _asked(batches, rows_of, [*_SPAN.values(), pa.binary()], [*_SPAN, "bytes"])
+
+
+def _digest(fp: int, d: int, width: int, data: bytes) -> bytes:
+    """128 bits of what windows at offsets d to d + width - 1 before the anchor hold."""
+    return hashlib.blake2b(data, digest_size=16, key=struct.pack("<qii", fp, d, width)).digest()
+
+
+def _hot_parts(batches, length: int):
+    """Rows fp, sh, lo, hi, settled, core, whole, bytes: hot spans in parts of STEP offsets."""
+
+    def rows_of(raw, x):
+        p, lo, hi, fp = x["p"], x["lo"], x["hi"], x["fp"]
+        for d in range(lo // STEP * STEP, hi + 1, STEP):
+            a, b = max(lo, d), min(hi, d + STEP - 1)
+            blob = raw[p - b : p - a + length]
+            core = _digest(fp, d, 0, raw[p - d : p - d - STEP + 1 + length])  # the same, whatever the part's own ends
+            yield fp, x["sh"], a, b, x["n"] > 1, core, _digest(fp, a, b - a + 1, blob), blob
+
+    return _asked(batches, rows_of, [*_SPAN.values(), *[pa.binary()] * 3], [*_SPAN, "core", "whole", "bytes"])
+
+
+def _hot_windows(batches, length: int):
+    """Rows fp, sh, at, settled, window: each window of the parts, by digest."""
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+    for batch in batches:
+        for i in range(0, len(batch), 2000):
+            rows = []
+            for fp, sh, lo, hi, settled, blob in zip(*(c.to_pylist() for c in batch.slice(i, 2000).columns)):
+                rows += [(fp, sh, d, settled, _digest(fp, d, 1, blob[hi - d : hi - d + length])) for d in range(lo, hi + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["fp", "sh", "at", "settled", "window"])
 
 
 def _find(batches, length: int):
-    """Rows fp, sh, lo, hi (runs of offsets that repeat) from spans sorted by key."""
+    """Rows fp, sh, lo, hi (runs of offsets that repeat) from spans sorted by anchor, of which none has more than HOT."""
     held: list[tuple] = []
     size = 0
 
@@ -240,8 +295,8 @@ def _find(batches, length: int):
         rows = [r for r, s in zip(rows, several.tolist()) if s]
         if not rows:
             return None
-        runs = repeated_offsets([r[6] for r in rows], np.array([r[3] for r in rows], np.int64), np.array([r[4] for r in rows], np.int64), length)
-        got = [(r[1], r[2], a, b) for r, x in zip(rows, runs) if not r[5] for a, b in x]
+        runs = repeated_offsets([r[5] for r in rows], np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64), length)
+        got = [(r[0], r[1], a, b) for r, x in zip(rows, runs) if not r[4] for a, b in x]
         if got:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*got), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["fp", "sh", "lo", "hi"])
         return None
@@ -254,7 +309,7 @@ def _find(batches, length: int):
                     yield out
                 held, size = [], 0
             held.append(r)
-            size += len(r[6])
+            size += len(r[5])
     if held and (out := flush(held)) is not None:
         yield out
 
@@ -265,29 +320,51 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     docs: doc, t1, t2, text, where t1 and t2 are hashes of text.
     """
     found = cut(_positions(docs, length, gram), "substr-spans")
-    twice = found.groupBy("fp").count().where("count > 1").select("fp")
-    kept = found.join(twice, "fp").groupBy("t1", "t2", "p", "lo", "hi", "fp", "sh").agg(F.count("*").alias("n"), F.min("doc").alias("doc"))
-    kept = cut(kept, "substr-kept")
+    twice = cut(found.groupBy("fp").count().where("count > 1").select("fp"), "substr-anchors")
+    # a place in a text determines the rest; grouping by it alone leaves the join free to split a hot anchor
+    same = [F.first(c).alias(c) for c in ("lo", "hi", "fp", "sh")]
+    kept = cut(found.join(twice, "fp").groupBy("t1", "t2", "p").agg(*same, F.count("*").alias("n"), F.min("doc").alias("doc")), "substr-kept")
     drop_cut(found)
-    kinds = kept.groupBy("fp", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "t1", "t2", "p", "lo", "hi")).alias("one"))
-    several = kept.groupBy("fp").agg((F.min("sh") != F.max("sh")).alias("mixed"))
-    kinds = cut(kinds.join(several, "fp").where("n > 1 OR mixed"), "substr-kinds")
-    hot = kinds.where("mixed").groupBy("fp").count().where(F.col("count") > HOT).select("fp", F.lit(True).alias("hot"))
-    asked = kinds.where("mixed").join(hot, "fp", "left").select("one.doc", "one.t1", "one.t2", F.struct("one.p", "one.lo", "one.hi", "fp", "sh", "n", F.coalesce("hot", F.lit(False)).alias("hot")).alias("x"))
-    asked = asked.groupBy("doc", "t1", "t2").agg(F.collect_list("x").alias("asked"))  # at most a text's own spans
+    all_kinds = cut(kept.groupBy("fp", "sh").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "t1", "t2", "p", "lo", "hi")).alias("one")), "substr-kinds")
+    per_anchor = cut(all_kinds.groupBy("fp").agg(F.count("*").alias("kinds"), F.sum("n").alias("rows")).where("rows > 1").drop("rows"), "substr-anchors")
+    kinds = cut(all_kinds.join(per_anchor, "fp"), "substr-kinds")
+    drop_cut(all_kinds)
+    hot = F.col("kinds") > HOT
+    asked = kinds.where("kinds > 1").select("one.doc", "one.t1", "one.t2", hot.alias("hot"), F.struct("one.p", "one.lo", "one.hi", "fp", "sh", "n").alias("x"))
+    asked = asked.groupBy("doc", "t1", "t2").agg(*[F.collect_list(F.when(c, F.col("x"))).alias(name) for name, c in (("cold", ~F.col("hot")), ("hot", F.col("hot")))])  # at most a text's own spans
     own = _packed(docs.where(F.octet_length("text") >= length)).withColumn("doc", F.coalesce("doc", F.lit(0).cast("long")))
     asked = asked.withColumn("doc", F.coalesce("doc", F.lit(0).cast("long")))
-    texts = own.join(asked, ["doc", "t1", "t2"]).select("z", "asked")
-    parts = texts.mapInArrow(lambda it: _parts(it, length), "key long, fp long, sh long, lo int, hi int, settled boolean, bytes binary")
-    parts = parts.repartition("key").sortWithinPartitions("key")
-    some = parts.mapInArrow(lambda it: _find(it, length), "fp long, sh long, lo int, hi int")
-    full = kinds.where("n > 1").select("fp", "sh", "one.lo", "one.hi")
-    runs = cut(full.unionByName(some).distinct(), "substr-runs")
+    texts = cut(own.join(asked, ["doc", "t1", "t2"]).select("z", "cold", "hot"), "substr-texts")
+    spans_of = texts.where(F.size("cold") > 0).select("z", "cold").mapInArrow(lambda it: _spans_of(it, length), "fp long, sh long, lo int, hi int, settled boolean, bytes binary")
+    found_in = spans_of.repartition("fp").sortWithinPartitions("fp").mapInArrow(lambda it: _find(it, length), "fp long, sh long, lo int, hi int")
+    some = kinds.where("n > 1").select("fp", "sh", "one.lo", "one.hi").unionByName(found_in)
+    of_hot = texts.where(F.size("hot") > 0).select("z", "hot")
+    if of_hot.take(1):
+        some = some.unionByName(_hot_repeats(of_hot, length))
+    runs = cut(some, "substr-runs")
+    for done in (twice, per_anchor, kinds, texts):
+        drop_cut(done)
     at = kept.select("t1", "t2", "p", "fp", "sh").join(runs, ["fp", "sh"])
     covered = F.struct((F.col("p") - F.col("hi")).alias("a"), (F.col("p") - F.col("lo") + length).alias("b"))
     return at.groupBy("t1", "t2").agg(F.collect_list(covered).alias("runs"))
 
 
+def _hot_repeats(texts: DataFrame, length: int) -> DataFrame:
+    """fp, sh, lo, hi: the runs of offsets that repeat, of spans of hot anchors, by counts alone."""
+    parts = cut(texts.mapInArrow(lambda it: _hot_parts(it, length), "fp long, sh long, lo int, hi int, settled boolean, core binary, whole binary, bytes binary"), "substr-parts")
+    alike = cut(parts.groupBy("whole").count().where("count > 1").select("whole"), "substr-alike")
+    full = parts.where("NOT settled").select("fp", "sh", "lo", "hi", "whole").join(alike, "whole").drop("whole")
+    # one part for each content; it stands for several if it came up several times or is settled
+    few = parts.groupBy("core", "whole").agg(*[F.first(c).alias(c) for c in ("fp", "sh", "lo", "hi", "bytes")], (F.max("settled") | (F.count("*") > 1)).alias("settled"))
+    few = cut(few, "substr-parts")
+    met = cut(few.groupBy("core").agg(F.count("*").alias("n"), F.min("settled").alias("done")).where("n > 1 AND NOT done").select("core"), "substr-cores")
+    open_ = few.join(met, "core").select("fp", "sh", "lo", "hi", "settled", "bytes")
+    windows = cut(open_.mapInArrow(lambda it: _hot_windows(it, length), "fp long, sh long, at int, settled boolean, window binary"), "substr-windows")
+    again = cut(windows.groupBy("window").count().where("count > 1").select("window"), "substr-again")
+    single = windows.where("NOT settled").join(again, "window").select("fp", "sh", F.col("at").alias("lo"), F.col("at").alias("hi"))
+    return full.unionByName(single)
+
+
 def _merged(runs: list | None) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted((r["a"], r["b"]) for r in runs or ()):

@@ -1,15 +1,20 @@
-"""Licence scan: sparse TF-IDF cosine of lines and licence files to templates, then inheritance down directories.
-
-Every line of every text, and every licence file as a whole, is a passage. A passage's vector holds its words with weight
-tf * idf; idf comes from the number of documents that hold a word, counted over all documents for all words, and serves both
-sides of the cosine. A document's own licence is that of the most similar template if the cosine reaches `threshold`. A document without one takes that of the nearest directory at or above its own that has a licence file
-(a name such as LICENSE or COPYING) with a licence of its own.
-
-Only lines that hold one of a template's rare words can reach the threshold (checked when the weights are made), so
-the others are passed over without being scored. The counts of the templates' words and of the COMMON words that most documents
-hold are handed to the scan; the counts of all others, each in few documents, are joined to the words of the scored lines. Words
-are compared by 64-bit hashes, and scores are rounded to 12 digits, as sums run in no fixed order. Directories are made distinct before they are joined with their
-ancestors, so a directory with a third of all files counts as one.
+"""Licence scan: sparse TF-IDF cosine of headers and licence files to templates, then inheritance down directories.
+
+Templates are customary statements and, in licence_texts/, the whole texts and standard notices of common licences. Passages of a
+document are its lines, its runs of comment lines and of other lines without an empty line between them (a wrapped notice or
+header is one), and every licence file as a whole. A passage's vector holds its words with weight tf * idf; idf comes
+from the number of documents that hold a word, counted over all documents for all words, and serves both sides of the
+cosine. A document's own licence is that of the most similar template if the cosine reaches `threshold`, of whole texts before
+statements, as several licences share sentences; that rights are reserved decides only where no licence does, and only if the
+passage says so in these words. A document without one takes that of the nearest
+directory at or above its own that has a licence file (a name such as LICENSE or COPYING) with a licence of its own.
+
+Only passages that hold one of a template's rare words can reach the threshold (checked when the weights are made), so
+the others are passed over without being scored, and a template is passed over if the words that a passage shares with it
+hold too little of its length. The counts of the templates' words and of the COMMON words that most documents
+hold are handed to the scan; the counts of all others, each in few documents, are joined to the words of the scored passages. Words
+are compared by 64-bit hashes, and scores are rounded to 12 digits, as sums run in no fixed order. Directories are made distinct
+before they are joined with their ancestors, so a directory with a third of all files counts as one.
 
 Defined cases: null and empty texts have no licence of their own; a null path has no directory, so nothing is inherited; of
 several licence files in a directory the most similar counts, then the one of least path; repeated rows are judged alike;
@@ -21,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +57,14 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("proprietary", "All rights reserved."),
 )
+#: Licences that decide only where no other does, and the words that a passage must hold in a row for them.
+WEAK = {"proprietary": ("all", "rights", "reserved")}
+#: What opens a line of comment.
+COMMENT = re.compile(r"\s*(#|//|/?\*|--|;|%|<!--|rem\b|\.\.\s)", re.IGNORECASE)
 #: Names of licence files, without ending, in lower case.
 FILE_NAMES = ("license", "licence", "copying", "notice", "unlicense")
 
@@ -63,6 +73,24 @@ def words_of(text: str) -> list[str]:
     return re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
 
 
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """(licence, text) of the files in licence_texts/, which the driver reads."""
+    files = sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))
+    return tuple((f.stem.removesuffix("-header"), f.read_text()) for f in files)
+
+
+def blocks(lines: list[str]) -> list[tuple[int, int]]:
+    """(first, end) of the runs of several comment lines, and of several other lines that aren't empty."""
+    out, at, kind = [], 0, None
+    for i, line in enumerate([*lines, ""]):
+        now = "comment" if COMMENT.match(line) else "text" if line.strip() else None
+        if now != kind:
+            if kind and i - at > 1:
+                out.append((at, i))
+            at, kind = i, now
+    return out
+
+
 def vocabulary(templates=TEMPLATES) -> list[str]:
     return sorted({w for _, t in templates for w in words_of(t)})
 
@@ -152,8 +180,13 @@ def is_licence_file(path: Column) -> Column:
     return F.coalesce(F.split_part(name, F.lit("."), F.lit(1)).isin(*FILE_NAMES), F.lit(False))
 
 
-def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, path, is_file, own_licence, own_score (that of the best template, null without any rare word of one)."""
+def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path", text: str = "text", templates=TEMPLATES, texts: tuple[tuple[str, str], ...] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, path, is_file, own_licence, own_score (that of the best template, null without any rare word of one).
+
+    templates and texts: (licence, text) of statements and of whole texts (default: whole_texts()), which are matched alike.
+    """
+    n_statements = len(templates)
+    templates = (*templates, *(whole_texts() if texts is None else texts))
     counts = cut(document_counts(docs, text), "licence-words")
     vocab = vocabulary(templates)
     vocab_keys = _keys(vocab).view(np.int64).tolist()
@@ -165,29 +198,54 @@ def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path",
     known_idf = np.log((n_docs + 1) / (np.array([known[k] for k in sorted(known)], np.float64) + 1)) + 1
     anchors = np.sort(_keys(sorted(weights.anchors)))
     key_of = dict(zip(vocab, vocab_keys))
-    vectors = [(name, {key_of[w]: x * weights.idf[w] for w, x in v.items()}) for name, v in weights.templates]
+    vectors = []  # whether it is a whole text, keys in order, their share of the vector, and weight with which a passage's counts are multiplied
+    for i, (name, v) in enumerate(weights.templates):
+        of = np.array([key_of[w] for w in v], np.int64)
+        order = np.argsort(of)
+        share = np.array(list(v.values()))[order]
+        vectors.append((name, i >= n_statements, of[order], share, share * np.array([weights.idf[w] for w in v])[order]))
+    phrases = {name: _keys(list(w)) for name, w in WEAK.items()}
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(path).cast("string").alias("path"), is_licence_file(F.col(path)).alias("is_file"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
 
-    def passage(words: np.ndarray) -> dict:
-        """The best template's licence and product with the passage, the square of its known part, and its other words."""
+    def holds(words: np.ndarray, phrase: np.ndarray) -> bool:
+        at = np.flatnonzero(words[: max(0, len(words) - len(phrase) + 1)] == phrase[0])
+        return any((words[i : i + len(phrase)] == phrase).all() for i in at.tolist())
+
+    def passage(words: np.ndarray) -> list[dict]:
+        """The best template's licence and product with the passage, the square of its known part, and its other words; for strong and weak licences."""
         keys, n = np.unique(words.view(np.int64), return_counts=True)
-        held, name, top = dict(zip(keys.tolist(), n.tolist())), None, 0.0
-        for licence, v in vectors:
-            dot = sum(v[k] * held[k] for k in v if k in held)
-            if dot > top * (1 + 1e-12):
-                name, top = licence, dot
+        best: dict[bool, tuple[str, float, bool]] = {}
+        for licence, full, of, share, weight in vectors:
+            at = np.minimum(np.searchsorted(of, keys), len(of) - 1)
+            mine = of[at] == keys
+            at = at[mine]
+            if (share[at] ** 2).sum() < threshold**2 - 1e-9:
+                continue  # whatever else the passage holds, the cosine stays below
+            weak = licence in WEAK
+            dot = float((weight[at] * n[mine]).sum())
+            if dot > best.get(weak, ("", 0.0, False))[1] * (1 + 1e-12) and (not weak or holds(words, phrases[licence])):
+                best[weak] = (licence, dot, full)
+        if not best:
+            return []
         at = np.minimum(np.searchsorted(known_keys, keys), len(known_keys) - 1)
         found = known_keys[at] == keys
         square = float(((n[found] * known_idf[at[found]]) ** 2).sum())
-        return {"name": name, "dot": top, "square": square, "keys": keys[~found], "times": n[~found]}
+        return [{"name": name, "full": full, "dot": dot, "square": square, "keys": keys[~found], "times": n[~found]} for name, dot, full in best.values()]
 
     def tried(text: str, whole: bool) -> list[dict]:
-        words, bounds = word_table([*text.split("\n"), *([text] if whole else [])])
+        lines = text.split("\n")
+        words, bounds = word_table(lines)
         at = np.minimum(np.searchsorted(anchors, words), len(anchors) - 1)
-        holds = np.unique(np.searchsorted(bounds, np.flatnonzero(anchors[at] == words), "right") - 1)
-        return [passage(words[bounds[i] : bounds[i + 1]]) for i in holds.tolist()]
+        marks = np.flatnonzero(anchors[at] == words)
+        runs = {(i, i + 1) for i in range(len(lines))} | set(blocks(lines)) | ({(0, len(lines))} if whole else set())
+        out = []
+        for a, b in sorted(runs):
+            first, end = bounds[a], bounds[b]
+            if np.searchsorted(marks, end) > np.searchsorted(marks, first):
+                out += passage(words[first:end])
+        return out
 
-    kind = pa.list_(pa.struct([("name", pa.string()), ("dot", pa.float64()), ("square", pa.float64()), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]))
+    kind = pa.list_(pa.struct([("name", pa.string()), ("full", pa.bool_()), ("dot", pa.float64()), ("square", pa.float64()), ("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]))
 
     def scan(batches):
         for batch in batches:
@@ -200,7 +258,7 @@ def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path",
                 found = [tried(t, f) if i in hits else None for i, (t, f) in enumerate(zip(texts, files))]
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(found, kind)], ["doc_id", "path", "is_file", "row", "found"])
 
-    schema = "doc_id long, path string, is_file boolean, row long, found array<struct<name:string,dot:double,square:double,keys:array<long>,times:array<long>>>"
+    schema = "doc_id long, path string, is_file boolean, row long, found array<struct<name:string,full:boolean,dot:double,square:double,keys:array<long>,times:array<long>>>"
     judged = cut(rows.mapInArrow(scan, schema), "licence-lines")
     lines = judged.where("found IS NOT NULL").select("row", F.posexplode("found").alias("line", "f")).select("row", "line", "f.*")
     others = lines.select("row", "line", F.explode(F.arrays_zip("keys", "times")).alias("w")).select("row", "line", "w.*").withColumnRenamed("keys", "key")
@@ -208,8 +266,9 @@ def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path",
     more = others.join(counts, "key").groupBy("row", "line").agg(F.sum(F.pow(F.col("times") * idf, 2)).alias("more"))
     score = F.round(F.col("dot") / F.sqrt(F.col("square") + F.coalesce("more", F.lit(0.0))), 12)
     scored = lines.drop("keys", "times").join(more, ["row", "line"], "left").withColumn("score", score)
-    best = scored.groupBy("row").agg(F.min(F.struct((-F.col("score")).alias("s"), "line", "name")).alias("b"))
-    best = best.select("row", F.when(-F.col("b.s") >= threshold, F.col("b.name")).alias("own_licence"), (-F.col("b.s")).alias("own_score"))
+    below = F.col("score") < threshold
+    best = scored.groupBy("row").agg(F.min(F.struct(below.alias("below"), F.col("name").isin(*WEAK).alias("weak"), (~F.col("full")).alias("part"), (-F.col("score")).alias("s"), "line", "name")).alias("b"))
+    best = best.select("row", F.when(~F.col("b.below"), F.col("b.name")).alias("own_licence"), (-F.col("b.s")).alias("own_score"))
     return judged.drop("found").join(best, "row", "left").drop("row")
 
 

@@ -1,7 +1,15 @@
-"""Lexical measures as column expressions over arrays of words."""
+"""Lexical measures as column expressions over arrays of words.
+
+MTLD needs a set that grows and empties along the words; as a fold of column expressions that is quadratic, so it runs in
+Python over Arrow batches, one pass for each direction.
+"""
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Sequence
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,34 +22,64 @@ def ordered(value: Column, *order: Column) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(*keys, value.alias("v")))), lambda s: s["v"])
 
 
-def _factors(words: Column, threshold: float) -> Column:
+def _words_per_factor(words: Iterable[str], total: int, threshold: float) -> float:
     """Mean words per factor in one direction; -1 if no factor forms."""
-    start = F.struct(F.lit(0.0).alias("factors"), F.lit(0).alias("tokens"), F.array().cast("array<string>").alias("types"), F.lit(1.0).alias("ttr"))
+    factors, seen, n = 0.0, set(), 0
+    for w in words:
+        seen.add(w)
+        n += 1
+        if len(seen) / n <= threshold:
+            factors, seen, n = factors + 1, set(), 0
+    if n:
+        factors += (1.0 - len(seen) / n) / (1.0 - threshold)
+    return total / factors if factors > 0 else -1.0
+
+
+def mtld_of(words: Sequence[str] | None, threshold: float = THRESHOLD, least: int = LEAST) -> float | None:
+    if words is None or len(words) < least:
+        return None
+    return (_words_per_factor(words, len(words), threshold) + _words_per_factor(reversed(words), len(words), threshold)) / 2
+
 
-    def step(s: Column, w: Column) -> Column:
-        types = F.when(F.array_contains(s["types"], w), s["types"]).otherwise(F.array_append(s["types"], w))
-        tokens = s["tokens"] + 1
-        ttr = F.size(types) / tokens
-        full = ttr <= threshold
-        return F.struct(
-            (s["factors"] + full.cast("double")).alias("factors"),
-            F.when(full, 0).otherwise(tokens).alias("tokens"),
-            F.when(full, F.array().cast("array<string>")).otherwise(types).alias("types"),
-            F.when(full, 1.0).otherwise(ttr).alias("ttr"),
-        )
+def hdd_of(words: Sequence[str] | None, draws: int = DRAWS, least: int = LEAST) -> float | None:
+    if words is None or len(words) < max(least, draws):
+        return None
+    total, out = len(words), 0.0
+    for c, types in Counter(Counter(words).values()).items():  # types that occur equally often weigh equally
+        missing = 1.0
+        for i in range(draws):
+            missing *= max(total - c - i, 0) / (total - i)
+        out += types * (1.0 - missing) / draws
+    return out
 
-    def finish(s: Column) -> Column:
-        rest = F.when(s["tokens"] > 0, (1.0 - s["ttr"]) / (1.0 - F.lit(threshold))).otherwise(0.0)
-        factors = s["factors"] + rest
-        return F.when(factors > 0, F.size(words) / factors).otherwise(-1.0)
 
-    return F.aggregate(words, start, step, finish)
+def _each(words: Column, kind: str, make) -> Column:
+    @F.pandas_udf(kind)
+    def run(batch: pd.Series) -> pd.Series:
+        return pd.Series([make(None if w is None else list(w)) for w in batch], dtype="float64")
+
+    return run(words)
 
 
 def mtld(words: Column, threshold: float = THRESHOLD, least: int = LEAST) -> Column:
     """Measure of textual lexical diversity: the mean of both directions, null below `least` words. Words are compared as given."""
-    both = (_factors(words, threshold) + _factors(F.reverse(words), threshold)) / 2
-    return F.when(F.size(words) >= least, both)
+    return _each(words, "double", lambda w: mtld_of(w, threshold, least))
+
+
+def hdd(words: Column, draws: int = DRAWS, least: int = LEAST) -> Column:
+    """HD-D of an array of words; null below `least` words."""
+    return _each(words, "double", lambda w: hdd_of(w, draws, least))
+
+
+def diversity(words: Column) -> Column:
+    """struct<num_types:int, mtld:double, hdd:double> of an array of words, in one pass."""
+
+    @F.pandas_udf("num_types int, mtld double, hdd double")
+    def run(batch: pd.Series) -> pd.DataFrame:
+        lists = [[] if w is None else list(w) for w in batch]
+        return pd.DataFrame({"num_types": [len(set(w)) for w in lists], "mtld": pd.Series([mtld_of(w) for w in lists], dtype="float64"), "hdd": pd.Series([hdd_of(w) for w in lists], dtype="float64")})
+
+    return run(words)
 
 
 def hdd_of_counts(counts: Column, total: Column, draws: int = DRAWS, least: int = LEAST) -> Column:
@@ -57,12 +95,6 @@ def hdd_of_counts(counts: Column, total: Column, draws: int = DRAWS, least: int
     return F.when(total >= least, F.aggregate(counts, F.lit(0.0), lambda s, c: s + (1.0 - missing(c)) / draws))
 
 
-def hdd(words: Column, draws: int = DRAWS, least: int = LEAST) -> Column:
-    """HD-D of an array of words; null below `least` words."""
-    counts = F.transform(F.array_sort(F.array_distinct(words)), lambda t: F.size(F.filter(words, lambda w: w == t)))
-    return hdd_of_counts(counts, F.size(words), draws, least)
-
-
 def ttr(types: Column, tokens: Column) -> Column:
     return F.try_divide(types, tokens)
 

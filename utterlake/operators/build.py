@@ -1,11 +1,15 @@
 """Corpus tables from parsed documents.
 
 Ids are deterministic: a corpus owns a block of BLOCK ids, and rows are numbered within it in the order of file and
-position. Numbering windows are partitioned by corpus; AQE spreads everything else by its own keys.
+position. Utterances, tokens and morphemes are numbered within their file, behind the running total of the files before it, so only
+a row for each file is ordered by corpus; AQE spreads everything else by its own keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,10 +22,43 @@ BLOCK = 1_000_000_000
 TARGET = "Target_Child"
 
 
-def numbered(df: DataFrame, block: Column, *order: str, name: str = "id") -> DataFrame:
-    """df with ids (block + 1) * BLOCK + n, n counted from 1 in the given order within a block."""
-    n = F.row_number().over(W.partitionBy(block).orderBy(*order))
-    return df.withColumn(name, (block + 1) * F.lit(BLOCK).cast("long") + n)
+def numbered(df: DataFrame, block: Column, *order: str, name: str = "id", sizes: DataFrame | None = None) -> DataFrame:
+    """df with ids (block + 1) * BLOCK + n, n counted from 1 in the given order within a block. A block that overflows is an error.
+
+    sizes: block, the first order column (which no two blocks share), and n, how many rows df has of it. Rows are then numbered
+    within that column's values and put behind those before, so that no task holds all rows of a block.
+    """
+    if sizes is None:
+        n = F.row_number().over(W.partitionBy(block).orderBy(*order)).cast("long")
+    else:
+        part = order[0]
+        before = F.sum("n").over(W.partitionBy("block").orderBy(part).rowsBetween(W.unboundedPreceding, -1))
+        df = df.join(sizes.select(part, F.coalesce(before, F.lit(0)).alias("_before")), part)
+        n = F.col("_before") + F.row_number().over(W.partitionBy(part).orderBy(*order[1:]))
+    fits = F.when(n < BLOCK, n).otherwise(F.raise_error(F.lit("a block of ids is full")).cast("long"))
+    return df.withColumn(name, (block + 1) * F.lit(BLOCK).cast("long") + fits).drop("_before")
+
+
+def block_usage(tables: Mapping[str, DataFrame], id: str = "id") -> DataFrame:
+    """name, largest, fits: the most ids that any block of each table holds, and whether that leaves room in a block."""
+    used = [df.agg(F.lit(name).alias("name"), F.max(F.pmod(F.col(id), F.lit(BLOCK))).alias("largest")) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, used).withColumn("fits", F.coalesce(F.col("largest") < BLOCK - 1, F.lit(True)))
+
+
+def sizes(docs: DataFrame) -> DataFrame:
+    """corpus_id, path, utterances, tokens, morphemes: how many of each a document holds, without taking them apart."""
+    def total(array: Column, of) -> Column:
+        return F.coalesce(F.aggregate(array, F.lit(0).cast("long"), lambda n, x: n + of(x)), F.lit(0).cast("long"))
+
+    size = lambda a: F.when(a.isNull(), 0).otherwise(F.size(a)).cast("long")
+    said = F.col("utterances")
+    n_tokens = total(said, lambda u: size(u["tokens"]))
+    n_morphemes = total(said, lambda u: total(u["tokens"], lambda t: size(t["morphemes"])))
+    return docs.select("corpus_id", "path", size(said).alias("utterances"), n_tokens.alias("tokens"), n_morphemes.alias("morphemes"))
+
+
+def _of(counts: DataFrame | None, column: str, block: str = "corpus_id", part: str = "path") -> DataFrame | None:
+    return None if counts is None else counts.select(F.col(block).alias("block"), part, F.col(column).alias("n"))
 
 
 def dimensions(corpora: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -97,6 +134,7 @@ def transcripts(docs: DataFrame, rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 def utterances(docs: DataFrame, transcript: DataFrame, rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The utterance table, with tokens kept in place as an array for tokens() and speaker summaries."""
+    counts = _of(sizes(docs), "utterances")
     said = docs.select("path", F.posexplode("utterances").alias("at", "u")).select("path", (F.col("at") + 1).alias("utterance_order"), "u.*")
     who = rows.join(ids, ["path", "code"]).select("path", F.col("code").alias("speaker"), "speaker_id", F.col("name").alias("speaker_name"), F.col("role").alias("speaker_role"))
     out = said.join(transcript.drop("date", "filename", "pid"), "path").join(who, ["path", "speaker"], "left")
@@ -113,22 +151,22 @@ def utterances(docs: DataFrame, transcript: DataFrame, rows: DataFrame, ids: Dat
             "speaker_code": F.col("speaker"),
         }
     )
-    return numbered(out, F.col("corpus_id"), "path", "utterance_order")
+    return numbered(out, F.col("corpus_id"), "path", "utterance_order", sizes=counts)
 
 
-def tokens(utterance: DataFrame) -> DataFrame:
-    """The token table, with morphemes kept in place."""
+def tokens(utterance: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """The token table, with morphemes kept in place. counts: those of sizes(); without them a corpus is numbered as a whole."""
     head = ["corpus_id", "transcript_id", "speaker_id", "speaker_code", "speaker_name", "speaker_role", "target_child_id", "target_child_name", "target_child_age", "target_child_sex", "language", "path", "utterance_order"]
     rows = utterance.select(F.col("id").alias("utterance_id"), F.col("type").alias("utterance_type"), *head, F.posexplode("tokens").alias("at", "t"))
     rows = rows.select("*", "t.*").drop("t").withColumns({"token_order": F.col("at") + 1, "part_of_speech": F.col("pos"), "prefix": F.lit(""), "english": F.lit("")})
-    return numbered(rows, F.col("corpus_id"), "path", "utterance_order", "at").drop("at", "pos")
+    return numbered(rows, F.col("corpus_id"), "path", "utterance_order", "at", sizes=_of(counts, "tokens")).drop("at", "pos")
 
 
-def token_morphemes(token: DataFrame) -> DataFrame:
-    """The morpheme table; features are written as JSON."""
+def token_morphemes(token: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """The morpheme table; features are written as JSON. counts: as of tokens()."""
     rows = token.select(F.col("id").alias("token_id"), "utterance_id", "transcript_id", "corpus_id", "speaker_id", "speaker_role", "target_child_id", "language", "path", "utterance_order", "token_order", F.posexplode("morphemes").alias("at", "m"))
     rows = rows.select("*", (F.col("at") + 1).alias("morpheme_order"), "m.type", "m.lemma", "m.pos", F.to_json("m.features").alias("features"))
-    return numbered(rows, F.col("corpus_id"), "path", "utterance_order", "token_order", "at").drop("at", "m")
+    return numbered(rows, F.col("corpus_id"), "path", "utterance_order", "token_order", "at", sizes=_of(counts, "morphemes")).drop("at", "m")
 
 
 def speaker_summary(rows: DataFrame, speakers: DataFrame, key: list[str]) -> DataFrame:
@@ -147,16 +185,15 @@ def speaker_summary(rows: DataFrame, speakers: DataFrame, key: list[str]) -> Dat
         F.sum("num_morphemes").cast("int").alias("num_morphemes"),
         F.flatten(L.ordered(F.col("_glosses"), F.col("order"))).alias("_words"),
     )
-    out = speakers.select(*key).distinct().join(sums, key, "left")
-    words = F.col("_words")
-    return out.withColumns(
-        {
-            "num_types": F.coalesce(F.size(F.array_distinct(words)), F.lit(0)),
-            "mtld": L.mtld(words),
-            "hdd": L.hdd(words),
-            **{c: F.coalesce(c, F.lit(0)) for c in ("num_utterances", "num_tokens", "num_morphemes")},
-        }
-    ).drop("_words")
+    out = speakers.select(*key).distinct().join(sums.withColumn("_d", L.diversity(F.col("_words"))), key, "left")
+    whole = [F.coalesce(c, F.lit(0)).alias(c) for c in ("num_utterances", "num_tokens", "num_morphemes")]
+    return out.select(*key, "mlu_w", "mlu_m", *whole, F.coalesce("_d.num_types", F.lit(0)).alias("num_types"), "_d.mtld", "_d.hdd")
+
+
+def corpus_mlu(summary: DataFrame, by: list[str]) -> DataFrame:
+    """MLU in words of all utterances together, from summaries of parts (mlu_w, num_utterances): by, mlu_w, num_utterances."""
+    said = F.sum(F.col("mlu_w") * F.col("num_utterances"))
+    return summary.where("num_utterances > 0").groupBy(*by).agg((said / F.sum("num_utterances")).alias("mlu_w"), F.sum("num_utterances").alias("num_utterances"))
 
 
 def frequencies(token: DataFrame, key: list[str], gloss: str = "gloss") -> DataFrame:
@@ -180,7 +217,8 @@ def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = No
     participant, ids = participants(rows)
     transcript = transcripts(docs, rows, ids)
     utterance = utterances(docs, transcript, rows, ids)
-    token = tokens(utterance)
+    counts = sizes(docs)
+    token = tokens(utterance, counts)
     named = lambda df: df.join(names, "corpus_id")
     key = ["corpus_id", "transcript_id", "speaker_id"]
     child = transcript.select("transcript_id", "language", "target_child_id", "target_child_name", "target_child_age", "target_child_sex")
@@ -189,6 +227,8 @@ def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = No
     said = utterance.withColumns({"order": F.col("utterance_order"), "tokens": F.transform("tokens", lambda t: t["gloss"])})
     tbs = speaker_summary(said, present, key).join(child, "transcript_id").join(roles, "speaker_id")
     tf = frequencies(token, key).join(child, "transcript_id").join(roles, "speaker_id")
+    per_file = present.select(*key).distinct().groupBy(F.col("corpus_id").alias("block"), "transcript_id").agg(F.count("*").alias("n"))
+    words_per_file = tf.groupBy(F.col("corpus_id").alias("block"), "transcript_id").agg(F.count("*").alias("n"))
     out = {
         "collection": collection,
         "corpus": corpus,
@@ -196,8 +236,8 @@ def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = No
         "transcript": named(transcript.withColumnRenamed("transcript_id", "id")),
         "utterance": named(utterance),
         "token": named(token),
-        "token_morpheme": named(token_morphemes(token)),
-        "transcript_by_speaker": named(numbered(tbs, F.col("corpus_id"), "transcript_id", "speaker_id")),
-        "token_frequency": named(numbered(tf, F.col("corpus_id"), "transcript_id", "speaker_id", "gloss")),
+        "token_morpheme": named(token_morphemes(token, counts)),
+        "transcript_by_speaker": named(numbered(tbs, F.col("corpus_id"), "transcript_id", "speaker_id", sizes=per_file)),
+        "token_frequency": named(numbered(tf, F.col("corpus_id"), "transcript_id", "speaker_id", "gloss", sizes=words_per_file)),
     }
     return {k: schemas.conform(v, schemas.TABLES[k]) for k, v in out.items()}

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterlake.functions import lexical as L
@@ -16,23 +18,26 @@ from utterlake.streaming import ingest
 
 
 def _folder(spark: SparkSession) -> str:
-    """A fresh folder in the shared checkpoint folder, or a temporary one where none is set."""
+    """A fresh folder in the shared checkpoint folder; where none is set, which only local sessions may do, a temporary one."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
-        import uuid
-
         return f"{base.rstrip('/')}/plans-{uuid.uuid4().hex[:12]}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return "file://" + tempfile.mkdtemp(prefix="utterlake-")
 
 
-def _escaped(c):
+def escaped(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
 
 
-def as_xml(rows: DataFrame) -> DataFrame:
-    """Conversations as TalkBank XML: path, text."""
-    word = lambda w: F.concat(F.lit("<w>"), _escaped(w), F.lit("</w>"))
-    u = F.concat(F.lit('<u who="'), _escaped(F.col("role")), F.lit('" uID="u'), F.col("order") - 1, F.lit('">'), F.array_join(F.transform("tokens", word), ""), F.lit('<t type="p"/></u>'))
+def _bare(w: Column, at: Column) -> Column:
+    return F.concat(F.lit("<w>"), escaped(w), F.lit("</w>"))
+
+
+def as_xml(rows: DataFrame, word: Callable[[Column, Column], Column] = _bare) -> DataFrame:
+    """Conversations as TalkBank XML: path, text. word: the element of a word and its place."""
+    u = F.concat(F.lit('<u who="'), escaped(F.col("role")), F.lit('" uID="u'), F.col("order") - 1, F.lit('">'), F.array_join(F.transform("tokens", word), ""), F.lit('<t type="p"/></u>'))
     body = L.ordered(u, F.col("order"))
     roles = F.array_join(F.transform(F.array_sort(F.collect_set("role")), lambda r: F.concat(F.lit('<participant id="'), r, F.lit('" role="'), r, F.lit('"/>'))), "")
     doc = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><CHAT xmlns="http://www.talkbank.org/ns/talkbank" PID="'), F.col("conv_id"), F.lit('"><Participants>'), F.col("roles"), F.lit("</Participants>"), F.array_join("body", ""), F.lit("</CHAT>"))
@@ -41,17 +46,16 @@ def as_xml(rows: DataFrame) -> DataFrame:
 
 @query(f"WITH {TOK} SELECT conv_id::VARCHAR AS pid, role AS who, ord AS utterance_order, token_order, gloss AS word FROM t")
 def xml_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = talkbank_xml.parsed(as_xml(utt(spark, sf_dir)))
-    words = talkbank_xml.words(docs).join(docs.select("path", F.col("attributes")["PID"].alias("pid")), "path")
-    return words.select("pid", "who", F.col("utterance_order").cast("long").alias("utterance_order"), F.col("token_order").cast("long").alias("token_order"), "word")
+    words = talkbank_xml.words(talkbank_xml.parsed(as_xml(utt(spark, sf_dir))), attribute="PID")
+    return words.select(F.col("PID").alias("pid"), "who", F.col("utterance_order").cast("long").alias("utterance_order"), F.col("token_order").cast("long").alias("token_order"), "word")
 
 
-def as_json(rows: DataFrame) -> DataFrame:
-    """Conversations as parsed-document JSON: path, text. Users are the target children."""
+def as_json(rows: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """Conversations as parsed-document JSON: path, text. Users are the target children. more: further fields of an utterance's line."""
     word = lambda w: F.struct(F.lit("word").alias("type"), w.alias("cleaned_text"))
     mark = F.struct(F.when(F.col("role") == "user", "question").otherwise("period").alias("type"))
     content = F.struct(F.transform("tokens", word).alias("content"), mark.alias("terminator"))
-    line = F.struct(F.lit("utterance").alias("line_type"), F.struct(F.col("role").alias("speaker"), content.alias("content")).alias("main"))
+    line = F.struct(F.lit("utterance").alias("line_type"), F.struct(F.col("role").alias("speaker"), content.alias("content")).alias("main"), *[c.alias(k) for k, c in (more or {}).items()])
     people = F.collect_set("role")
     about = lambda r: F.struct(r.alias("code"), F.lit(None).cast("string").alias("name"), F.when(r == "user", "Target_Child").otherwise(F.initcap(r)).alias("role"))
     rows = rows.groupBy("conv_id").agg(L.ordered(line, F.col("order")).alias("lines"), F.map_from_entries(F.transform(F.array_sort(people), lambda r: F.struct(r, about(r)))).alias("participants"))
@@ -113,21 +117,16 @@ def stream_dedup_pid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First rows of each pid, from a stream of document files."""
     path = f"{sf_dir}/documents.parquet"
     schema = spark.read.parquet(path).schema
-    stream = ingest.files(spark, _as_folder(path), schema, pathGlobFilter="*.parquet").select(F.md5("text").alias("pid"))
+    stream = ingest.files(spark, ingest.folder_of(path), schema, pathGlobFilter="*.parquet").select(F.md5("text").alias("pid"))
     out = _folder(spark)
     return ingest.to_parquet(ingest.first_pids(stream), f"{out}/data", f"{out}/state")
 
 
-def _as_folder(path: str) -> str:
-    """A path that the file stream takes whether it is a file or a folder."""
-    return f"{path.rsplit('/', 1)[0]}/{path.rsplit('/', 1)[1].replace('.parquet', '.parque[t]')}"
-
-
 @query("SELECT user_id, min(value) FILTER (value > 0) AS min_age, max(value) FILTER (value > 0) AS max_age FROM events GROUP BY user_id")
 def stream_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running age ranges from a stream of events."""
     path = f"{sf_dir}/events.parquet"
-    stream = ingest.files(spark, _as_folder(path), spark.read.parquet(path).schema)
+    stream = ingest.files(spark, ingest.folder_of(path), spark.read.parquet(path).schema)
     out = _folder(spark)
     ingest.run(ingest.age_ranges(stream, ["user_id"], "value"), f"{out}/state", ingest.upsert(f"{out}/data", ["user_id"]), "update")
     return ingest.latest(spark, f"{out}/data", ["user_id"])

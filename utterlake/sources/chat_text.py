@@ -74,15 +74,23 @@ def head_field(content: Column, pattern: str, n_bytes: int = 4096) -> Column:
     return F.nullif(F.regexp_extract(folded, pattern, 1), F.lit(""))
 
 
+def pid_of(content: Column) -> Column:
+    return head_field(content, r"(?m)^@PID:\s*(\S+)")
+
+
+def child_name_of(content: Column) -> Column:
+    """How the participants header names CHI, null if it doesn't."""
+    people = head_field(content, r"(?m)^@Participants:\s*(.*)$", 6000)
+    return F.nullif(F.regexp_extract(people, r"(?:^|,)\s*CHI\s+(?!Target_Child)(\S+)\s+Target_Child", 1), F.lit(""))
+
+
 def pids(spark: SparkSession, root: str) -> DataFrame:
     """Distinct PIDs of the CHAT files under root, from their headers alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.cha").load(root)
-    return files.select(head_field(F.col("content"), r"(?m)^@PID:\s*(\S+)").alias("pid")).where("pid IS NOT NULL").distinct()
+    return files.select(pid_of(F.col("content")).alias("pid")).where("pid IS NOT NULL").distinct()
 
 
 def child_names(spark: SparkSession, root: str) -> DataFrame:
     """path, name: how each file's participants header names its CHI, null if it doesn't."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.cha").load(root)
-    people = head_field(F.col("content"), r"(?m)^@Participants:\s*(.*)$", 6000)
-    name = F.regexp_extract(people, r"(?:^|,)\s*CHI\s+(?!Target_Child)(\S+)\s+Target_Child", 1)
-    return files.select("path", F.nullif(name, F.lit("")).alias("name"))
+    return files.select("path", child_name_of(F.col("content")).alias("name"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable, Mapping
+from contextlib import contextmanager
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,11 +86,182 @@ def identity_map(spark: SparkSession, path: str) -> DataFrame:
     """corpus_id, path, key, name of identity maps in JSON."""
     schema = "corpus_id long, bank string, corpus string, rule string, confidence string, assignments map<string,struct<key:string,name:string>>"
     rows = spark.read.schema(schema).json(path, multiLine=True)
-    return rows.select("corpus_id", F.explode("assignments").alias("path", "a")).select("corpus_id", "path", "a.key", "a.name")
+    return assignments(rows)
+
+
+def assignments(maps: DataFrame) -> DataFrame:
+    """corpus_id, path, key, name of identity maps (corpus_id, assignments)."""
+    return maps.select("corpus_id", F.explode("assignments").alias("path", "a")).select("corpus_id", "path", "a.key", "a.name")
 
 
 # Sinks
 
+Result = TypeVar("Result")
+
+
+def retry(call: Callable[[], Result], attempts: int = 5, wait: float = 1.0, when: Callable[[Exception], bool] | None = None) -> Result:
+    """call(), again after wait, 2 * wait, 3 * wait, ... seconds if it failed of a deadlock (or of what `when` says); the last failure is raised."""
+    transient = when or (lambda e: "deadlock" in str(e).lower())
+    for n in range(1, attempts + 1):
+        try:
+            return call()
+        except Exception as e:
+            if n == attempts or not transient(e):
+                raise
+            time.sleep(n * wait)
+    raise ValueError("attempts must be at least 1")
+
+
+class Files:
+    """Small files and renames in a folder of any file system that Spark can open."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self.folder, self._fs = folder, self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def path(self, name: str = ""):
+        return self._path(f"{self.folder}/{name}" if name else self.folder)
+
+    def exists(self, name: str = "") -> bool:
+        return self._fs.exists(self.path(name))
+
+    def read(self, name: str) -> str:
+        size = self._fs.getFileStatus(self.path(name)).getLen()
+        stream = self._fs.open(self.path(name))
+        try:
+            return bytes(stream.readNBytes(size)).decode()
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str, overwrite: bool = True) -> None:
+        """A file with all of text: under another name first, so that no reader sees a part of it. overwrite=False fails if it is there."""
+        target = self.path(name) if not overwrite else self.path(f"_new-{name}")
+        stream = self._fs.create(target, overwrite)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if overwrite:
+            self.remove(name)
+            self.rename(f"_new-{name}", name)
+
+    def rename(self, old: str, new: str) -> None:
+        if not self._fs.rename(self.path(old), self.path(new)):
+            raise OSError(f"{self.folder}/{old} cannot be renamed to {new}")
+
+    def remove(self, name: str = "") -> None:
+        self._fs.delete(self.path(name), True)
+
+    def listed(self, name: str = "") -> list[str]:
+        return sorted(x.getPath().getName() for x in self._fs.listStatus(self.path(name))) if self.exists(name) else []
+
+    @contextmanager
+    def lock(self, name: str = "_lock"):
+        """Held by one at a time: a file whose creation fails where it is there. A holder that dies leaves it for someone to remove."""
+        self._fs.mkdirs(self.path())
+        try:
+            self.write(name, "", overwrite=False)
+        except Exception as e:
+            raise BlockingIOError(f"{self.folder} is being written by another") from e
+        try:
+            yield self
+        finally:
+            self.remove(name)
+
+
+def export_parts(df: DataFrame, out: str, key: str = "id", rows: int = 50_000_000, stop_after: int | None = None) -> dict:
+    """df as zstd parquet folders out/part-00000, ..., each the rows of a range of `rows` values of its key; returns {"rows", "parts", "done"}.
+
+    A part is written under another name and renamed once whole; _progress.json says how far the export came and _done.json that it
+    is complete. Called again, it goes on behind the last whole part, or does nothing if it is done. One export at a time holds the
+    folder's lock. An empty table gives one part without rows. stop_after: end after so many parts of this call.
+    """
+    files = Files(df.sparkSession, out)
+    with files.lock():
+        if files.exists("_done.json"):
+            return json.loads(files.read("_done.json"))
+        state = json.loads(files.read("_progress.json")) if files.exists("_progress.json") else {"next": None, "parts": 0, "rows": 0}
+        ends = df.agg(F.min(key).alias("a"), F.max(key).alias("b")).first()
+        start = state["next"] if state["next"] is not None else ends.a
+        written = 0
+        while (ends.a is None and state["parts"] == 0) or (start is not None and start <= ends.b):
+            if written == stop_after:
+                return {"rows": state["rows"], "parts": state["parts"], "done": False}
+            name = f"part-{state['parts']:05d}"
+            rest = df if ends.a is None else df.where((F.col(key) >= start) & (F.col(key) < start + rows))
+            rest.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/_new-{name}")
+            if files.exists(name):  # renamed, but not yet in the progress file when the last call ended
+                files.remove(name)
+            files.rename(f"_new-{name}", name)
+            start = None if start is None else start + rows
+            state = {"next": start, "parts": state["parts"] + 1, "rows": state["rows"] + df.sparkSession.read.parquet(f"{out}/{name}").count()}
+            files.write("_progress.json", json.dumps(state))
+            written += 1
+        done = {"rows": state["rows"], "parts": state["parts"], "done": True}
+        files.write("_done.json", json.dumps(done))
+        files.remove("_progress.json")
+        return done
+
+
+def exported(spark: SparkSession, out: str) -> DataFrame:
+    """The whole parts of an export."""
+    return spark.read.parquet(f"{out}/part-*")
+
+
+def write_by(df: DataFrame, out: str, column: str) -> None:
+    """One folder for each value of a column (a release's file for each collection); written again, a value replaces its own folder."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(out)
+
+
+def update_columns(df: DataFrame, computed: DataFrame, key: list[str]) -> DataFrame:
+    """df with its columns set to those of computed where the key is found there: rows inserted first and completed later, in one plan.
+
+    A key that computed lacks keeps df's values; a null in computed sets null. computed has one row a key.
+    """
+    new = [c for c in computed.columns if c not in key]
+    found = computed.select(*key, F.struct(*new).alias("_new"))
+    rows = df.join(found, key, "left")
+    value = lambda c: F.when(F.col("_new").isNotNull(), F.col("_new")[c]).otherwise(F.col(c) if c in df.columns else F.lit(None)).alias(c)
+    return rows.select(*[value(c) if c in new else F.col(c) for c in df.columns], *[value(c) for c in new if c not in df.columns])
+
+
+def natural_join(a: DataFrame, b: DataFrame, how: str = "inner") -> DataFrame:
+    """a and b joined on all columns that both have; without any it is an error, as every row would meet every other."""
+    common = [c for c in a.columns if c in b.columns]
+    if not common:
+        raise ValueError("the tables share no column")
+    return a.join(b, common, how)
+
+
+def by_size(files: DataFrame, size: str, workers: int) -> DataFrame:
+    """files with place (from 1, the largest first, ties by the other columns) and worker (place dealt to and fro): an order to schedule them in.
+
+    For a catalogue of files, which one task orders.
+    """
+    rest = [c for c in files.columns if c != size]
+    place = F.row_number().over(Window.orderBy(F.desc(size), *rest))
+    rows = files.withColumn("place", place)
+    turn = F.pmod(F.col("place") - 1, F.lit(2 * workers))
+    return rows.withColumn("worker", F.when(turn < workers, turn).otherwise(2 * workers - 1 - turn))
+
+
+#: Collections that the merged tree names otherwise.
+RENAMED = {"Dutch": "DutchAfrikaans"}
+
+
+def merge_trees(listing: DataFrame, renamed: Mapping[str, str] | None = None) -> DataFrame:
+    """path, bank, source: what a merged tree holds at each path, and the file that it comes from.
+
+    listing: bank, place (order of the banks), path (collection/corpus/...) of every file. Folders are united at every depth, a later bank's
+    file replaces an earlier one's, and collections are renamed.
+    """
+    names = RENAMED if renamed is None else renamed
+    first, rest = F.split_part("path", F.lit("/"), F.lit(1)), F.regexp_extract("path", "^[^/]*(.*)$", 1)
+    to: Column = first
+    for old, new in names.items():
+        to = F.when(first == old, new).otherwise(to)
+    return listing.groupBy(F.concat(to, rest).alias("target")).agg(F.max_by(F.struct("bank", "path"), F.struct("place", "path")).alias("w")).select(F.col("target").alias("path"), F.col("w.bank").alias("bank"), F.col("w.path").alias("source"))
+
 
 def write_table(df: DataFrame, base: str, version: str, name: str, partition_by: str | None = "corpus_id") -> str:
     """A table of a release as zstd parquet under base/version/name. Written again, it replaces the partitions that it holds; an empty one leaves a file with its schema."""
@@ -104,8 +280,9 @@ def read_table(spark: SparkSession, base: str, version: str, name: str) -> DataF
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: Mapping[str, str] | None = None) -> None:
-    """Rows into a database in batches of 1000."""
-    df.write.jdbc(url, table, mode, {"batchsize": "1000", **(properties or {})})
+    """Rows into a database in batches of 1000. Overwriting starts again after a deadlock; appending doesn't, as it could add rows twice."""
+    write = lambda: df.write.jdbc(url, table, mode, {"batchsize": "1000", **(properties or {})})
+    retry(write) if mode == "overwrite" else write()
 
 
 def write_csv(df: DataFrame, out: str) -> None:

@@ -9,9 +9,11 @@ from __future__ import annotations
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 NS = "{http://www.talkbank.org/ns/talkbank}"
 
@@ -126,16 +128,25 @@ def parse(path: str, text: str) -> dict:
     return {"path": path, "attributes": dict(root.attrib), "participants": people, "utterances": utterances, "error": None}
 
 
+def _listed(document: dict) -> dict:
+    """A document with its maps as lists of pairs, as Arrow wants them."""
+    pairs = lambda m: None if m is None else list(m.items())
+    people = document["participants"]
+    return document | {"attributes": pairs(document["attributes"]), "participants": None if people is None else [pairs(p) for p in people]}
+
+
 def parsed(files: DataFrame) -> DataFrame:
     """Documents (DOCUMENT) of files (path, text)."""
+    schema = to_arrow_schema(T.StructType.fromDDL(DOCUMENT))
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, len(batch), 16):
-                part = batch.iloc[a : a + 16]
-                yield pd.DataFrame([parse(p, t) for p, t in zip(part["path"], part["text"])])
+                part = batch.slice(a, 16)
+                rows = [parse(p, t) for p, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+                yield pa.RecordBatch.from_pylist([_listed(r) for r in rows], schema)
 
-    return files.select("path", "text").mapInPandas(walk, DOCUMENT)
+    return files.select("path", "text").mapInArrow(walk, DOCUMENT)
 
 
 def read(spark: SparkSession, root: str, pattern: str = "*.xml") -> DataFrame:
@@ -154,9 +165,10 @@ def participants(docs: DataFrame) -> DataFrame:
     return docs.select("path", F.posexplode("participants").alias("position", "attributes")).withColumn("code", F.col("attributes")["id"])
 
 
-def utterances(docs: DataFrame, speaker: str | list[str] = "ALL") -> DataFrame:
-    """A row for each utterance in order: path, utterance_order (from 1), and UTTERANCE."""
-    rows = docs.select("path", F.posexplode("utterances").alias("at", "u")).select("path", (F.col("at") + 1).alias("utterance_order"), "u.*")
+def utterances(docs: DataFrame, speaker: str | list[str] = "ALL", attribute: str | None = None) -> DataFrame:
+    """A row for each utterance in order: path, utterance_order (from 1), and UTTERANCE; and one of the root's attributes, by its name."""
+    own = [] if attribute is None else [F.col("attributes")[attribute].alias(attribute)]
+    rows = docs.select("path", *own, F.posexplode("utterances").alias("at", "u")).select("path", *([attribute] if attribute else []), (F.col("at") + 1).alias("utterance_order"), "u.*")
     return rows if speaker == "ALL" else rows.where(F.col("who").isin([speaker] if isinstance(speaker, str) else speaker))
 
 
@@ -165,15 +177,16 @@ def _word(stem: bool, replace: bool) -> Column:
     return F.when(F.col("t.replacement") != "", F.col("t.replacement")).otherwise(form) if replace else form
 
 
-def _exploded(docs: DataFrame, speaker) -> DataFrame:
-    return utterances(docs, speaker).select("path", "utterance_order", "who", F.explode("tokens").alias("t"))
+def _exploded(docs: DataFrame, speaker, attribute: str | None = None) -> DataFrame:
+    return utterances(docs, speaker, attribute).select("path", *([attribute] if attribute else []), "utterance_order", "who", F.explode("tokens").alias("t"))
 
 
-def words(docs: DataFrame, speaker="ALL", *, stem: bool = False, relation: bool = False, replace: bool = False, strip_space: bool = True) -> DataFrame:
-    """The word stream: path, utterance_order, who, token_order, word (and pos, relation)."""
+def words(docs: DataFrame, speaker="ALL", *, stem: bool = False, relation: bool = False, replace: bool = False, strip_space: bool = True, attribute: str | None = None) -> DataFrame:
+    """The word stream: path, utterance_order, who, token_order, word (and pos, relation; and one of the root's attributes)."""
     w = _word(stem, replace)
     extra = [F.col("t.pos").alias("pos"), F.col("t.relation").alias("relation")] if relation else []
-    return _exploded(docs, speaker).select("path", "utterance_order", "who", "t.token_order", (F.trim(w) if strip_space else w).alias("word"), *extra)
+    extra += [attribute] if attribute else []
+    return _exploded(docs, speaker, attribute).select("path", "utterance_order", "who", "t.token_order", (F.trim(w) if strip_space else w).alias("word"), *extra)
 
 
 def tagged_words(docs: DataFrame, speaker="ALL", **options) -> DataFrame:

@@ -14,6 +14,12 @@ def files(spark: SparkSession, path: str, schema, fmt: str = "parquet", **option
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
+def folder_of(path: str) -> str:
+    """A path that the file stream takes whether it is a file or a folder."""
+    above, name = path.rsplit("/", 1)
+    return f"{above}/{name.replace('.parquet', '.parque[t]')}"
+
+
 def run(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Hand all that is new to write(batch, number), then stop; a later run goes on from the checkpoint."""
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()

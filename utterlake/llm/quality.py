@@ -5,8 +5,8 @@ the features in turn, fits a tree of up to three leaves on the feature's bins to
 the feature's lookup table. Pairs whose residuals a two-by-two split explains best get tables over coarse grids in
 the same way. A score is the sum of one table entry for each feature and pair, through the logistic function.
 
-The model is fitted in the driver on at most `sample` labelled rows (those of least hash of their id); features and scores
-cover all rows. Labels of rows with crc32(doc_id as text) mod 3 = 1 are never used, so that they can measure accuracy.
+The model is fitted in the driver on at most `sample` labelled rows (those of least hash of their id). They are chosen by id alone
+and only they are turned into vectors for it; then one pass over all rows makes each row's vector and score. Labels of rows with crc32(doc_id as text) mod 3 = 1 are never used, so that they can measure accuracy.
 
 Defined cases: null and empty texts have the vector of the empty text and get a score like any other; rows of labels with a null
 quality or an unknown doc_id are ignored; without labels of both kinds every score is their mean (0.5 without any);
@@ -169,50 +169,54 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     return m
 
 
-def featurize(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and x, the feature vector, for each row."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def featurize(docs: DataFrame) -> DataFrame:
+    """doc_id, y, x (the feature vector) for each row of docs (doc_id, y, text)."""
 
     def scan(batches):
         for batch in batches:
-            for a, b in text_slices(batch.column(1)):
-                x = [features(t) for t in batch.column(1).slice(a, b - a).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+            for a, b in text_slices(batch.column(2)):
+                part = batch.slice(a, b - a)
+                x = [features(t) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "x"])
 
-    return rows.mapInArrow(scan, "doc_id long, x array<double>")
+    return docs.select("doc_id", "y", "text").mapInArrow(scan, "doc_id long, y int, x array<double>")
 
 
-def train(vectors: DataFrame, labels: DataFrame, *, label: str = "quality", doc_id: str = "doc_id", sample: int = SAMPLE) -> Model:
-    """Fit on at most `sample` rows of vectors (as of featurize()) that have a label and aren't held out."""
-    marks = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)")
-    usable = vectors.join(marks, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", label_id: str = "doc_id", sample: int = SAMPLE) -> Model:
+    """Fit on at most `sample` rows of docs that have a label and aren't held out: those whose doc_id has the least hash."""
+    marks = labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("y IN (0, 1)")
+    marks = marks.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
+    usable = docs.select(F.col(doc_id).cast("long").alias("doc_id")).join(marks, "doc_id").select("doc_id", "y", place.alias("place"))
     # a cut by hash first, so that tasks send little more than the sample between them
     share = 1.3 * sample / max(1, usable.count())
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) / float(1 << 32)
-    got = usable.where(place < share).orderBy(place, "doc_id", "y", "x").limit(sample).select("x", "y").collect()
+    chosen = cut(usable.where(F.col("place") < share).orderBy("place", "doc_id", "y").limit(sample).distinct(), "quality-sample")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    vectors = featurize(own.join(F.broadcast(chosen), "doc_id"))
+    got = vectors.orderBy(place, "doc_id", "y", "x").limit(sample).select("x", "y").collect()
     x = np.array([r.x for r in got], np.float64).reshape(-1, len(FEATURES))
     return fit(x, np.array([r.y for r in got], np.float64))
 
 
 def scores(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """doc_id, held_out, score, predicted for each document."""
-    vectors = cut(featurize(docs, doc_id, text), "quality-features")
-    model = docs.sparkSession.sparkContext.broadcast(train(vectors, labels, doc_id=options.pop("label_id", "doc_id"), **options))
+    """doc_id, held_out, score, predicted for each document. options: those of train()."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, doc_id=doc_id, text=text, **options))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def scan(batches):
         for batch in batches:
-            x = batch.column(1).flatten().to_numpy().reshape(len(batch), len(FEATURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.value.score(x))], ["doc_id", "score"])
+            for a, b in text_slices(batch.column(1)):
+                x = np.array([features(t) for t in batch.column(1).slice(a, b - a).to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(model.value.score(x))], ["doc_id", "score"])
 
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    scored = vectors.mapInArrow(scan, "doc_id long, score double")
+    scored = rows.mapInArrow(scan, "doc_id long, score double")
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5, **options) -> DataFrame:
-    """docs without the rows that score below threshold. Rows stay where they are: nothing but feature vectors is shuffled."""
-    vectors = cut(featurize(docs, doc_id, text), "quality-features")
-    model = docs.sparkSession.sparkContext.broadcast(train(vectors, labels, doc_id=options.pop("label_id", "doc_id"), **options))
+    """docs without the rows that score below threshold, in one pass. options: those of train()."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, doc_id=doc_id, text=text, **options))
     k, n = docs.columns.index(text), len(docs.columns)
     own = docs.toDF(*[f"_c{i}" for i in range(n)])
 

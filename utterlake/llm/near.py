@@ -150,12 +150,14 @@ class _Links:
         self.sets, self.k, self.part, self.whole = sets, k, part, whole
         self.labels = cut(members.select("key").distinct().withColumn("comp", F.col("key")), "near-labels")
         self.tested: DataFrame | None = None
+        self.written: list[DataFrame] = []
 
     def test(self, pairs: DataFrame) -> None:
         """pairs: a, b (a < b, distinct). Tests those not yet tested and joins the components of the similar ones."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "near-pairs")
+        self.written.append(pairs)
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
         k, least, part, whole = self.k, (self.part / self.whole - FLOOR) * self.k, self.part, self.whole
 
@@ -187,8 +189,9 @@ class _Links:
     def open_buckets(self, members: DataFrame) -> DataFrame:
         """The rows (band, key, comp) of members whose buckets hold more than one component, with the bucket's size m."""
         rows = members.select("band", "key").join(self.labels, "key")
+        rows = cut(rows, "near-rows")
         open_ = rows.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x <> y").select("band", "m")
-        return cut(rows.join(open_, "band"), "near-open")
+        return cut(rows.join(cut(open_, "near-bands"), "band"), "near-open")
 
 
 def _both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -277,12 +280,13 @@ def _edge_table(edges: list) -> pa.Table:
 def _largest(rows: DataFrame) -> DataFrame:
     """rows (band, key, comp) with big, the component that has most classes in the bucket."""
     sizes = rows.groupBy("band", "comp").count()
-    return rows.join(sizes.groupBy("band").agg(F.max(F.struct("count", "comp"))["comp"].alias("big")), "band")
+    return rows.join(cut(sizes.groupBy("band").agg(F.max(F.struct("count", "comp"))["comp"].alias("big")), "near-largest"), "band")
 
 
 def _in_chunks(rows: DataFrame, by: str, size: int, chunk: str) -> DataFrame:
-    n = F.row_number().over(W.partitionBy(by).orderBy("key"))
-    return rows.withColumn(chunk, F.floor((n - 1) / size))
+    """rows with the number of a chunk, drawn by hash so that chunks hold some `size` rows of a group, and last, the group's largest number."""
+    last = rows.groupBy(by).agg(F.floor((F.count("*") - 1) / size).alias(f"last_{chunk}"))
+    return rows.join(cut(last, "near-chunks"), by).withColumn(chunk, F.pmod(_order("key", 3), F.col(f"last_{chunk}") + 1))
 
 
 def _until(last: str) -> Column:
@@ -293,10 +297,10 @@ def _outside_links(rows: DataFrame, links: _Links) -> DataFrame:
     """Links (a, b) between classes outside a bucket's largest component and that component, one for each class at most."""
     outside = _largest(rows).where("comp <> big").select("big", "key").distinct()
     inside = links.labels.join(outside.select(F.col("big").alias("comp")).distinct(), "comp").select(F.col("comp").alias("big"), "key")
-    outside, inside = _in_chunks(outside, "big", STRAYS, "i"), _in_chunks(inside, "big", MEMBERS, "j")
-    last = outside.groupBy("big").agg(F.max("i").alias("last_i")).join(inside.groupBy("big").agg(F.max("j").alias("last_j")), "big")
-    one = outside.join(last, "big").select("big", "i", _until("last_j").alias("j"), "key", F.lit(True).alias("stray"))
-    other = inside.join(last, "big").select("big", _until("last_i").alias("i"), "j", "key", F.lit(False).alias("stray"))
+    outside, inside = cut(_in_chunks(outside, "big", STRAYS, "i"), "near-outside"), cut(_in_chunks(inside, "big", MEMBERS, "j"), "near-inside")
+    last_i, last_j = (cut(x.select("big", c).distinct(), "near-chunks") for x, c in ((outside, "last_i"), (inside, "last_j")))
+    one = outside.join(last_j, "big").select("big", "i", _until("last_j").alias("j"), "key", F.lit(True).alias("stray"))
+    other = inside.join(last_i, "big").select("big", _until("last_i").alias("i"), "j", "key", F.lit(False).alias("stray"))
     k, part, whole = links.k, links.part, links.whole
 
     def block(table: pa.Table) -> pa.Table:
@@ -318,7 +322,7 @@ def _bands_of(sig: np.ndarray, one: np.ndarray, bands: int, rows: int) -> np.nda
 def _stray_links(rows: DataFrame, links: _Links, bands: int, n_rows: int) -> DataFrame:
     """Links (a, b) between classes outside their bucket's largest component; a pair is looked at in the first bucket that it shares."""
     stray = _in_chunks(_largest(rows).where("comp <> big").select("band", "key", "comp"), "band", STRAYS, "c")
-    stray = stray.join(stray.groupBy("band").agg(F.max("c").alias("last")), "band").withColumn("d", _until("last"))
+    stray = stray.withColumn("d", _until("last_c"))
     stray = stray.select("band", F.least("c", "d").alias("i"), F.greatest("c", "d").alias("j"), "c", "key", "comp")
     k, part, whole = links.k, links.part, links.whole
 
@@ -381,9 +385,12 @@ several may have equal or null component_ids where doc_ids are repeated or null;
     classes = signed.where("key IS NOT NULL").groupBy("key").agg(first.alias("f"))
     classes = cut(classes.select("key", F.col("f.doc_id").alias("doc_id"), F.col("f.mark").alias("mark"), F.col("f.sig").alias("sig")), "near-classes")
     members = _band_rows(classes, bands, rows)
-    order = W.partitionBy("band").orderBy(_order("key", 0), "key")
-    members = members.withColumns({"hub": F.first("key").over(order), "more": F.lead(F.lit(1)).over(order)})
-    members = cut(members.where("key <> hub OR more = 1").select("band", "key", "hub"), "near-members")
+    # hubs are added up in the tasks, then joined as a table: Spark splits the rows of a band that very many classes share
+    shared = cut(members.groupBy("band").agg(F.count("*").alias("n"), F.min(_order("key", 0)).alias("least")).where("n > 1").drop("n"), "near-bands")
+    members = cut(members.join(shared, "band"), "near-members")
+    firsts = members.where(_order("key", 0) == F.col("least"))
+    hubs = cut(firsts.groupBy("band").agg(F.min("key").alias("hub")), "near-hubs")
+    members = cut(members.drop("least").join(hubs, "band"), "near-members")
 
     wanted = classes.join(members.select("key").distinct(), "key", "left_semi").select("key", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     own = marked.join(wanted, marked["doc_id"].eqNullSafe(wanted["_id"]) & (marked["mark"] == wanted["_mark"]))
@@ -398,6 +405,8 @@ several may have equal or null component_ids where doc_ids are repeated or null;
     if left.take(1):  # both over the same components, so that together they cover every pair of a bucket
         links.add(_outside_links(left, links).unionByName(_stray_links(left, links, bands, rows)))
 
+    for done in (members, sets, *links.written):
+        drop_cut(done)
     named = classes.select("key", "doc_id").join(links.labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_key = named.join(least, "comp").select("key", "component_id", "comp")

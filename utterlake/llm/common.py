@@ -17,18 +17,31 @@ _own_dir: list[str] = []
 _shipped: set[str] = set()
 
 
-def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A fresh path under the folder that spark.checkpoint.dir names, which all executors share.
+def _session_dir(spark: SparkSession) -> str:
+    """The folder of a session's intermediate tables, under the one that spark.checkpoint.dir names, which all executors share.
 
-    Where the setting is absent (local tests) a temporary folder of this process stands in and is removed at exit.
+    Where the setting is absent, which only a local session may leave so, a temporary folder of this process stands in.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    base = sc.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="utterlake-"))
             atexit.register(shutil.rmtree, _own_dir[0], True)
         base = "file://" + _own_dir[0]
-    return f"{base.rstrip('/')}/utterlake/{tag}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/utterlake/{sc.applicationId}"
+
+
+def shared_dir(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the session's shared folder."""
+    return f"{_session_dir(spark)}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that operators have left in the session's shared folder; DataFrames that they returned cannot be read after it."""
+    remove(spark, _session_dir(spark))
 
 
 def ship(spark: SparkSession) -> None:

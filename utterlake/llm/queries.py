@@ -25,7 +25,7 @@ def vocabulary() -> str:
 
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each document's ids lie in the id stream, and their checksum, as read back from the shards."""
-    rows = tokens.token_output(_table(spark, sf_dir, "documents"), vocabulary(), keep=False)
+    rows = tokens.token_output(_table(spark, sf_dir, "documents"), vocabulary(), keep=False, as_text=False)
     return rows.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

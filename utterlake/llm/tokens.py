@@ -11,9 +11,10 @@ A shard is one file in the public seekable zstandard layout:
 
 Spark's text writer puts its line separator behind each row. The separator is set to those 4 magic bytes: they close
 the seek table, and elsewhere they are the payload of a padding frame. So shards are written frame by frame through
-Spark's committer, to any store, and a lost executor only repeats its own shard.
+Spark's committer, to any store, and a lost executor only repeats its own shards. A shard ends at the first document's end behind
+its SHARD_ROWS - 1 frames, and the task's next shard begins, so a shard's size is bounded by that and one document.
 
-Defined cases: strings of added tokens inside a text are encoded as ordinary text, unlike in the library's default;
+Defined cases: strings of added tokens inside a text are ordinary text, or with as_text=False, the library's default, their ids;
 a null or empty text is the end id alone; rows with equal doc_id follow each other by hash of their text; a null
 doc_id comes first; an empty table gives no documents; columns other than the two named are ignored.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -38,6 +40,8 @@ SEEK_MAGIC = struct.pack("<I", 0x8F92EAB1)
 SEEK_FRAME, INDEX_FRAME, PAD_FRAME = 0x184D2A5E, 0x184D2A5D, 0x184D2A50
 PAD = struct.pack("<II", PAD_FRAME, len(SEEK_MAGIC))
 FRAME_IDS = 1 << 16
+#: Rows of the writer that make a shard: a frame each, the last with the index (some 0.4 GB).
+SHARD_ROWS = 4096
 #: Units that a worker remembers; beyond, it starts afresh. Changes speed, never ids.
 CACHE_UNITS = 500_000
 #: Bytes of text that are encoded at a time (or one longer text).
@@ -79,16 +83,32 @@ def unit_starts(buf: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut_at[:n])
 
 
+def _splits(path: str) -> bool:
+    """Whether a tokenizers file cuts texts by the pattern that unit_starts() knows: bytes of the plain text, no normalizer."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    pre, model = said.get("pre_tokenizer") or {}, said.get("model") or {}
+    own = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+    return bool(own and not said.get("normalizer") and model.get("type", "BPE") == "BPE" and not model.get("dropout"))
+
+
 class Encoder:
-    """Whole texts to ids with the tokenizers library; each distinct unit of text is encoded once and remembered."""
+    """Whole texts to ids with the tokenizers library; each distinct unit of text is encoded once and remembered.
+
+    Units are found by hash and compared byte by byte. Texts are encoded whole, as the library has it, if they hold a string of an added
+    token that isn't to be text, if a unit's hash belongs to another unit, or if the vocabulary cuts texts in ways of its own.
+    """
 
-    def __init__(self, path: str, end_id: int, cache_units: int = CACHE_UNITS):
+    def __init__(self, path: str, end_id: int, cache_units: int = CACHE_UNITS, as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
-        self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
+        self.lib.encode_special_tokens = as_text
+        added = self.lib.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if not (as_text and t.special)]
+        self.splits = _splits(path)
+        self.dtype = np.dtype("<u2" if max(self.lib.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4")
         self.end_id, self.cache_units = end_id, cache_units
         self.width = self._widths()
         self._clear()
@@ -105,6 +125,7 @@ class Encoder:
         self.seen = {int(hash_spans(end, np.array([0]), np.array([1]))[0]): 0}
         self.at, self.len = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.ids = np.array([self.end_id], self.dtype)
+        self.raw, self.raw_at, self.raw_len = end, np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def _learn(self, units: list[bytes], keys: list[int]) -> None:
         """Units that start with a space and end in none keep their ids when joined, so they are encoded many at a time."""
@@ -133,10 +154,39 @@ class Encoder:
         self.ids = np.concatenate([self.ids, *ids])
         self.at = np.concatenate([self.at, base + np.cumsum(lens) - lens])
         self.len = np.concatenate([self.len, lens])
-        self.seen.update((keys[i], first + k) for k, i in enumerate([i for g in groups for i in g] + odd))
+        order = [i for g in groups for i in g] + odd
+        self.seen.update((keys[i], first + k) for k, i in enumerate(order))
+        self.raw_at = np.concatenate([self.raw_at, len(self.raw) + np.cumsum(size[order]) - size[order]])
+        self.raw_len = np.concatenate([self.raw_len, size[order]])
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join([units[i] for i in order]), np.uint8)])
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and the count for each text."""
+        whole = {i for i, t in enumerate(texts) if t and (not self.splits or any(x in t for x in self.added))}
+        ids, counts, wrong = self._by_units([None if i in whole else t for i, t in enumerate(texts)])
+        whole |= wrong
+        if not whole:
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for i, e in zip(sorted(whole), self.lib.encode_batch_fast([texts[i] for i in sorted(whole)], add_special_tokens=False)):
+            parts[i] = np.array([*e.ids, self.end_id], self.dtype)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+    def _other_bytes(self, buf: np.ndarray, docs: np.ndarray, starts: np.ndarray, ends: np.ndarray, unit: np.ndarray) -> set[int]:
+        """Texts in which a unit isn't, byte by byte, the remembered one of its hash."""
+        lens = ends - starts
+        bad = lens != self.raw_len[unit]
+        if not bad.any():
+            differs = self.raw[np.arange(len(buf)) + np.repeat(self.raw_at[unit] - starts, lens)] != buf
+            if not differs.any():
+                return set()
+            bad = np.add.reduceat(differs, starts) > 0
+        else:
+            bad |= [buf[a:b].tobytes() != self.raw[at : at + n].tobytes() for a, b, at, n in zip(starts, ends, self.raw_at[unit], self.raw_len[unit])]
+        return set((np.searchsorted(docs, starts[bad], "right") - 1).tolist())
+
+    def _by_units(self, texts: list) -> tuple[np.ndarray, np.ndarray, set[int]]:
+        """Ids and counts as of encode(), and the texts for which they don't hold."""
         buf, docs = joined_bytes(texts)
         starts = unit_starts(buf, docs)
         ends = np.append(starts[1:], len(buf))
@@ -156,25 +206,25 @@ class Encoder:
         total = int(before[-1] + lens[-1])
         ids = self.ids[np.repeat(self.at[unit] - before, lens) + np.arange(total)]
         counts = np.diff(np.append(before[np.searchsorted(starts, docs)], total))
-        return ids, counts
+        return ids, counts, self._other_bytes(buf, docs, starts, ends, unit)
 
 
 _encoders: dict = {}
 
 
-def encoder(path: str, end_id: int) -> Encoder:
+def encoder(path: str, end_id: int, as_text: bool = True) -> Encoder:
     """One encoder for each worker process and vocabulary."""
-    if (path, end_id) not in _encoders:
-        _encoders[path, end_id] = Encoder(path, end_id)
-    return _encoders[path, end_id]
+    key = (path, end_id, as_text)
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, end_id, as_text=as_text)
+    return _encoders[key]
 
 
-def _frames(batches: Iterator[pa.RecordBatch], path: str, end_id: int, frame_ids: int) -> Iterator[bytes]:
-    """Rows of a shard: padded data frames, then index and seek table, all without the closing 4 bytes."""
+def _frames(batches: Iterator[pa.RecordBatch], enc: Encoder, frame_ids: int, shard_rows: int) -> Iterator[bytes]:
+    """Rows of a task's shards, each but the last of shard_rows rows: padded data frames, then index and seek table, all without the closing 4 bytes."""
     import xxhash
     import zstandard
 
-    enc = encoder(path, end_id)
     press = zstandard.ZstdCompressor(level=3, write_checksum=True, write_content_size=True)
     held: list[np.ndarray] = []
     n_held, table, docs, counts = 0, [], [], []
@@ -185,6 +235,18 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, end_id: int, frame_ids
         table.append((len(out) + len(SEEK_MAGIC), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
         return out
 
+    def end(frames: list[bytes]) -> bytes:
+        """The row that ends a shard: frames that are left, document index and seek table."""
+        n = np.concatenate(counts).astype("<i8")
+        named = np.array([d is not None for d in docs], np.uint8)
+        body = np.array([d or 0 for d in docs], "<i8").tobytes() + named.tobytes() + n.tobytes()
+        head = json.dumps({"docs": len(docs), "ids": int(n.sum()), "dtype": enc.dtype.str, "end_id": enc.end_id}).encode()
+        index = zstandard.ZstdCompressor(level=3).compress(struct.pack("<I", len(head)) + head + body)
+        index = struct.pack("<II", INDEX_FRAME, len(index)) + index
+        table.append((len(index), 0, 0))
+        seek = b"".join(struct.pack("<III", *x) for x in table) + struct.pack("<IB", len(table), 0x80)
+        return SEEK_MAGIC.join([*frames, index + struct.pack("<II", SEEK_FRAME, len(seek) + 4) + seek])
+
     for batch in batches:
         names, texts = batch.column(0), batch.column(1)
         for a, b in text_slices(texts, SLICE):
@@ -193,43 +255,39 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, end_id: int, frame_ids
             counts.append(n)
             held.append(ids)
             n_held += len(ids)
-            if n_held >= frame_ids:
-                flat = np.concatenate(held)
-                whole = len(flat) // frame_ids * frame_ids
-                for i in range(0, whole, frame_ids):
-                    yield frame(flat[i : i + frame_ids])
-                held, n_held = [flat[whole:]], len(flat) - whole
-    if not docs:
-        return
-    if n_held:
-        yield frame(np.concatenate(held))
-    n = np.concatenate(counts).astype("<i8")
-    named = np.array([d is not None for d in docs], np.uint8)
-    body = np.array([d or 0 for d in docs], "<i8").tobytes() + named.tobytes() + n.tobytes()
-    head = json.dumps({"docs": len(docs), "ids": int(n.sum()), "dtype": enc.dtype.str, "end_id": end_id}).encode()
-    index = zstandard.ZstdCompressor(level=3).compress(struct.pack("<I", len(head)) + head + body)
-    index = struct.pack("<II", INDEX_FRAME, len(index)) + index
-    table.append((len(index), 0, 0))
-    seek = b"".join(struct.pack("<III", *x) for x in table) + struct.pack("<IB", len(table), 0x80)
-    yield index + struct.pack("<II", SEEK_FRAME, len(seek) + 4) + seek
-
-
-def write_shards(df: DataFrame, out: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, frame_ids: int = FRAME_IDS) -> None:
-    """Encode df in ascending doc_id order into shards under out; the order of shards is that of their file names.
-
-    tokenizer: path of a tokenizers file that every executor can open. The texts are range-partitioned by document,
+            if n_held < frame_ids:
+                continue
+            flat, at = np.concatenate(held), 0
+            while len(flat) - at >= frame_ids and len(table) < shard_rows - 1:
+                yield frame(flat[at : at + frame_ids])
+                at += frame_ids
+            if len(table) == shard_rows - 1:  # full: all that is left of the documents so far goes into the last row
+                yield end([frame(flat[i : i + frame_ids]) for i in range(at, len(flat), frame_ids)])
+                held, n_held, table, docs, counts = [], 0, [], [], []
+            else:
+                held, n_held = [flat[at:]], len(flat) - at
+    if docs:
+        yield end([frame(np.concatenate(held))] if n_held else [])
+
+
+def write_shards(df: DataFrame, out: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, frame_ids: int = FRAME_IDS, shard_rows: int = SHARD_ROWS, as_text: bool = True) -> None:
+    """Encode df in ascending doc_id order into shards under out; the order of shards is that of the numbers in their file names.
+
+    tokenizer: path of a tokenizers file that every executor can open. as_text: whether strings of special tokens are text. The texts are range-partitioned by document,
     which is the only shuffle; sampling for it reads ids and hashes alone.
     """
+    if shard_rows < 2:
+        raise ValueError("a shard takes 2 rows at least")
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     tie = F.xxhash64("text")
     rows = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
 
     def shard(batches):
-        for value in _frames(batches, tokenizer, end_id, frame_ids):
+        for value in _frames(batches, encoder(tokenizer, end_id, as_text), frame_ids, shard_rows):
             yield pa.RecordBatch.from_arrays([pa.array([value], pa.binary())], ["value"])
 
     frames = rows.mapInArrow(shard, "value binary").select(F.col("value").cast("string").alias("value"))
-    frames.write.option("encoding", "ISO-8859-1").option("lineSep", SEEK_MAGIC.decode("latin-1")).text(out)
+    frames.write.option("encoding", "ISO-8859-1").option("lineSep", SEEK_MAGIC.decode("latin-1")).option("maxRecordsPerFile", shard_rows).text(out)
 
 
 class Shard:
@@ -293,6 +351,12 @@ class Shard:
         return np.frombuffer(b"".join(out), self.dtype)
 
 
+def _place(shard: str) -> tuple[int, int]:
+    """Task and number within the task that a shard's name gives."""
+    found = re.match(r"part-(\d+)-.*?-c(\d+)", shard)
+    return (int(found[1]), int(found[2]))
+
+
 def read_shards(spark: SparkSession, out: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, shard, in_shard: what the shards under out say of each document.
 
@@ -312,7 +376,7 @@ def read_shards(spark: SparkSession, out: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows)), pa.array(rows, pa.int64()), pa.array(s.docs[part], pa.int64()), pa.array(s.starts[part]), pa.array(s.counts[part]), pa.array(crc, pa.int64())], ["shard", "in_shard", "doc_id", "start", "n_tokens", "ids_crc32"])
 
     rows = cut(files.mapInArrow(docs, "shard string, in_shard long, doc_id long, start long, n_tokens long, ids_crc32 long"), "token-docs")
-    sizes = sorted((r.shard, r.n) for r in rows.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect())
+    sizes = sorted(((r.shard, r.n) for r in rows.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()), key=lambda x: _place(x[0]))
     base, at = [], 0
     for shard, n in sizes:
         base.append((shard, at))

@@ -7,7 +7,11 @@ Each batch of candidates is first screened against each query's k-th best so far
 with more and shorter ones, and only what is left is multiplied out, exactly.
 
 Queries are taken in blocks of at most BLOCK rows, broadcast one block at a time (their size is fixed by BLOCK), and
-all candidates are passed over once for each block. Tasks keep k rows for each query; those are merged by query.
+all candidates are passed over once for each block; if there are several, quantised candidates are written once and read for each.
+A block comes with floors: the k-th best score of each query among SAMPLE candidates, which are drawn by hash. What lies below a
+floor can't be among the k best of all, so tasks screen against it from their first row and hand on, of their own k best for
+a query, only what reaches it: some k * n / SAMPLE rows a query of n candidates in all, however many tasks there are. Those are merged
+by query. The sample bounds the search and replaces no part of it.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components take no part; vectors of different lengths are
 not compared; of rows that share a query's vec_id none is its candidate; if rows share a vec_id, the least vector is the query;
@@ -23,10 +27,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from utterlake.llm.common import shared_dir
+from utterlake.llm.common import cut, shared_dir
 
 SEGMENTS = (4, 16)
 BLOCK = 16_384
+#: Candidates that floors are taken from.
+SAMPLE = 2_048
 #: Queries that a task screens at a time, and candidates: bounds its matrices to some 40 MB.
 ROWS_Q, ROWS_C = 1_024, 2_048
 _EXACT = 2.0**53
@@ -50,12 +56,12 @@ def segment_stats(v: np.ndarray, segments: int) -> np.ndarray:
 
 
 class Best:
-    """The k best candidates of each query so far: scores descending, ids ascending among equals."""
+    """The k best candidates of each query so far: scores descending, ids ascending among equals; none below the least score to look for."""
 
-    def __init__(self, n: int, k: int):
+    def __init__(self, n: int, k: int, least: np.ndarray | None = None):
         self.k = k
         self.rows = [np.zeros(0, np.int64)] * 3  # query, score, id
-        self.floor = np.full(n, -np.inf)
+        self.floor = np.full(n, -np.inf) if least is None else least.copy()
 
     def add(self, q: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         q, score, ids = (np.concatenate(x) for x in zip(self.rows, (q, score, ids)))
@@ -63,10 +69,10 @@ class Best:
         q, score, ids = q[order], score[order], ids[order]
         first = np.searchsorted(q, q, "left")
         rank = np.arange(len(q)) - first
-        keep = rank < self.k
+        keep = (rank < self.k) & (score >= self.floor[q])
         self.rows = [q[keep], score[keep], ids[keep]]
         full = rank == self.k - 1
-        self.floor[q[full]] = score[full]
+        self.floor[q[full]] = np.maximum(self.floor[q[full]], score[full])
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -81,10 +87,10 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Searcher:
     """Queries of one vector length against batches of candidates."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, segments: tuple[int, ...]):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, segments: tuple[int, ...], least: np.ndarray | None = None):
         self.ids, self.v, self.segments = ids, vectors, segments
         self.stats = [segment_stats(vectors, s) for s in segments]
-        self.best = Best(len(ids), k)
+        self.best = Best(len(ids), k, least)
         self.k = k
         self.tried = self.made = 0
 
@@ -146,7 +152,16 @@ def _query_blocks(queries: DataFrame, size: int):
         yield block
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 256, vec_id: str = "vec_id", embedding: str = "embedding", segments: tuple[int, ...] = SEGMENTS, block: int = BLOCK) -> DataFrame:
+def _by_length(rows: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """ids and vectors of rows (id, vector), by vector length."""
+    out = {}
+    for n in {len(v) for _, v in rows}:
+        own = [(i, v) for i, v in rows if len(v) == n]
+        out[n] = (np.array([i for i, _ in own], np.int64), np.array([v for _, v in own], np.float64))
+    return out
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 256, vec_id: str = "vec_id", embedding: str = "embedding", segments: tuple[int, ...] = SEGMENTS, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of vectors' rows for each row of queries (same columns)."""
     spark = vectors.sparkSession
 
@@ -159,12 +174,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 25
     asked = quantised(queries).groupBy("vec_id").agg(F.min("v").alias("v"))
     out = shared_dir(spark, "top-k")
     candidates.select(F.lit(0).cast("long").alias("query_id"), "vec_id", F.lit(0).cast("long").alias("score")).limit(0).write.parquet(out)
-    for rows in _query_blocks(asked, block):
-        by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for n in {len(v) for _, v in rows}:
-            own = [(i, v) for i, v in rows if len(v) == n]
-            by_length[n] = (np.array([i for i, _ in own], np.int64), np.array([v for _, v in own], np.float64))
-        shared = spark.sparkContext.broadcast(by_length)
+    blocks = _query_blocks(asked, block)
+    rows, following = next(blocks, None), next(blocks, None)
+    if following is not None:
+        candidates = cut(candidates, "top-k-vectors")
+    drawn = candidates.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect() if rows else []
+    known = _by_length([(r.vec_id, r.v) for r in drawn])
+    while rows is not None:
+        parts = {}
+        for n, (ids, v) in _by_length(rows).items():
+            first = Searcher(ids, v, k, segments)
+            if n in known:
+                first.add(*known[n])
+            parts[n] = (ids, v, first.best.floor)
+        shared = spark.sparkContext.broadcast(parts)
 
         def search(batches, shared=shared):
             searchers: dict[int, Searcher] = {}
@@ -177,7 +200,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 25
                     if n not in shared.value:
                         continue
                     if n not in searchers:
-                        searchers[n] = Searcher(*shared.value[n], k, segments)
+                        ids_of, v_of, least = shared.value[n]
+                        searchers[n] = Searcher(ids_of, v_of, k, segments, least)
                     own = np.flatnonzero(lens == n)
                     m = flat[at[own][:, None] + np.arange(n)]
                     for i in range(0, len(own), ROWS_C):
@@ -189,6 +213,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 25
 
         candidates.mapInArrow(search, "query_id long, vec_id long, score long").write.mode("append").parquet(out)
         shared.destroy()
+        rows, following = following, next(blocks, None)
     found = spark.read.schema("query_id long, vec_id long, score long").parquet(out)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

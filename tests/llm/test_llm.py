@@ -45,6 +45,18 @@ def frame(spark, texts, **more):
     return spark.createDataFrame(rows, "doc_id long, text string, key string, n_words string, _c0 int")
 
 
+def test_session_folder(spark, tmp_path):
+    import os
+
+    from utterlake.llm import common
+
+    df = common.cut(spark.range(5), "kept")
+    folder = os.path.dirname(common.shared_dir(spark, "x").removeprefix("file://"))
+    assert df.count() == 5 and any(x.startswith("kept-") for x in os.listdir(folder))
+    common.clean(spark)
+    assert not os.path.exists(folder) and common.cut(spark.range(3), "again").count() == 3
+
+
 # 1
 
 
@@ -86,6 +98,64 @@ def test_token_shards_are_plain_zstandard(spark, texts, tmp_path):
             [t.ids(i) for i in range(len(t.docs))]
 
 
+def token_rows(rows, lib, end_id=0):
+    """(start, n_tokens, crc) of each text of rows (doc_id, text), in order, by the library alone."""
+    at = 0
+    for d, t in sorted(rows):
+        ids = lib.encode(t or "", add_special_tokens=False).ids + [end_id]
+        yield d, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("as_text", [False, True])
+def test_tokens_as_the_library_has_them(spark, texts, name, as_text):
+    """Ids of special strings as in the library, whole texts for vocabularies that cut texts differently, and shards that roll over."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    lib = Tokenizer.from_file(path)
+    lib.encode_special_tokens = as_text
+    odd = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y z.", "Naïve  CAFÉ\n\nit's", None]
+    rows = list(enumerate([*texts, *odd] * 3))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = tokens.token_output(df, path, frame_ids=100, shard_rows=4, slice_bytes=2000, as_text=as_text).collect()
+    assert sorted(tuple(r)[:4] for r in got) == list(token_rows(rows, lib))
+    assert len({r.shard for r in got}) > 10
+
+
+def test_token_shards_are_bounded(spark, texts, tmp_path):
+    import zstandard
+
+    rows = list(enumerate(texts * 4))
+    tokens.write_shards(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), f"file://{tmp_path}/out", vocabulary(), frame_ids=200, shard_rows=3, slice_bytes=1500)
+    shards = [p.read_bytes() for p in sorted((tmp_path / "out").glob("part*"), key=lambda p: tokens._place(p.name)) if p.stat().st_size]
+    assert len(shards) > 20
+    seen = []
+    for raw in shards:
+        s = tokens.Shard(raw)
+        seen += s.docs
+        assert zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True).read() == b"".join(s.ids(i).tobytes() for i in range(len(s.docs)))
+    assert seen == [d for d, _ in rows]
+
+
+def test_token_units_of_equal_hash(monkeypatch, texts):
+    """Units are told apart by their bytes where their hashes agree."""
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(vocabulary())
+    lib.encode_special_tokens = True
+    real = tokens.hash_spans
+    for mask in (0x3F, 0x1FFFF):
+        monkeypatch.setattr(tokens, "hash_spans", lambda b, s, e: real(b, s, e) & np.uint64(mask))
+        enc = tokens.Encoder(vocabulary(), 0)
+        for some in (texts, texts[::-1], ["one two", "two one", "xyz"]):
+            ids, counts = enc.encode(some)
+            parts = np.split(ids, np.cumsum(counts)[:-1])
+            assert [x.tolist() for x in parts] == [lib.encode(t or "", add_special_tokens=False).ids + [0] for t in some]
+
+
 def test_tokens_of_nothing(spark):
     assert tokens.token_output(spark.createDataFrame([], "doc_id long, text string"), vocabulary()).count() == 0
 
@@ -108,6 +178,27 @@ def test_top_k(spark):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("block, sample", [(3, 0), (3, 7), (10**6, 300), (5, 10**6)])
+def test_top_k_floors(spark, block, sample):
+    """The same results whatever floors a sample gives, with many ties at the k-th place and rows that repeat."""
+    rng = np.random.default_rng(6)
+    rows = [(i % 350, (rng.integers(-2, 3, 8) / 4).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), block=block, sample=sample).select("query_id", "rank", "vec_id", "score").collect())
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q in range(0, 350, 50):
+        qv = min(v for i, v in whole if i == q)
+        scores = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in whole if i != q)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
+    assert got == sorted(want)
+
+
+def test_top_k_of_nothing(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert topk.top_k(none, none).count() == 0
+
+
 def test_top_k_prunes():
     rng = np.random.default_rng(1)
     centres = np.repeat(rng.normal(0, 200, (8, 4)), 16, axis=1)
@@ -213,6 +304,39 @@ def test_warc(spark, tmp_path):
         assert not raw or raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"\r\n\r\n")
 
 
+@pytest.mark.parametrize("block, blocks", [(1 << 20, 256), (200, 3), (1, 1)])
+def test_warc_members(spark, tmp_path, block, blocks):
+    """Each record is a gzip member of its own, archives roll over, each opens with warcinfo, and an offset finds its record."""
+    pages = [(i, f"http://x/{i}", ("same payload " * 20) if i % 3 else f"page {i} " * (i % 7 * 30)) for i in range(40)]
+    warc.write_warc(spark.createDataFrame(pages, "page_id long, url string, html string"), f"file://{tmp_path}/w", block=block, blocks=blocks)
+    rows = warc.read_warc(spark, f"file://{tmp_path}/w").collect()
+    assert sorted(r.page_id for r in rows) == list(range(40))
+    by = {(r.file, r.offset): r for r in rows}
+    assert len(by) == 40
+    files = [p for p in (tmp_path / "w").glob("part*") if p.stat().st_size]
+    assert len(files) == len({r.file for r in rows}) and (block > 200 or len(files) > 8)
+    for p in files:
+        raw, at, seen = p.read_bytes(), 0, []
+        while at < len(raw):
+            feed = zlib.decompressobj(31)
+            data = feed.decompress(raw[at:])
+            assert feed.eof
+            if data:
+                assert data.startswith(b"WARC/1.1\r\nWARC-Type: ") and data.endswith(b"\r\n\r\n") and data.count(b"WARC/1.1") == 1
+                seen.append((at, data))
+            at = len(raw) - len(feed.unused_data)
+        assert b"Type: warcinfo" in seen[0][1] and all(b"Type: warcinfo" not in d for _, d in seen[1:])
+        for at, data in seen[1:]:
+            head, body = warc.record_at(raw, at)
+            assert data.endswith(body + b"\r\n\r\n") and by[p.name, at].url == head["WARC-Target-URI"]
+            assert (head["WARC-Type"] == "revisit") == ("WARC-Refers-To-Date" in head)
+
+
+def test_warc_of_nothing(spark, tmp_path):
+    warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), f"file://{tmp_path}/w")
+    assert warc.read_warc(spark, f"file://{tmp_path}/w").count() == 0
+
+
 # 5
 
 
@@ -237,6 +361,47 @@ def test_quality(spark):
     assert {r.score for r in none.collect()} == {0.5}
 
 
+def test_scores_by_a_plain_loop():
+    """Lookup tables and grids by searching each value's bin and adding one entry at a time."""
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.random((900, 3)), rng.integers(0, 3, 900), np.zeros(900)])
+    m = quality.fit(x, (x[:, 0] + (x[:, 1] > 0.4) * (x[:, 3] == 1) > 0.9).astype(float))
+    tried = np.vstack([x[:200], x[:5] * 1e9, -x[:5]])
+    for row, got in zip(tried.tolist(), m.score(tried).tolist()):
+        bins = [sum(1 for e in edges if v >= e) for v, edges in zip(row, m.edges)]
+        total = m.base
+        for b, table in zip(bins, m.tables):
+            total += table[b]
+        for (i, j), grid in zip(m.pairs, m.grids):
+            total += grid[bins[i] * quality.PAIR_BINS // (len(m.edges[i]) + 1)][bins[j] * quality.PAIR_BINS // (len(m.edges[j]) + 1)]
+        assert got == pytest.approx(1 / (1 + np.exp(-total)), abs=1e-12)
+
+
+def test_leaves_by_trying_all_splits():
+    """The first split of a shallow tree is the best of all, and leaves hold the regularised Newton step of their rows."""
+    rng = np.random.default_rng(9)
+    for _ in range(50):
+        g, h = rng.normal(0, 1, 12), rng.random(12) + 0.1
+        gain = lambda i: g[:i].sum() ** 2 / (h[:i].sum() + 1) + g[i:].sum() ** 2 / (h[i:].sum() + 1)
+        i = max(range(1, 12), key=gain)
+        want = np.append(np.full(i, g[:i].sum() / (h[:i].sum() + 1)), np.full(12 - i, g[i:].sum() / (h[i:].sum() + 1)))
+        if gain(i) - g.sum() ** 2 / (h.sum() + 1) > 1e-9:
+            assert quality._leaves(g, h, 1) == pytest.approx(want)
+
+
+def test_features_by_plain_python():
+    for t in ("", "One two, two!! | x\n\n9 é é", "a" * 50, "AB cd AB cd --- #tag", None):
+        raw = (t or "").encode()
+        words = raw.split()
+        n, m = max(1, len(raw)), max(1, len(words))
+        share = lambda keep: sum(b in keep.encode() for b in raw) / n
+        got = dict(zip(quality.FEATURES, quality.features(t)))
+        assert got["upper"] == share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") and got["digit"] == share("0123456789") and got["high"] == sum(b > 127 for b in raw) / n
+        assert got["word_bytes"] == sum(map(len, words)) / m and got["distinct"] == len(set(words)) / m and got["top_word"] == max(map(words.count, words), default=0) / m
+        assert got["repeat_pair"] == (1 - len({(a, b) for a, b in zip(words, words[1:])}) / (len(words) - 1) if len(words) > 1 else 0)
+        assert got["line"] == raw.count(b"\n") / m and got["short_word"] == sum(len(w) < 3 for w in words) / m
+
+
 def test_pairwise_interactions():
     rng = np.random.default_rng(0)
     x = rng.random((4000, 4))
@@ -349,6 +514,31 @@ def test_near_group_larger_than_a_block(spark, monkeypatch):
     assert len(set(got.values())) > 3
 
 
+def test_recall_of_pairs_at_the_threshold(spark):
+    """Of 600 pairs whose similarity lies closely around the threshold, those at or above it are found, and no other is linked."""
+    rng = random.Random(31)
+    pairs = []
+    for _ in range(600):
+        base = [f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(60, 240))]
+        changed = set(rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.04, 0.07)))))
+        pairs.append((" ".join(base), " ".join(f"z{rng.randrange(10**6)}" if i in changed else w for i, w in enumerate(base))))
+    docs = [(2 * i + j, t) for i, p in enumerate(pairs) for j, t in enumerate(p)]
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(6), words=2).collect()}
+    linked = {i for i, p in enumerate(pairs) if near_components(p, 2)[1][1] == 0}
+    found = {i for i in range(600) if got[2 * i] == got[2 * i + 1]}
+    print(f"pairs linked {len(linked)}, found {len(found & linked)}, recall {len(found & linked) / len(linked):.4f}")
+    assert 100 < len(linked) < 550 and found <= linked and len(found) >= 0.995 * len(linked)
+
+
+def test_group_in_many_partitions(spark):
+    """A near-copy group of a third of all rows over many partitions: one component, whatever task its rows lie in."""
+    rng = random.Random(32)
+    base = [f"v{rng.randrange(10**6)}" for _ in range(120)]
+    rows = [(i, " ".join(w if k != i % 120 else f"z{i}" for k, w in enumerate(base)) if i % 3 == 0 else f"own {i} text {i * 7} of {i * 13}") for i in range(600)]
+    got = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(37), words=2).collect()}
+    assert all(got[i] == (0 if i % 3 == 0 else i) for i in range(600))
+
+
 def test_one_row_is_kept_of_each_component(spark):
     """Repeated and null doc_ids: as many rows as components, and each component's representative among them."""
     rng = random.Random(6)
@@ -532,3 +722,52 @@ def test_licence_weights_of_all_words(spark, monkeypatch, common):
         assert got[i].own_licence == (name if score >= licences.THRESHOLD else None), i
         assert got[i].own_score == (pytest.approx(score) if score >= licences.THRESHOLD else got[i].own_score), i
     assert got[3].own_licence == got[4].own_licence == "Apache-2.0"
+
+
+WRAPPED = {"MIT": "MIT", "BSD-3-Clause": "BSD-3-Clause", "ISC": "ISC", "Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3.0", "GPL-2.0": "GPL-2.0", "MPL-2.0": "MPL-2.0", "Apache-2.0-header": "Apache-2.0"}
+
+
+def test_licence_texts_in_any_form(spark, monkeypatch):
+    """Whole licences rewrapped in files, notices in comments above code, and prose that only sounds like it, by cosines from their definition."""
+    import textwrap
+    from pathlib import Path
+
+    read = lambda name: (Path(licences.__file__).parent / "licence_texts" / f"{name}.txt").read_text()
+    rng = random.Random(14)
+    files = [(f"r{i}/LICENSE", textwrap.fill(read(n), w).replace("<year> <copyright holders>", "2021 Ann Other"), want) for i, (n, want) in enumerate(WRAPPED.items()) for w in (50, 100_000)]
+    notice = read("Apache-2.0-header")
+    for mark in ("# ", "// ", " * ", "-- "):
+        files.append((f"src/{len(files)}.c", "\n".join(mark + x for x in ["Copyright 2020 The Authors", *notice.split("\n")]) + "\nint main() { return software; }\n" + prose(rng, 40), "Apache-2.0"))
+    files.append(("src/mit.md", prose(rng, 20) + "\n\n" + read("MIT").split("\n\n", 2)[2].replace("\n\n", "\n"), "MIT"))
+    files.append(("b/LICENSE", read("BSD-2-Clause") + "All rights reserved.\n", "BSD-2-Clause"))
+    for text in ("The rights reserved to the crown were sold, and all who came reserved a seat.", "He had all the rights; she reserved hers.", "a software license of no warranty", "This permission is granted, the notice said.", read("MIT").split("\n")[13] + " " + prose(rng, 30)):
+        files.append((f"p/{len(files)}.txt", text, None))
+    files += [(f"q/{i}.txt", prose(rng, 30), None) for i in range(60)]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t, _) in enumerate(files)], "doc_id long, path string, text string").repartition(3)
+    got = {r.doc_id: r for r in licences.own_licences(df).collect()}
+    for i, (p, t, want) in enumerate(files):
+        assert got[i].own_licence == want, (p, t[:60], got[i])
+
+    split = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.translate(LOWER))
+    held = Counter(w for _, t, _ in files for w in set(split(t)))
+    idf = lambda w: np.log((len(files) + 1) / (held[w] + 1)) + 1
+    vector = lambda t: {w: n * idf(w) for w, n in Counter(split(t)).items()}
+    known = [(n, vector(t), full) for full, some in ((False, licences.TEMPLATES), (True, licences.whole_texts())) for n, t in some]
+    for i in [i for i, f in enumerate(files) if f[2]]:
+        text = files[i][1]
+        comment = re.compile(r"^(?:(?:#|//| \*|--).*\n)+", re.M).findall(text)
+        passages = [*text.split("\n"), *comment, *([text] if "LICENSE" in files[i][0] else re.split(r"\n\n", text))]
+        best = []
+        for v in map(vector, passages):
+            norm = np.sqrt(sum(x * x for x in v.values()))
+            tried = [(sum(v[w] * t[w] for w in v.keys() & t.keys()) / norm / np.sqrt(sum(x * x for x in t.values())), full, name) for name, t, full in known] if norm else []
+            best += [(full, score, name) for score, full, name in [max(tried, default=(0, False, ""))] if score >= licences.THRESHOLD]
+        assert max(best)[2] == files[i][2] and got[i].own_score == pytest.approx(max(best)[1]), files[i][0]
+
+
+def test_licences_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a/LICENSE", "The MIT License (MIT)"), (2, "a/b.txt", "x"), (2, "a/b.txt", "x"), (None, None, None)], "doc_id long, path string, text string")
+    for c in ("dir", "is_file", "row", "found", "above", "key"):
+        df = df.withColumn(c, F.lit("clash"))
+    got = sorted(((r.doc_id or 0, r.licence, r.basis) for r in licences.scan(df).collect()), key=str)
+    assert got == [(0, None, None), (1, "MIT", "own"), (2, "MIT", "inherited"), (2, "MIT", "inherited")]

@@ -133,3 +133,16 @@ def test_substrings_of_all_documents(spark):
             m.setattr(substrings, "HOT", hot)
             rows = queries.op3_substring_removal(spark, sf).collect()
         assert len(rows) == len(want) and {r.doc_id: tuple(r)[2:] for r in rows} == want
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are absent")
+def test_quality_of_held_out_documents(spark):
+    """Accuracy, and the chance that a good document scores above a bad one, on labels that were not learned from."""
+    sf = "/root/testdata/sf0.1"
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in queries.op5_quality(spark, sf).collect() if r.held_out and marks.get(r.doc_id) is not None]
+    good, bad = (np.sort([r.score for r in rows if marks[r.doc_id] == k]) for k in (1, 0))
+    above = (np.searchsorted(bad, good, "left") + np.searchsorted(bad, good, "right")).sum() / 2
+    accuracy, auc = np.mean([r.predicted == marks[r.doc_id] for r in rows]), above / (len(good) * len(bad))
+    print(f"held out {len(rows)}, bad {len(bad)}, accuracy {accuracy:.4f}, AUC {auc:.4f}")
+    assert accuracy > 0.95 and auc > 0.97

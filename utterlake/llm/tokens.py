@@ -11,8 +11,9 @@ A shard is one file in the public seekable zstandard layout:
 
 Spark's text writer puts its line separator behind each row. The separator is set to those 4 magic bytes: they close
 the seek table, and elsewhere they are the payload of a padding frame. So shards are written frame by frame through
-Spark's committer, to any store, and a lost executor only repeats its own shards. A shard ends at the first document's end behind
-its SHARD_ROWS - 1 frames, and the task's next shard begins, so a shard's size is bounded by that and one document.
+Spark's committer, to any store, and a lost executor only repeats its own shards. Behind SHARD_ROWS - 1
+frames a shard takes in the slice of documents at hand and ends, and the task's next shard begins, so a shard's size is bounded
+by that, a slice and one document.
 
 Defined cases: strings of added tokens inside a text are ordinary text, or with as_text=False, the library's default, their ids;
 a null or empty text is the end id alone; rows with equal doc_id follow each other by hash of their text; a null
@@ -44,7 +45,7 @@ FRAME_IDS = 1 << 16
 SHARD_ROWS = 4096
 #: Units that a worker remembers; beyond, it starts afresh. Changes speed, never ids.
 CACHE_UNITS = 500_000
-#: Bytes of text that are encoded at a time (or one longer text).
+#: Bytes of text that are encoded at a time (or one longer text); a shard ends behind such a slice.
 SLICE = 1_000_000
 
 _SPACE = np.zeros(256, bool)
@@ -220,7 +221,7 @@ def encoder(path: str, end_id: int, as_text: bool = True) -> Encoder:
     return _encoders[key]
 
 
-def _frames(batches: Iterator[pa.RecordBatch], enc: Encoder, frame_ids: int, shard_rows: int) -> Iterator[bytes]:
+def _frames(batches: Iterator[pa.RecordBatch], enc: Encoder, frame_ids: int, shard_rows: int, slice_bytes: int) -> Iterator[bytes]:
     """Rows of a task's shards, each but the last of shard_rows rows: padded data frames, then index and seek table, all without the closing 4 bytes."""
     import xxhash
     import zstandard
@@ -249,7 +250,7 @@ def _frames(batches: Iterator[pa.RecordBatch], enc: Encoder, frame_ids: int, sha
 
     for batch in batches:
         names, texts = batch.column(0), batch.column(1)
-        for a, b in text_slices(texts, SLICE):
+        for a, b in text_slices(texts, slice_bytes):
             ids, n = enc.encode(texts.slice(a, b - a).to_pylist())
             docs.extend(names.slice(a, b - a).to_pylist())
             counts.append(n)
@@ -270,7 +271,7 @@ def _frames(batches: Iterator[pa.RecordBatch], enc: Encoder, frame_ids: int, sha
         yield end([frame(np.concatenate(held))] if n_held else [])
 
 
-def write_shards(df: DataFrame, out: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, frame_ids: int = FRAME_IDS, shard_rows: int = SHARD_ROWS, as_text: bool = True) -> None:
+def write_shards(df: DataFrame, out: str, tokenizer: str, *, doc_id: str = "doc_id", text: str = "text", end_id: int = 0, frame_ids: int = FRAME_IDS, shard_rows: int = SHARD_ROWS, slice_bytes: int = SLICE, as_text: bool = True) -> None:
     """Encode df in ascending doc_id order into shards under out; the order of shards is that of the numbers in their file names.
 
     tokenizer: path of a tokenizers file that every executor can open. as_text: whether strings of special tokens are text. The texts are range-partitioned by document,
@@ -283,7 +284,7 @@ def write_shards(df: DataFrame, out: str, tokenizer: str, *, doc_id: str = "doc_
     rows = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
 
     def shard(batches):
-        for value in _frames(batches, encoder(tokenizer, end_id, as_text), frame_ids, shard_rows):
+        for value in _frames(batches, encoder(tokenizer, end_id, as_text), frame_ids, shard_rows, slice_bytes):
             yield pa.RecordBatch.from_arrays([pa.array([value], pa.binary())], ["value"])
 
     frames = rows.mapInArrow(shard, "value binary").select(F.col("value").cast("string").alias("value"))

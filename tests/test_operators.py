@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from utterlake.operators import identity, quality
+from utterlake.operators import build, identity, quality
 from utterlake.streaming import ingest
 
 
@@ -164,3 +164,22 @@ def test_event_time(spark, tmp_path):
         got = []
         ingest.run(df, f"{tmp_path}/{name}", lambda b, _, got=got: got.extend(b.collect()), "append")
         assert all(r.n > 0 for r in got)
+
+
+def test_full_block_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(build, "BLOCK", 10)
+    rows = spark.createDataFrame([(i % 2, f"f{i % 3}", i) for i in range(18)], "c int, path string, n int")
+    got = build.numbered(rows.where("n < 12"), F.col("c"), "path", "n")
+    assert sorted(r.id for r in got.where("c = 0").collect()) == list(range(11, 17))
+    assert build.block_usage({"t": got}).collect() == [("t", 6, True)]
+    assert build.block_usage({"t": build.numbered(rows, F.col("c"), "path", "n")}).collect() == [("t", 9, False)]
+    with pytest.raises(Exception, match="block of ids is full"):
+        build.numbered(rows.withColumn("c", F.lit(0)), F.col("c"), "path", "n").collect()
+
+
+def test_numbering_by_file_equals_numbering_by_corpus(spark):
+    rng = random.Random(2)
+    rows = spark.createDataFrame([(c, f"{c}/f{f}", n) for c in range(3) for f in range(9) for n in range(rng.randrange(5))], "c int, path string, n int")
+    sizes = rows.groupBy(F.col("c").alias("block"), "path").agg(F.count("*").alias("n"))
+    a, b = (sorted(map(tuple, build.numbered(rows, F.col("c"), "path", "n", sizes=s).select("path", "n", "id").collect())) for s in (None, sizes))
+    assert a == b

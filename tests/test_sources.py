@@ -227,3 +227,60 @@ def test_external_parser(spark):
     files = spark.createDataFrame([("a", "x"), ("b", "y")], "path string, text string")
     assert [r.text for r in chat_json.run_parser(files, ["cat"]).collect()] == ["x", "y"]
     assert chat_json.run_parser(files, ["sh", "-c", "echo no >&2; exit 3"]).first().error == "no\n"
+
+
+def test_retry_waits_longer_each_time(monkeypatch):
+    waits, calls = [], []
+    monkeypatch.setattr(tables.time, "sleep", waits.append)
+
+    def call(fails, message="Deadlock found"):
+        calls.append(1)
+        if len(calls) <= fails:
+            raise RuntimeError(message)
+        return len(calls)
+
+    assert tables.retry(lambda: call(3), wait=0.5) == 4 and waits == [0.5, 1.0, 1.5]
+    calls.clear()
+    with pytest.raises(RuntimeError, match="Deadlock"):
+        tables.retry(lambda: call(9), attempts=2)
+    calls.clear()
+    with pytest.raises(RuntimeError, match="other"):
+        tables.retry(lambda: call(1, "other"))
+    assert len(calls) == 1
+
+
+def test_export_resumes(spark, tmp_path):
+    out = f"file://{tmp_path}/x"
+    df = spark.range(3, 103).withColumn("v", F.col("id") * 2)
+    assert tables.export_parts(df, out, rows=30, stop_after=2) == {"rows": 60, "parts": 2, "done": False}
+    (tmp_path / "x" / "part-00002").mkdir()  # a part that was renamed just before its call died
+    (tmp_path / "x" / "_new-part-00003").mkdir()
+    assert tables.export_parts(df, out, rows=30) == {"rows": 100, "parts": 4, "done": True}
+    assert tables.export_parts(df.limit(0), out) == {"rows": 100, "parts": 4, "done": True}  # done: nothing is read
+    assert sorted(r.id for r in tables.exported(spark, out).collect()) == list(range(3, 103))
+    assert not [p.name for p in (tmp_path / "x").iterdir() if p.name.startswith("_") and p.name != "_done.json"]
+    files = tables.Files(spark, out)
+    with files.lock(), pytest.raises(BlockingIOError):
+        tables.export_parts(df, out)
+    none = f"file://{tmp_path}/none"
+    assert tables.export_parts(df.limit(0), none) == {"rows": 0, "parts": 1, "done": True}
+    assert tables.exported(spark, none).columns == ["id", "v"] and tables.exported(spark, none).count() == 0
+
+
+def test_natural_join_needs_a_common_column(spark):
+    a = spark.createDataFrame([(1, 2, "x")], "k int, m int, a string")
+    assert tables.natural_join(a, spark.createDataFrame([(2, 1, "y"), (2, 9, "z")], "m int, k int, b string")).collect() == [(1, 2, "x", "y")]
+    with pytest.raises(ValueError):
+        tables.natural_join(a, spark.createDataFrame([(1,)], "other int"))
+
+
+def test_merged_trees(spark):
+    rows = [("one", 1, "Dutch/A/x"), ("one", 1, "Eng/B/y"), ("two", 2, "Dutch/A/x"), ("two", 2, "Eng/B/z"), ("two", 2, "DutchAfrikaans/A/x")]
+    got = sorted(map(tuple, tables.merge_trees(spark.createDataFrame(rows, "bank string, place int, path string")).collect()))
+    assert got == [("DutchAfrikaans/A/x", "two", "DutchAfrikaans/A/x"), ("Eng/B/y", "one", "Eng/B/y"), ("Eng/B/z", "two", "Eng/B/z")]
+
+
+def test_columns_completed_later(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, v string")
+    got = tables.update_columns(df, spark.createDataFrame([(1, None, 5), (7, "x", 6)], "id int, v string, n int"), ["id"])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, None, 5), (2, "b", None), (None, "c", None)], key=str)

@@ -207,16 +207,28 @@ def admin(spark: SparkSession, version: str, date: str | None = None) -> DataFra
     return spark.range(1).select(F.lit(1).cast("long").alias("id"), day.alias("date"), F.lit(version).alias("version"))
 
 
-def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of documents (chat_json.DOCUMENT with corpus_name and collection_name) and their corpora, as schemas.TABLES has them."""
+def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = None, scratch: str | None = None) -> dict[str, DataFrame]:
+    """All tables of documents (chat_json.DOCUMENT with corpus_name and collection_name) and their corpora, as schemas.TABLES has them.
+
+    scratch: a shared folder for the people, transcripts and utterances that several tables are made of; without it each table
+    makes them again.
+    """
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        if scratch is None:
+            return df
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
     collection, corpus = dimensions(corpora)
     names = F.broadcast(corpus.select(F.col("id").alias("corpus_id"), F.col("name").alias("corpus_name"), "collection_id", "collection_name"))
     docs = docs.where("error IS NULL").join(names, ["collection_name", "corpus_name"])
     docs = first_copies(docs, "corpus_id", "path").drop("corpus_name", "collection_name", "collection_id")
-    rows = people(docs, identity)
+    rows = kept(people(docs, identity), "people")
     participant, ids = participants(rows)
-    transcript = transcripts(docs, rows, ids)
-    utterance = utterances(docs, transcript, rows, ids)
+    participant, ids = kept(participant, "participant"), kept(ids, "ids")
+    transcript = kept(transcripts(docs, rows, ids), "transcript")
+    utterance = kept(utterances(docs, transcript, rows, ids), "utterance")
     counts = sizes(docs)
     token = tokens(utterance, counts)
     named = lambda df: df.join(names, "corpus_id")

@@ -13,6 +13,8 @@ from utterlake.plans.adapters import TOK, UTT, table, tok, utt
 from utterlake.plans.catalogue import query
 
 KEY = ["conv_id", "role"]
+#: Roles that a conversation's summary is spread over; checked.
+MOST_ROLES = 100
 
 # one direction of MTLD over a list w of lower-cased words, as a fold with the state (factors, tokens, types, ttr)
 _FOLD = """list_reduce(list_transform({w}, lambda x: {{'f': 0.0::DOUBLE, 'n': 0, 't': [x], 'r': 0.0::DOUBLE}}),
@@ -36,7 +38,10 @@ h AS (SELECT conv_id, role, CASE WHEN any_value(n) >= 50 THEN sum((1 - p0) / 42)
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = utt(spark, sf_dir)
-    speakers = rows.select("conv_id").distinct().crossJoin(rows.select("role").distinct())  # three roles
+    roles = sorted((r.role for r in rows.select("role").distinct().limit(MOST_ROLES + 1).collect()), key=lambda r: (r is None, r or ""))
+    if len(roles) > MOST_ROLES:
+        raise ValueError(f"more than {MOST_ROLES} roles")
+    speakers = rows.select("conv_id").distinct().withColumn("role", F.explode(F.array(*map(F.lit, roles))))
     return build.speaker_summary(rows, speakers, KEY)
 
 

@@ -92,9 +92,8 @@ FROM lineitem, (SELECT *, '10-30' AS bounds, substr(p_type, 1, 3) AS word FROM p
 @query(IMPLICIT)
 def implicit_join_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL as written: a comma join with equalities in WHERE, and checks of ranges and containment."""
-    for name in ("lineitem", "part"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(IMPLICIT)
+    text = IMPLICIT.replace("FROM lineitem,", "FROM {lineitem},").replace("FROM part)", "FROM {part})")
+    return spark.sql(text, lineitem=table(spark, sf_dir, "lineitem"), part=table(spark, sf_dir, "part"))
 
 
 @query("""WITH l(code3, name, code1) AS (VALUES ('en', 'English', 'eng'), ('de', 'German', 'deu'), ('fr', 'French', 'fra')), m(code1, models) AS (VALUES ('eng', 3), ('deu', 2))
@@ -133,10 +132,11 @@ def missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.emptiness(orders, orders, lines, "o_orderkey").where("empty <> 'neither'")
 
 
-@query("SELECT p_name FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_name FROM part WHERE p_partkey % 2 = 1")
+@query("SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderstatus = 'P' EXCEPT SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey WHERE o_orderpriority = '5-LOW'")
 def setdiff_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part")
-    return parts.where("p_partkey % 2 = 0").select("p_name").subtract(parts.where("p_partkey % 2 = 1").select("p_name"))
+    """Distinct names of one selection that another lacks."""
+    names = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "orders"), F.col("c_custkey") == F.col("o_custkey"))
+    return names.where("o_orderstatus = 'P'").select("c_name").subtract(names.where("o_orderpriority = '5-LOW'").select("c_name"))
 
 
 @query("""WITH a AS (SELECT DISTINCT l_suppkey % 40 AS k FROM lineitem WHERE l_quantity > 25), b AS (SELECT s_suppkey % 60 AS k FROM supplier)

@@ -84,34 +84,42 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT event_id, 'k' AS key, json_extract_string(props, '$.k') AS value, CASE WHEN event_id % 2 = 0 THEN 'string' ELSE 'object' END AS kind,
-  coalesce(json_extract_string(props, '$.missing'), 'none') AS fallback FROM events WHERE event_id < 500""")
+  coalesce(json_extract_string(props, '$.missing'), 'none') AS fallback FROM events""")
 def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A path with a fallback, the fields of an object, and dispatch on what a value is."""
     props = F.parse_json("props")
     mixed = F.parse_json(F.when(F.col("event_id") % 2 == 0, F.lit('"text"')).otherwise(F.col("props")))
     kind = F.when(F.schema_of_variant(mixed) == "STRING", "string").otherwise("object")
-    rows = table(spark, sf_dir, "events").where("event_id < 500")
+    rows = table(spark, sf_dir, "events")
     rows = rows.select("event_id", F.explode(F.try_variant_get(props, "$", "map<string,string>")).alias("key", "value"), kind.alias("kind"), F.coalesce(F.try_variant_get(props, "$.missing", "string"), F.lit("none")).alias("fallback"))
     return rows
 
 
-@query("""SELECT * FROM (VALUES
-  (1, ['BRK', 'BRK', 'pro|I', 'v|want', 'n|milk']), (2, ['BRK', 'n|dog', 'v|run']), (3, ['pro|you', 'v|see']), (4, ['EXC', 'n|cat', 'NON-LINGUISTIC']), (5, ['NO_UTT']), (6, NULL)) x(id, mor)""")
+_EXCLUDED = "('" + "', '".join(archival.EXCLUDED) + "')"
+
+
+@query(rf"""WITH w AS (SELECT conv_id, turn, list_filter(list_transform(string_split_regex(text, '\s+'), lambda x: regexp_replace(x, '[.,]', '', 'g')), lambda x: x <> '') AS w FROM conversations),
+m AS (SELECT conv_id, turn, w, list_transform(w, lambda x: 'n|' || x) AS m FROM w WHERE len(w) > 2)
+SELECT conv_id, turn, array_to_string(CASE turn % 3 WHEN 0 THEN list_concat(['BRK', 'BRK'], m) WHEN 1 THEN list_concat(['BRK'], m)
+  ELSE list_concat(['EXC'], list_transform(w, lambda x: CASE WHEN x IN {_EXCLUDED} THEN 'EXC' ELSE 'n|' || x END), ['NON-LINGUISTIC']) END, ' ') AS mor FROM m""")
 def reformulation_realign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Morphology for words that are taken back, for fillers and non-words; none where there is too much of it."""
-    rows = spark.createDataFrame(
-        [
-            (1, "<I want> [//] I want milk .", ["pro|I", "v|want", "n|milk", "."], True),
-            (2, "cat [//] dog run .", ["n|dog", "v|run", "."], True),
-            (3, "you see .", ["pro|you", "v|see", "."], True),
-            (4, "um cat &=laughs", ["n|cat"], False),
-            (5, "0", [], False),
-            (6, "cat", ["n|cat", "v|run"], False),
-        ],
-        "id int, gloss string, mor array<string>, whole boolean",
-    )
-    whole = archival.realign_reformulations(F.col("gloss"), F.col("mor"))
-    return rows.select("id", F.when(F.col("whole"), whole).otherwise(archival.reconcile(S.clean_gloss(F.col("gloss")), F.col("mor"))).alias("mor"))
+    """Morphology for words that are taken back, two or one, and for fillers and sounds that have none."""
+    words = F.filter(F.transform(S.words(F.col("text")), lambda x: F.regexp_replace(x, "[.,]", "")), lambda x: x != "")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", words.alias("w")).where(F.size("w") > 2)
+    item = lambda x: F.concat(F.lit("n|"), x)
+    first, line, k = F.get("w", F.lit(0)), F.concat(F.array_join("w", " "), F.lit(" .")), F.col("turn") % 3
+    gloss = F.when(k == 0, F.concat(F.lit("<"), first, F.lit(" "), F.get("w", F.lit(1)), F.lit("> [//] "), line)).otherwise(F.concat(first, F.lit(" [/] "), line))
+    whole = archival.realign_reformulations(gloss, F.array_append(F.transform("w", item), "."))
+    spoken = F.concat(F.array(F.lit("um")), F.col("w"), F.array(F.lit("&=laughs")))
+    items = F.transform(F.filter("w", lambda x: ~x.isin(*archival.EXCLUDED)), item)
+    return rows.select("conv_id", "turn", F.array_join(F.when(k < 2, whole).otherwise(archival.reconcile(spoken, items)), " ").alias("mor"))
+
+
+@query("""SELECT * FROM (VALUES (4, ['EXC', 'n|cat', 'NON-LINGUISTIC']), (5, ['NO_UTT']), (6, NULL)) x(id, mor)""")
+def reconciled_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without a word of their own, and one with more morphology than words, which gets none."""
+    rows = spark.createDataFrame([(4, "um cat &=laughs", ["n|cat"]), (5, "0", []), (6, "cat", ["n|cat", "v|run"])], "id int, gloss string, mor array<string>")
+    return rows.select("id", archival.reconcile(S.clean_gloss(F.col("gloss")), F.col("mor")).alias("mor"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'imperative_emphatic' WHEN '2-HIGH' THEN 'question' WHEN '3-MEDIUM' THEN 'declarative' ELSE o_orderpriority END AS type FROM orders""")

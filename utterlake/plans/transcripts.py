@@ -67,11 +67,12 @@ SELECT lpad(conv_id::VARCHAR, 8, '0') || '.json' AS filename, CASE role WHEN 'us
   count(*) AS num_utterances, any_value(nt) AS num_tokens, any_value(types) AS num_types, round(any_value(nt) / count(*)::DOUBLE, 6) AS mlu_w FROM u JOIN d USING (conv_id, role) GROUP BY conv_id, role""")
 def json_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole release built from parsed documents: its speaker summaries."""
-    parsed = f"{_folder(spark)}/documents"
+    base = _folder(spark)
+    parsed = f"{base}/documents"
     chat_json.parsed(as_json(utt(spark, sf_dir))).write.parquet(parsed)  # parsed once, read by every table
     docs = spark.read.parquet(parsed).withColumns({"collection_name": F.lit("Test"), "corpus_name": F.lit("Conversations")})
     corpora = spark.createDataFrame([("Test", "Conversations", "bank")], "collection_name string, corpus_name string, data_source string")
-    tables = build.release(docs, corpora)
+    tables = build.release(docs, corpora, scratch=f"{base}/scratch")
     files = tables["transcript"].select(F.col("id").alias("transcript_id"), "filename")
     whole = [F.col(c).cast("long").alias(c) for c in ("num_utterances", "num_tokens", "num_types")]
     return tables["transcript_by_speaker"].join(files, "transcript_id").select("filename", "speaker_role", *whole, F.round("mlu_w", 6).alias("mlu_w"))
@@ -101,14 +102,42 @@ _FILES = r"""f AS (SELECT regexp_extract(url, '\.(example\.[a-z]+)/', 1) AS corp
   regexp_replace(regexp_extract(url, 'example\.[a-z]+/(.*)$', 1), '[?#].*$', '') || '#' || page_id AS path, page_id % 3 <> 0 AS known FROM pages)"""
 
 
-@query(f"WITH {_FILES} SELECT corpus, 'subdir1' AS rule, true AS passed, 1.0::DOUBLE AS score FROM f GROUP BY corpus")
+# each file's key by every rule, and each corpus's choice among them
+_LEARN = _FILES + r""",
+p AS (SELECT corpus, path, NULL::VARCHAR AS name, CASE WHEN known THEN lang END AS truth, string_split(path, '/') AS d, regexp_replace(string_split(path, '/')[-1], '(.)\.[^.]*$', '\1') AS stem FROM f),
+x AS (SELECT *, CASE WHEN len(d) > 1 THEN d[1] END AS one, nullif(regexp_extract(stem, '^[A-Za-z]+'), '') AS alpha, nullif(regexp_extract(stem, '^[0-9]+'), '') AS digits, nullif(regexp_extract(stem, '[0-9]+$'), '') AS tail FROM p),
+k AS (SELECT corpus, path, name, truth, unnest([
+  {'r': 'subdir1', 'k': one}, {'r': 'subdir2', 'k': CASE WHEN len(d) > 2 THEN d[1] || '/' || d[2] END}, {'r': 'alpha_prefix', 'k': alpha}, {'r': 'stem', 'k': stem}, {'r': 'digit_prefix', 'k': digits},
+  {'r': 'digit_suffix', 'k': tail}, {'r': 'before_last_sep', 'k': CASE WHEN regexp_matches(stem, '^.*[_-][^_-]+$') THEN regexp_extract(stem, '^(.*)[_-][^_-]+$', 1) END},
+  {'r': 'subdir1+alpha_prefix', 'k': one || '|' || alpha}, {'r': 'subdir1+digit_prefix', 'k': one || '|' || digits}, {'r': 'subdir1+digit_suffix', 'k': one || '|' || tail}, {'r': 'subdir1+stem', 'k': one || '|' || stem},
+  {'r': 'prefix6', 'k': CASE WHEN length(stem) >= 6 THEN left(stem, 6) END}, {'r': 'prefix5', 'k': CASE WHEN length(stem) >= 5 THEN left(stem, 5) END}, {'r': 'prefix4', 'k': CASE WHEN length(stem) >= 4 THEN left(stem, 4) END},
+  {'r': 'prefix3', 'k': CASE WHEN length(stem) >= 3 THEN left(stem, 3) END}, {'r': 'prefix2', 'k': CASE WHEN length(stem) >= 2 THEN left(stem, 2) END},
+  {'r': 'name2026', 'k': name}, {'r': 'file', 'k': path}, {'r': 'single', 'k': 'corpus_child'}]) AS s, unnest(range(19)) AS priority FROM x),
+e AS (SELECT corpus, path, name, truth, s.r AS rule, s.k AS key, CASE WHEN s.r = 'name2026' AND avg((name IS NOT NULL)::INTEGER) OVER (PARTITION BY corpus, s.r) >= 0.95 THEN -1 ELSE priority END AS priority, s.r LIKE 'prefix%' AS risky FROM k),
+n AS (SELECT corpus, rule, priority, risky, count(DISTINCT key) + max((key IS NULL)::INTEGER) AS n_keys FROM e GROUP BY ALL),
+c AS (SELECT corpus, rule, key, truth, count(*) AS c FROM e WHERE truth IS NOT NULL GROUP BY ALL),
+ck AS (SELECT corpus, rule, sum(top) AS top, max(others) AS others, sum(n) AS n FROM (SELECT corpus, rule, key, max(c) AS top, count(*) AS others, sum(c) AS n FROM c GROUP BY ALL) GROUP BY ALL),
+ct AS (SELECT corpus, rule, sum(top) AS top, max(others) AS others FROM (SELECT corpus, rule, truth, max(c) AS top, count(*) AS others FROM c GROUP BY ALL) GROUP BY ALL),
+h AS (SELECT corpus, rule, bool_or(key IS NULL) AS has_null FROM c GROUP BY ALL),
+a AS (SELECT *, round((ck.top / ck.n::DOUBLE + ct.top / ck.n::DOUBLE) / 2, 4) AS score, NOT has_null AND ck.others = 1 AND ct.others = 1 AS passed FROM ck JOIN ct USING (corpus, rule) JOIN h USING (corpus, rule) JOIN n USING (corpus, rule)),
+chosen AS (SELECT corpus, rule, passed, CASE WHEN passed THEN 1.0::DOUBLE ELSE score END AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY corpus ORDER BY passed DESC, CASE WHEN passed THEN risky END, CASE WHEN passed THEN n_keys END, CASE WHEN NOT passed THEN -score END, priority) AS place FROM a) WHERE place = 1)"""
+
+
+@query(f"WITH {_LEARN} SELECT corpus, rule, passed, score FROM chosen")
 def rule_learning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule by which each corpus names its children's files."""
     return identity.learn(_files(spark, sf_dir))
 
 
-@query(f"""WITH {_FILES}, k AS (SELECT DISTINCT corpus, lang FROM f WHERE known)
-SELECT corpus, path, CASE WHEN k.lang IS NOT NULL THEN 'truth:' ELSE 'rule:' END || f.lang AS key, NULL::VARCHAR AS name FROM f LEFT JOIN k USING (corpus, lang)""")
+@query(f"""WITH {_LEARN},
+g AS (SELECT corpus, count(DISTINCT one) AS subdirs, avg((one IS NOT NULL)::INTEGER) AS inside, bool_and(regexp_matches(stem, '^[0-9_]+$')) AS coded FROM x GROUP BY corpus),
+rules AS (SELECT corpus, coalesce(rule, CASE WHEN subdirs >= 2 AND inside >= 0.8 THEN 'subdir1' WHEN coded THEN 'single' ELSE 'stem' END) AS rule FROM g LEFT JOIN chosen USING (corpus)),
+own AS (SELECT e.* FROM e JOIN rules USING (corpus, rule)),
+sure AS (SELECT corpus, key, min(truth) AS child FROM own WHERE truth IS NOT NULL AND key IS NOT NULL GROUP BY ALL HAVING min(truth) = max(truth))
+SELECT corpus, path, coalesce('truth:' || coalesce(truth, child), 'rule:' || key, 'file:' || path) AS key, name FROM own LEFT JOIN sure USING (corpus, key)""")
 def identity_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The child that each file is about, by truth, a rule's unambiguous key, a new key, or the file itself."""
     return identity.assign(_files(spark, sf_dir))
 
 

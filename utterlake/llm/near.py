@@ -408,7 +408,7 @@ several may have equal or null component_ids where doc_ids are repeated or null;
     for done in (members, sets, *links.written):
         drop_cut(done)
     named = classes.select("key", "doc_id").join(links.labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    least = cut(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "near-least")
     of_key = named.join(least, "comp").select("key", "component_id", "comp")
     out = signed.select("doc_id", "mark", F.col("n").alias("n_shingles"), "key").join(of_key, "key", "left")
     return out.select("doc_id", "mark", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "comp")

@@ -37,7 +37,7 @@ from utterlake.llm.common import cut, hash_spans, joined_bytes, text_slices
 from utterlake.llm.decontam import _LOWER, word_table
 
 THRESHOLD = 0.7
-#: Words whose counts the scan holds; the others are joined. Changes speed, never scores.
+#: How many words' counts the scan holds at most, the commonest; the others are joined. Changes speed, never scores.
 COMMON = 20_000
 #: (word, count) pairs that a counting task holds before it adds them up, and sums it holds before it hands them on.
 HELD, FLUSH = 2_000_000, 1_000_000
@@ -193,7 +193,9 @@ def own_licences(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "path",
     known = {r.key: r.n for r in counts.where(F.col("key").isNull() | F.col("key").isin(vocab_keys)).collect()}
     n_docs = known.pop(None, 0)
     weights = Weights(n_docs, {w: known[k] for w, k in zip(vocab, vocab_keys) if k in known}, templates, threshold)
-    known |= {r.key: r.n for r in counts.where("key IS NOT NULL").orderBy(F.desc("n"), "key").limit(COMMON).collect()}
+    held = counts.where("key IS NOT NULL")
+    total = held.agg(F.sum("n")).first()[0] or 0
+    known |= {r.key: r.n for r in held.where(F.col("n") * COMMON >= total).collect()}  # at most COMMON words can hold so large a share
     known_keys = np.array(sorted(known), np.int64)
     known_idf = np.log((n_docs + 1) / (np.array([known[k] for k in sorted(known)], np.float64) + 1)) + 1
     anchors = np.sort(_keys(sorted(weights.anchors)))

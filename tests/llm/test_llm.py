@@ -602,6 +602,12 @@ def test_chat_contexts_are_read_back(spark):
             chat.read_back(formatted, bad).collect()
 
 
+def test_chat_of_nothing(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_turns(none)
+    assert formatted.count() == 0 and chat.prompts(formatted).count() == 0 and chat.read_back(formatted, chat.prompts(formatted)).count() == 0
+
+
 def test_chat_query_writes_contexts(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(queries, "cut", lambda df, tag: seen.append(df) or df)

@@ -146,3 +146,25 @@ def test_quality_of_held_out_documents(spark):
     accuracy, auc = np.mean([r.predicted == marks[r.doc_id] for r in rows]), above / (len(good) * len(bad))
     print(f"held out {len(rows)}, bad {len(bad)}, accuracy {accuracy:.4f}, AUC {auc:.4f}")
     assert accuracy > 0.95 and auc > 0.97
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None), (None, ""), (None, "one two three four five six"), (None, "one two three four five six"), (3, "one two three four five six"), (4, "ab " * 3000), (4, "ab " * 3000), (5, None)]])
+def test_pipeline_on_odd_documents(spark, tmp_path, rows):
+    """No documents, null ids, null and repetitive texts, and repeated rows: no stage fails, adds or changes a row."""
+    for name in ("labels", "benchmark"):
+        os.symlink(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, t, None, None if i else "s", None) for i, t in rows], schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    left = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, left, str(tmp_path)).cache()
+        assert after.columns == left.columns and after.subtract(left).count() == 0, name
+        if name != "mix":
+            assert not Counter(map(tuple, after.collect())) - Counter(map(tuple, left.collect())), name
+        left = after
+    end = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in end) == Counter(r.doc_id for r in left.collect())
+    at = 0
+    for r in sorted(end, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens

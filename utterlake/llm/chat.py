@@ -104,8 +104,8 @@ def read_back(formatted: DataFrame, trained: DataFrame) -> DataFrame:
     conv_id, n_turns, turns_sha256 (role, line feed, text, line feed for each turn), loss_chars and loss_sha256 (the targets,
     unescaped, in order), formatted_chars (code points of the formatted conversation). A digest runs over a whole
     conversation, so here each conversation's text comes together in one row. An example fails the query unless its context is
-    the conversation's text up to its reply: a beginning of it that opens seq + 1 turns, ends in the speaker's line, and is
-    followed by the target and its end mark.
+    the conversation's text up to its reply (by length and SHA-256): a beginning of it that opens seq + 1 turns, ends in the
+    speaker's line, and is followed by the target and its end mark.
     """
     pattern = r"(?s)^<\|im_start\|>([^\n]*)\n(.*)<\|im_end\|>\n$"
     parts = formatted.select(
@@ -115,10 +115,14 @@ def read_back(formatted: DataFrame, trained: DataFrame) -> DataFrame:
         F.length("segment").cast("long").alias("chars"),
         F.lit(None).cast("string").alias("loss"),
     )
-    tried = _with_whole(trained, formatted)
-    context = F.col("context") if "context" in trained.columns else F.substring("_all", F.lit(1), F.col("context_chars").cast("int"))
+    own = F.col("context") if "context" in trained.columns else F.lit(None).cast("string")
+    size = F.length("context").cast("long") if "context" in trained.columns else F.col("context_chars")
+    # a context goes to its conversation as its length and digest, so what is shuffled stays linear
+    tried = _with_whole(trained.select("conv_id", "seq", "target", size.alias("_n"), F.sha2(own, 256).alias("_digest")), formatted)
+    context = F.substring("_all", F.lit(1), F.col("_n").cast("int"))
     opened = F.length(context) - F.length(F.replace(context, F.lit(START), F.lit("")))
-    right = F.startswith(F.col("_all"), F.concat(context, "target", F.lit(END))) & F.endswith(context, F.lit(f"{START}{TRAINED}{NL}")) & (opened == (F.col("seq") + 1) * len(START))
+    same = F.col("_digest").isNull() | (F.col("_digest") == F.sha2(context, 256))
+    right = same & F.startswith(F.col("_all"), F.concat(context, "target", F.lit(END))) & F.endswith(context, F.lit(f"{START}{TRAINED}{NL}")) & (opened == (F.col("seq") + 1) * len(START))
     loss = F.when(right, unescape(F.col("target"))).otherwise(F.raise_error(F.lit("an example's context is not what precedes its reply")).cast("string"))
     losses = tried.select("conv_id", "seq", F.lit(None).cast("string").alias("piece"), F.lit(0).cast("long").alias("chars"), loss.alias("loss"))
     return (

@@ -59,10 +59,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+#: Codecs of tables whose rows repeat long stretches of each other; others take Spark's default, which costs less time.
+CODECS = {"chat-examples": "zstd"}
+
+
 def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: what follows doesn't recompute it, whatever executor is lost."""
     path = shared_dir(df.sparkSession, tag)
-    df.write.parquet(path)
+    writer = df.write.option("compression", CODECS[tag]) if tag in CODECS else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,8 @@ Vectors are quantised to integers (floor(scale * x)). A vector is cut into segme
 means m and deviations s, the squared distance of two vectors is at least L * ((m1 - m2)^2 + (s1 - s2)^2). With the lengths of both
 vectors known, that lower bound on distance is an upper bound on their product, the sum over segments of L * (m1 * m2 + s1 * s2).
 Each batch of candidates is first screened against each query's k-th best so far with a few long segments, the survivors
-with more and shorter ones, and only what is left is multiplied out, exactly.
+with more and shorter ones, and only what is left is multiplied out, exactly. Where many pairs survive (vectors without
+structure), bounds and products are made for whole blocks as products of matrices, and pairs are dropped by the same comparisons.
 
 Queries are taken in blocks of at most BLOCK rows, broadcast one block at a time (their size is fixed by BLOCK), and
 all candidates are passed over once for each block; if there are several, quantised candidates are written once and read for each.
@@ -35,6 +36,8 @@ BLOCK = 16_384
 SAMPLE = 2_048
 #: Queries that a task screens at a time, and candidates: bounds its matrices to some 40 MB.
 ROWS_Q, ROWS_C = 1_024, 2_048
+#: Share of pairs below which they are listed one by one.
+FEW = 0.02
 _EXACT = 2.0**53
 
 
@@ -108,24 +111,37 @@ class Searcher:
             self._screen(rows, rest, ids, v, stats)
 
     def _screen(self, rows: slice, rest: slice, ids: np.ndarray, v: np.ndarray, stats: list[np.ndarray]) -> None:
-        base_q, base_c = rows.start, rest.start
-        mine, theirs = self.stats[0][rows], stats[0][rest]
-        if not len(theirs):
+        """Pairs of queries and candidates through the levels. While many are left, a level's bounds are made as one product of matrices."""
+        v, ids = v[rest], ids[rest]
+        if not len(ids):
             return
-        bound = mine @ theirs.T
-        slack = self._slack(rows, v)
-        q, c = np.nonzero(bound >= (self.best.floor[rows] - slack)[:, None])
-        self.tried += bound.size
-        for level in range(1, len(self.segments)):
-            keep = np.zeros(len(q), bool)
-            for i in range(0, len(q), 1 << 16):
-                s = slice(i, i + (1 << 16))
-                fine = np.einsum("ij,ij->i", self.stats[level][rows][q[s]], stats[level][rest][c[s]])
-                keep[s] = fine >= self.best.floor[rows][q[s]] - slack[q[s]]
-            q, c = q[keep], c[keep]
+        slack, floor = self._slack(rows, v), self.best.floor[rows]
+        least = (floor - slack)[:, None]
+        alive = np.ones((len(floor), len(ids)), bool)
+        self.tried += alive.size
+        q = c = None  # pairs that are left, once they are few
+        for level in range(len(self.segments)):
+            mine, theirs = self.stats[level][rows], stats[level][rest]
+            if q is None:
+                alive &= mine @ theirs.T >= least
+                if np.count_nonzero(alive) < FEW * alive.size:
+                    q, c = np.nonzero(alive)
+            else:
+                fine = np.concatenate([np.einsum("ij,ij->i", mine[q[i : i + 65_536]], theirs[c[i : i + 65_536]]) for i in range(0, len(q), 65_536)] or [np.zeros(0)])
+                keep = fine >= least[q, 0]
+                q, c = q[keep], c[keep]
+        own = self.v[rows]
+        if q is None and np.abs(own).max(initial=0) * np.abs(v).max(initial=0) * v.shape[1] < _EXACT:
+            self.made += np.count_nonzero(alive)
+            score = own @ v.T  # sums of integers below 2**53: exact in any order
+            q, c = np.nonzero(alive & (score >= floor[:, None]) & (self.ids[rows][:, None] != ids[None, :]))
+            self.best.add(q + rows.start, score[q, c].astype(np.int64), ids[c])
+            return
+        if q is None:
+            q, c = np.nonzero(alive)
         for i in range(0, len(q), 1 << 17):
-            s = slice(i, i + (1 << 17))
-            self._exact(q[s] + base_q, c[s] + base_c, ids, v)
+            part = slice(i, i + (1 << 17))
+            self._exact(q[part] + rows.start, c[part], ids, v)
 
     def _slack(self, rows: slice, v: np.ndarray) -> np.ndarray:
         """More than rounding can take from a bound."""

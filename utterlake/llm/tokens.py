@@ -123,13 +123,18 @@ class Encoder:
 
     def _clear(self) -> None:
         end = np.array([0xFF], np.uint8)
-        self.seen = {int(hash_spans(end, np.array([0]), np.array([1]))[0]): 0}
+        self.keys, self.unit_of = hash_spans(end, np.array([0]), np.array([1])), np.zeros(1, np.int64)  # hashes in order, and their units
         self.at, self.len = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.ids = np.array([self.end_id], self.dtype)
         self.raw, self.raw_at, self.raw_len = end, np.zeros(1, np.int64), np.ones(1, np.int64)
 
-    def _learn(self, units: list[bytes], keys: list[int]) -> None:
-        """Units that start with a space and end in none keep their ids when joined, so they are encoded many at a time."""
+    def _look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The unit remembered for each hash, and which hashes have none."""
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.unit_of[at], np.flatnonzero(self.keys[at] != keys)
+
+    def _learn(self, units: list[bytes], keys: np.ndarray) -> np.ndarray:
+        """The numbers under which units are remembered from now on. Units that start with a space and end in none keep their ids when joined, so they are encoded many at a time."""
         texts = [u.decode("utf-8", "surrogatepass") for u in units]
         plain, odd = [], []
         for i, t in enumerate(texts):
@@ -155,11 +160,16 @@ class Encoder:
         self.ids = np.concatenate([self.ids, *ids])
         self.at = np.concatenate([self.at, base + np.cumsum(lens) - lens])
         self.len = np.concatenate([self.len, lens])
-        order = [i for g in groups for i in g] + odd
-        self.seen.update((keys[i], first + k) for k, i in enumerate(order))
+        order = np.array([i for g in groups for i in g] + odd)
+        number = np.empty(len(units), np.int64)
+        number[order] = first + np.arange(len(units))
         self.raw_at = np.concatenate([self.raw_at, len(self.raw) + np.cumsum(size[order]) - size[order]])
         self.raw_len = np.concatenate([self.raw_len, size[order]])
-        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join([units[i] for i in order]), np.uint8)])
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join([units[i] for i in order.tolist()]), np.uint8)])
+        by = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[by])
+        self.keys, self.unit_of = np.insert(self.keys, at, keys[by]), np.insert(self.unit_of, at, number[by])
+        return number
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with its end id, and the count for each text."""
@@ -192,16 +202,15 @@ class Encoder:
         starts = unit_starts(buf, docs)
         ends = np.append(starts[1:], len(buf))
         codes, unique = pd.factorize(hash_spans(buf, starts, ends))
-        keys = unique.tolist()
-        if len(self.at) + len(keys) > self.cache_units and len(self.at) > 1:
+        if len(self.at) + len(unique) > self.cache_units and len(self.at) > 1:
             self._clear()
-        missing = [k for k, key in enumerate(keys) if key not in self.seen]
-        if missing:
-            first = np.empty(len(keys), np.int64)
+        unit, missing = self._look(unique)
+        if len(missing):
+            first = np.empty(len(unique), np.int64)
             first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-            raw = buf.tobytes()
-            self._learn([raw[starts[i] : ends[i]] for i in first[missing]], [keys[k] for k in missing])
-        unit = np.fromiter(map(self.seen.__getitem__, keys), np.int64, len(keys))[codes]
+            raw, at = buf.tobytes(), first[missing]
+            unit[missing] = self._learn([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())], unique[missing])
+        unit = unit[codes]
         lens = self.len[unit]
         before = np.cumsum(lens) - lens
         total = int(before[-1] + lens[-1])

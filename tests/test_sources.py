@@ -284,3 +284,15 @@ def test_columns_completed_later(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, v string")
     got = tables.update_columns(df, spark.createDataFrame([(1, None, 5), (7, "x", 6)], "id int, v string, n int"), ["id"])
     assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, None, 5), (2, "b", None), (None, "c", None)], key=str)
+
+
+def test_database_roundtrip(spark):
+    """Rows written to and read from a database over JDBC, by ranges of the key, overwritten and appended to."""
+    url, driver = "jdbc:derby:memory:roundtrip;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    df = spark.range(1, 2501).withColumn("gloss", F.concat(F.lit("w"), F.col("id") % 7))
+    tables.write_jdbc(df.limit(5), url, "token", "overwrite", driver)
+    tables.write_jdbc(df, url, "token", "overwrite", driver)
+    tables.write_jdbc(df.withColumn("id", F.col("id") + 2500), url, "token", "append", driver)
+    back = tables.jdbc(spark, url, "token", lower=1, upper=5001, partitions=4, key='"id"', properties=driver)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 5000
+    assert [r.id for r in tables.page(back, "id", 4990, 3).collect()] == [4991, 4992, 4993]

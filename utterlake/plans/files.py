@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from utterlake import schemas
@@ -368,3 +368,108 @@ def equal_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether two flags agree on every row of a group, nulls with nulls."""
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("g"), F.col("o_orderstatus").isin("P", "F").alias("a"), (F.col("o_totalprice") > 100000).alias("b"))
     return rows.groupBy("g").agg(F.bool_and(F.col("a").eqNullSafe(F.col("b"))).alias("same"))
+
+
+@query(f"""WITH {UTT} SELECT conv_id, ord AS utt_number, CASE WHEN len(tokens) > 0 THEN array_to_string(list_transform(tokens, lambda w: 'n|' || w), ' ') END AS mor, 'turn ' || ord AS com, NULL::VARCHAR AS act FROM u""")
+def tier_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiers of CHAT text as columns: of a repeated one the last, null where there is none."""
+    items = F.array_join(F.transform("tokens", lambda w: F.concat(F.lit("n|"), w)), " ")
+    line = F.concat(F.lit("*CHI:\t"), F.array_join("tokens", " "), F.lit("\n%mor:\tfirst one\n%mor:\t"), items, F.lit("\n%com:\tturn\n\t"), F.col("order"))
+    rows = utt(spark, sf_dir).groupBy("conv_id").agg(L.ordered(line, F.col("order")).alias("lines"))
+    files = rows.select(F.col("conv_id").cast("string").alias("path"), F.concat(F.lit("@Begin\n@Participants:\tCHI Target_Child\n"), F.array_join("lines", "\n"), F.lit("\n@End\n")).alias("text"))
+    out = chat_text.wide(chat_text.utterances(files), ["mor", "com", "act"])
+    return out.select(F.col("path").cast("long").alias("conv_id"), (F.col("utt_number") + 1).cast("long").alias("utt_number"), F.nullif("mor", F.lit("")).alias("mor"), "com", "act")
+
+
+@query(r"""WITH g AS (SELECT conv_id, turn, list_filter(string_split_regex(regexp_replace(text, '[^0-9A-Za-z\s''_@+&=]', '', 'g'), '\s+'), lambda w: w <> '') AS w FROM conversations)
+SELECT conv_id, turn + 1 AS utt_number, unnest(range(len(w))) AS word_order, unnest(w) AS gloss, 'n|' || unnest(w) AS mor, 'NA' AS at_tags FROM g""")
+def archival_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archival word table of CHAT text: each word with its morphology item."""
+    items = F.array_join(F.transform(S.clean_gloss(F.col("text")), lambda w: F.concat(F.lit("n|"), w)), " ")
+    line = F.concat(F.lit("*CHI:\t"), F.array_join("tokens", " "), F.lit("\n%mor:\t"), items, F.lit(" ."))
+    rows = utt(spark, sf_dir).groupBy("conv_id").agg(L.ordered(line, F.col("order")).alias("lines"))
+    files = rows.select(F.col("conv_id").cast("string").alias("path"), F.concat(F.lit("@Begin\n"), F.array_join("lines", "\n"), F.lit("\n@End\n")).alias("text"))
+    out = chat_text.word_rows(chat_text.utterances(files))
+    return out.select(F.col("path").cast("long").alias("conv_id"), (F.col("utt_number") + 1).cast("long").alias("utt_number"), F.col("word_order").cast("long").alias("word_order"), "gloss", "mor", "at_tags")
+
+
+@query(f"WITH {TOK} SELECT role, gloss, count(*) AS own, count(*) AS theirs FROM t GROUP BY ALL")
+def external_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts read from a frequency program's output next to those of the table."""
+    own = build.frequencies(tok(spark, sf_dir), ["role"])
+    lines = F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("  "), F.col("count"), F.lit(" "), F.col("gloss")))), "\n")
+    printed = own.groupBy("role").agg(F.concat(F.lit("From file <a.cha>\n"), lines, F.lit("\n------\n")).alias("out"))
+    theirs = printed.select("role", F.explode(quality.unigram_counts(F.col("out"))).alias("x")).select("role", F.col("x.word").alias("gloss"), F.col("x.n").alias("theirs"))
+    return own.join(theirs, ["role", "gloss"], "left").select("role", "gloss", F.col("count").cast("long").alias("own"), F.col("theirs").cast("long").alias("theirs"))
+
+
+@query("SELECT event_id, (SELECT c_name FROM customer WHERE c_custkey = user_id) AS name FROM events")
+def looked_up_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A name looked up for each row by its id, null where there is none: one join for all rows."""
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    return table(spark, sf_dir, "events").join(names, "user_id", "left").select("event_id", "name")
+
+
+@query("""SELECT 'langs' AS name, (SELECT count(*) FROM (SELECT lang FROM documents WHERE doc_id % 2 = 0 EXCEPT SELECT lang FROM documents WHERE doc_id % 2 = 1)) + (SELECT count(*) FROM (SELECT lang FROM documents WHERE doc_id % 2 = 1 EXCEPT SELECT lang FROM documents WHERE doc_id % 2 = 0)) = 0 AS same
+UNION ALL SELECT 'keys', (SELECT count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)) + (SELECT count(*) FROM (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)) = 0""")
+def same_value_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether two columns hold the same set of values."""
+    docs = table(spark, sf_dir, "documents")
+    langs = quality.same_values(docs.where("doc_id % 2 = 0").select("lang"), docs.where("doc_id % 2 = 1").select("lang"))
+    keys = quality.same_values(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")))
+    return spark.createDataFrame([("langs", langs), ("keys", keys)], "name string, same boolean")
+
+
+@query("SELECT DISTINCT p_type AS element, contains('the reader knows ECONOMY and SMALL parts', p_type) AS read FROM part")
+def elements_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which elements of a schema a reader's source names."""
+    elements = table(spark, sf_dir, "part").select(F.col("p_type").alias("element")).distinct()
+    return quality.schema_coverage(elements, "the reader knows ECONOMY and SMALL parts")
+
+
+@query("SELECT r_name AS name FROM region")
+def corpus_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpora found by the marker file in their folders, at any depth."""
+    base = _folder(spark)
+    for r in table(spark, sf_dir, "region").collect():
+        tables.Files(spark, f"{base}/bank{r.r_regionkey % 2}/{r.r_name}").write(f"{r.r_name}.zip_placeholder", "")
+    return tables.corpus_roots(spark, base).select("name")
+
+
+@query("""SELECT column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE 'timestamp_ntz' END AS type
+FROM (SELECT column_name, column_type AS data_type FROM (DESCRIBE orders))""")
+def export_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of an export from a database's listing of its columns."""
+    named = {"bigint": "bigint", "string": "varchar", "double": "double", "timestamp_ntz": "datetime"}
+    listing = [(f.name, named[f.dataType.simpleString()], i + 1) for i, f in enumerate(table(spark, sf_dir, "orders").schema)]
+    schema = tables.export_schema(spark.createDataFrame(listing, "column_name string, data_type string, ordinal_position int"))
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "column_name string, type string")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 4 = 1 OR doc_id IN (SELECT l_orderkey FROM lineitem)")
+def skipped_pids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents left after skipping the PIDs of a list kept as JSON; a document without a PID is never skipped."""
+    out = f"{_folder(spark)}/skip"
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 4 != 1, F.col("doc_id").cast("string")).alias("pid"))
+    known = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("pid")).distinct()
+    tables.write_json(docs.where("pid IS NOT NULL").join(known, "pid", "left_anti").select("pid"), out)
+    return build.not_in_bank(docs, spark.read.schema("pid string").json(out)).select("doc_id")
+
+
+@query("SELECT n_regionkey::VARCHAR AS region, n_name AS name, row_number() OVER (ORDER BY 'region=' || n_regionkey || '/name=' || n_name) AS place, true AS filled FROM nation")
+def corpus_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a tree of folders in order of path, without reading them."""
+    out = f"{_folder(spark)}/tree"
+    rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("region"), F.col("n_name").alias("name"), "n_nationkey")
+    rows.repartition(1).write.partitionBy("region", "name").json(out)
+    listed = tables.corpus_files(spark, out, "*.json").select("size", F.split("path", "/").alias("p"))
+    rank = F.row_number().over(Window.orderBy(F.array_join("p", "/"))).cast("long")
+    return listed.select(F.substring_index(F.col("p")[0], "=", -1).alias("region"), F.substring_index(F.col("p")[1], "=", -1).alias("name"), rank.alias("place"), (F.col("size") > 0).alias("filled"))
+
+
+@query(f"WITH {UTT} SELECT lpad(conv_id::VARCHAR, 8, '0') || '.json' AS path, count(*) AS num_utterances, sum(len(tokens))::BIGINT AS num_tokens FROM u GROUP BY conv_id")
+def external_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents put through an external program, whose output is parsed; here one that copies its input."""
+    docs = chat_json.parsed(chat_json.run_parser(as_json(utt(spark, sf_dir)), ["cat"]).where("error IS NULL"))
+    tokens_of = F.aggregate("utterances", F.lit(0), lambda n, u: n + F.size(u["tokens"]))
+    return docs.select("path", F.size("utterances").cast("long").alias("num_utterances"), tokens_of.cast("long").alias("num_tokens"))

@@ -48,6 +48,14 @@ def corpus_roots(spark: SparkSession, root: str, marker: str = ".zip_placeholder
     return spark.createDataFrame(sorted(folders), "folder string, name string")
 
 
+def corpus_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """path (below root), size of all files under root whose name matches, in order of path; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/")
+    return files.select(F.substring("path", F.lit(len(base) + 2), F.length("path")).alias("path"), F.col("length").alias("size")).orderBy("path")
+
+
 def tagged_csv(spark: SparkSession, pattern: str, schema: T.StructType | None = None) -> DataFrame:
     """All CSV files that a glob matches, each row with its file."""
     reader = spark.read.option("header", True).option("nullValue", "NA")

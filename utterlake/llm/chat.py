@@ -89,8 +89,10 @@ def prompts(formatted: DataFrame) -> DataFrame:
 
 def _with_whole(rows: DataFrame, formatted: DataFrame) -> DataFrame:
     """rows with their conversation's formatted text as _all."""
-    whole = formatted.groupBy(F.col("conv_id").alias("_conv")).agg(_in_order("segment").alias("_all"))
-    return rows.join(whole, rows["conv_id"].eqNullSafe(whole["_conv"])).drop("_conv")
+    # never null, so that the texts stay where they were put together
+    key = {"_none": F.col("conv_id").isNull(), "_conv": F.coalesce(F.col("conv_id").cast("string"), F.lit(""))}
+    whole = formatted.withColumns(key).groupBy(*key).agg(_in_order("segment").alias("_all"))
+    return rows.withColumns(key).join(whole, [*key]).drop(*key)
 
 
 def _in_order(column: str) -> Column:

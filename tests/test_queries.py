@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are absent")
 
 
-#: Their SQL states the rule that the files teach, which takes more files than the smallest tables have.
+#: Rules are learned from more files than the smallest tables have.
 LARGER = {"rule_learning": "/root/testdata/sf0.01", "identity_assignment": "/root/testdata/sf0.01"}
 
 

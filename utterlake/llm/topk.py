@@ -9,7 +9,7 @@ structure), bounds and products are made for whole blocks as products of matrice
 
 Queries are taken in blocks of at most BLOCK rows, broadcast one block at a time (their size is fixed by BLOCK), and
 all candidates are passed over once for each block; if there are several, quantised candidates are written once and read for each.
-A block comes with floors: the k-th best score of each query among SAMPLE candidates, which are drawn by hash. What lies below a
+A block comes with floors: the k-th best score of each query among some SAMPLE candidates, drawn at random (at most twice as many). What lies below a
 floor can't be among the k best of all, so tasks screen against it from their first row and hand on, of their own k best for
 a query, only what reaches it: some k * n / SAMPLE rows a query of n candidates in all, however many tasks there are. Those are merged
 by query. The sample bounds the search and replaces no part of it.
@@ -194,7 +194,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 25
     rows, following = next(blocks, None), next(blocks, None)
     if following is not None:
         candidates = cut(candidates, "top-k-vectors")
-    drawn = candidates.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect() if rows else []
+    share = sample / max(1, vectors.count())
+    drawn = candidates.where(F.rand(7) < share).limit(2 * sample).collect() if rows else []  # which ones they are changes no result
     known = _by_length([(r.vec_id, r.v) for r in drawn])
     while rows is not None:
         parts = {}

@@ -66,14 +66,15 @@ def dimensions(corpora: DataFrame) -> tuple[DataFrame, DataFrame]:
     names = corpora.select("collection_name", "data_source").groupBy("collection_name").agg(F.min("data_source").alias("data_source"))
     collection = names.select(F.row_number().over(W.orderBy("collection_name")).cast("long").alias("id"), F.col("collection_name").alias("name"), "data_source")
     of = collection.select(F.col("id").alias("collection_id"), F.col("name").alias("collection_name"))
-    corpus = corpora.select("collection_name", "corpus_name", "data_source").distinct().join(F.broadcast(of), "collection_name")
+    corpus = corpora.select("collection_name", "corpus_name", "data_source").distinct().join(of, "collection_name")
     corpus = corpus.select(F.row_number().over(W.orderBy("collection_name", "corpus_name")).cast("long").alias("id"), F.col("corpus_name").alias("name"), "collection_id", "collection_name", "data_source")
     return collection, corpus
 
 
 def first_copies(docs: DataFrame, *order: str) -> DataFrame:
-    """docs without later rows of a pid; rows without a pid stay."""
-    n = F.row_number().over(W.partitionBy("pid").orderBy(*order))
+    """docs without later rows of a pid; rows without a pid stay, and are dealt out by the order's columns, not to one task."""
+    apart = F.when(F.col("pid").isNull(), F.xxhash64(*order))
+    n = F.row_number().over(W.partitionBy("pid", apart).orderBy(*order))
     return docs.withColumn("_n", F.when(F.col("pid").isNotNull(), n).otherwise(1)).where("_n = 1").drop("_n")
 
 
@@ -221,7 +222,7 @@ def release(docs: DataFrame, corpora: DataFrame, identity: DataFrame | None = No
         return df.sparkSession.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
     collection, corpus = dimensions(corpora)
-    names = F.broadcast(corpus.select(F.col("id").alias("corpus_id"), F.col("name").alias("corpus_name"), "collection_id", "collection_name"))
+    names = corpus.select(F.col("id").alias("corpus_id"), F.col("name").alias("corpus_name"), "collection_id", "collection_name")  # Spark broadcasts it if it is small
     docs = docs.where("error IS NULL").join(names, ["collection_name", "corpus_name"])
     docs = first_copies(docs, "corpus_id", "path").drop("corpus_name", "collection_name", "collection_id")
     rows = kept(people(docs, identity), "people")

@@ -16,8 +16,8 @@ JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JO
 def denormalized_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts with the names of their dimensions; nation and region have a fixed, small number of rows."""
     t = lambda n: table(spark, sf_dir, n)
-    places = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    people = t("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_mktsegment", "n_name", "r_name")
+    places = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    people = t("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_mktsegment", "n_name", "r_name")
     facts = t("lineitem").select("l_orderkey", "l_quantity").join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return facts.join(people, F.col("o_custkey") == F.col("c_custkey")).groupBy("r_name", "n_name", "c_mktsegment").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
 
@@ -79,7 +79,7 @@ SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_partkey ELSE only_key END A
 def fallback_lookup_unambiguous(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By key where there is one, else by a name that stands for one part only."""
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    alone = parts.withColumn("n", F.count("*").over(W.partitionBy("p_name"))).where("n = 1").select("p_name", F.col("p_partkey").alias("by_name"))
+    alone = parts.groupBy("p_name").agg(F.count("*").alias("n"), F.min("p_partkey").alias("by_name")).where("n = 1").drop("n")
     direct = parts.where("p_partkey % 2 = 0").select("p_partkey", F.col("p_partkey").alias("by_key"))
     return parts.join(direct, "p_partkey", "left").join(alone, "p_name", "left").select("p_partkey", F.coalesce("by_key", "by_name").alias("found"))
 

@@ -22,7 +22,7 @@ def _folder(spark: SparkSession) -> str:
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base:
         return f"{base.rstrip('/')}/plans-{uuid.uuid4().hex[:12]}"
-    if not spark.sparkContext.master.startswith("local["):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return "file://" + tempfile.mkdtemp(prefix="utterlake-")
 

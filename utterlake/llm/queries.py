@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from utterlake.llm import chat, decontam, licences, mixing, near, quality, substrings, tokens, topk, warc
+from utterlake.llm import chat, decontam, licences, mixing, near, quality, resample, simhash, spelling, substrings, tokens, topk, warc
 from utterlake.llm.common import cut, shared_dir, ship
 
 
@@ -175,6 +175,7 @@ SELECT doc_id, size, source_size, target,
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 """
 
+
 def as_files(docs: DataFrame) -> DataFrame:
     """Documents as files of a tree: source / thousands / fifties / name, where each fiftieth document is a licence file."""
     n = F.col("doc_id")
@@ -187,6 +188,95 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(as_files(_table(spark, sf_dir, "documents")))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint of each document, and its component under links at 4 or fewer differing bits."""
+    return simhash.near_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of each word, with one run in 199 misspelt."""
+    rows = spelling.variants(_table(spark, sf_dir, "documents"), noise=spelling.NOISE)
+    return rows.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: crc32 of the strings s of a table, byte by byte: a list of 256 remainders, then a fold over the bytes.
+_CRC = """
+crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS r),
+{out} AS (
+  SELECT s, xor(list_reduce(list_transform(range(1, 2 * octet_length(encode(s)) + 1, 2), lambda i: ('0x' || substr(hex(encode(s)), i, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM {of}, crc)"""
+
+SQL_OP12 = (
+    r"""
+WITH RECURSIVE d AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+c AS (SELECT id || ':' || run AS s, run, count(*) AS n FROM d WHERE length(run) >= 6 GROUP BY id, run),"""
+    + _CRC.format(out="hashed", of="c")
+    + r""",
+o AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM c JOIN hashed USING (s)),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM o WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+k AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS g FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (
+  SELECT x.word AS a, y.word AS b, y.n FROM k x JOIN k y ON x.g = y.g AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, w.word, w.n FROM k x JOIN w ON x.g = w.word
+  UNION SELECT w.word, x.word, x.n FROM k x JOIN w ON x.g = w.word),
+b AS (SELECT a, count(*) AS n_near, max(n) AS most FROM p GROUP BY a),
+f AS (SELECT p.a, min(p.b) AS form, most FROM p JOIN b ON p.a = b.a AND p.n = b.most GROUP BY p.a, most),
+g AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN f.most >= 5 * w.n THEN form END AS form, CASE WHEN f.most >= 5 * w.n THEN f.most END::BIGINT AS form_n
+  FROM w LEFT JOIN b ON w.word = b.a LEFT JOIN f ON w.word = f.a),
+t AS (
+  SELECT word AS leaf, word AS at, form AS up FROM g
+  UNION ALL SELECT t.leaf, g.word, g.form FROM t JOIN g ON t.up = g.word)
+SELECT word, g.form, t.at AS root, n, n_near, form_n FROM g JOIN t ON t.leaf = g.word AND t.up IS NULL
+"""
+)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of each document towards the benchmark's word runs, and the rank of those that are drawn."""
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+SQL_OP13 = (
+    r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (
+  SELECT k, s, count(*) AS n FROM (
+    SELECT k, array_to_string(w[i : i + m], ' ') AS s FROM (SELECT k, w, m, unnest(range(1, len(w) - m + 1)) AS i FROM d, (SELECT unnest([0, 1, 2]) AS m) WHERE len(w) > m))
+  GROUP BY k, s),
+bf AS (
+  SELECT s, count(*) AS n FROM (
+    SELECT array_to_string(w[i : i + m], ' ') AS s FROM (SELECT w, m, unnest(range(1, len(w) - m + 1)) AS i FROM b, (SELECT unnest([0, 1, 2]) AS m) WHERE len(w) > m))
+  GROUP BY s),
+every AS (SELECT s FROM df UNION SELECT s FROM bf),"""
+    + _CRC.format(out="hashed", of="every")
+    + r""",
+db AS (SELECT k, h % 10000 AS bucket, sum(n) AS n FROM df JOIN hashed USING (s) GROUP BY k, bucket),
+sb AS (SELECT bucket, sum(n)::DOUBLE AS s FROM db GROUP BY bucket),
+tb AS (SELECT h % 10000 AS bucket, sum(n)::DOUBLE AS t FROM bf JOIN hashed USING (s) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000::DOUBLE * ln((coalesce(t, 0) + 1) * ((SELECT sum(s) FROM sb) + 10000)
+    / ((s + 1) * (coalesce((SELECT sum(t) FROM tb), 0) + 10000))))::BIGINT AS gain
+  FROM sb LEFT JOIN tb USING (bucket)),
+wt AS (SELECT k, sum(n * gain)::BIGINT AS weight FROM db JOIN gain USING (bucket) GROUP BY k),
+sc AS (
+  SELECT k, doc_id, len(w) AS words, (greatest(len(w), 0) + greatest(len(w) - 1, 0) + greatest(len(w) - 2, 0))::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000::DOUBLE * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN wt USING (k)),
+rk AS (SELECT k, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM sc WHERE words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 5 * n // 100 THEN r END::BIGINT AS rank FROM sc LEFT JOIN rk USING (k)
+"""
+)
+
+
 _QUERIES = [
     (op1_token_output, None),
     (op2_top_products, SQL_OP2),
@@ -198,6 +288,9 @@ _QUERIES = [
     (op8_chat_examples, SQL_OP8),
     (op9_source_mix, SQL_OP9),
     (op10_licences, None),
+    (op11_fingerprints, None),
+    (op12_spelling, SQL_OP12),
+    (op13_resampling, SQL_OP13),
 ]
 
 

@@ -24,7 +24,7 @@ def query(sql: str | None = None):
 
 def _load() -> None:
     """Import the modules whose queries register themselves."""
-    from utterlake.plans import files, lexical, relational, scalar, transcripts  # noqa: F401
+    from utterlake.plans import files, lexical, relational, releases, scalar, transcripts  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,20 +11,11 @@ from utterlake.functions import lexical as L
 from utterlake.operators import build, identity
 from utterlake.plans.adapters import TOK, table, utt
 from utterlake.plans.catalogue import query
+from utterlake.session import scratch_dir as _folder
 from utterlake.sources import chat_json, chat_text, talkbank_xml
 from utterlake.streaming import ingest
 
 
-def _folder(spark: SparkSession) -> str:
-    """A fresh folder in the shared checkpoint folder; where none is set, which only local sessions may do, a temporary one."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base:
-        return f"{base.rstrip('/')}/plans-{uuid.uuid4().hex[:12]}"
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return "file://" + tempfile.mkdtemp(prefix="utterlake-")
-
-
 def escaped(c):
     return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
 

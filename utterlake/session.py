@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import atexit
+import shutil
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -21,3 +26,29 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     for k, v in (CONF | {k.replace("_", "."): v for k, v in conf.items()}).items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+_scratch: list[str] = []
+
+
+def scratch_dir(spark: SparkSession, tag: str = "plans") -> str:
+    """A fresh path for intermediate tables in the shared folder that spark.checkpoint.dir names.
+
+    Where none is set, which only local sessions may do, it lies in a temporary folder that goes with this process.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        if not _scratch:
+            _scratch.append(tempfile.mkdtemp(prefix="utterlake-"))
+            atexit.register(shutil.rmtree, _scratch[0], True)
+        base = "file://" + _scratch[0]
+    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """df written to the shared folder and read back, so that what follows doesn't compute it again, whatever executor is lost."""
+    path = scratch_dir(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -100,25 +100,57 @@ def document(pid="P1", people=None, lines=()):
     return json.dumps({"participants": people, "lines": [*head, *lines]})
 
 
-def test_content_walk():
-    w = chat_json.Walk(CONTENT)
-    assert [t["gloss"] for t in w.tokens] == ["gonna", "I", "xxx", "it's", "home"]
-    assert w.slots == [0, 0, None, 3, 4] and w.unknown == {"novelty"}
+def said(spark, *lines):
+    """The utterances of a document with these lines."""
+    return chat_json.parsed(spark.createDataFrame([("p", document(lines=lines))], "path string, text string")).first().utterances
+
+
+def test_content_walk(spark):
     deep = word("deep")
-    for _ in range(5000):
-        deep = {"type": "group", "content": {"content": [deep]}}
-    assert [t["gloss"] for t in chat_json.Walk([deep]).tokens] == ["deep"]
-
-
-def test_alignment():
-    u = chat_json.utterance(line("CHI", CONTENT, [{"type": "Mor", "data": {"items": MOR}}, {"type": "Gra", "data": {"relations": GRA}}, {"type": "UserDefined", "data": {"label": "xpho", "content": "a b c d e"}}, {"type": "Mod", "data": {"items": ["x", ["y", "z"]]}}], ALIGN))
-    t = u["tokens"]
-    assert (t[0]["stem"], t[0]["pos"], t[0]["num_morphemes"], t[0]["gra_relation"]) == ("go to", "part inf", 3, "A")
-    assert t[1]["stem"] == "" and t[1]["num_morphemes"] is None
-    assert t[3]["clitic"] == "cop be" and t[3]["gra_relation"] == "C" and t[4]["gra_relation"] == "D"
-    assert [x["actual_phonology"] for x in t] == list("abcde") and {x["model_phonology"] for x in t} == {""}
-    bad = chat_json.utterance(line("CHI", CONTENT, [{"type": "Mor", "data": {"items": MOR}}], ALIGN | {"units": {"main_mor": [0]}}))
-    assert bad["slot_mismatch"] and all(x["stem"] == "" for x in bad["tokens"])
+    for _ in range(320):
+        deep = {"type": "group", "content": {"content": [word("before"), deep] if _ % 100 == 0 else [deep]}}
+    odd = [{"type": "retrace", "content": {"content": [{"type": "separator", "kind": "tag"}, {"type": "quotation", "content": {"content": [word("in")]}}]}}, {"type": "group"}, {"type": "odd", "content": None}, {"kind": "none"}, {"type": "word", "raw_text": "raw"}, {"type": "word"}]
+    u, v, w = said(spark, line("CHI", CONTENT, [{"type": "Mor", "data": {"items": MOR}}], ALIGN), line("CHI", [deep]), line("MOT", odd))
+    assert [t.gloss for t in u.tokens] == ["gonna", "I", "xxx", "it's", "home"] and u.tokens[0].replacement == "going to"
+    assert u.unknown == ["novelty"] and not u.slot_mismatch  # the units are those that ALIGN counts: two of gonna, one separator, it's, home
+    assert [t.gloss for t in v.tokens] == ["before"] * 4 + ["deep"]
+    assert [t.gloss for t in w.tokens] == ["in", "raw", ""] and w.unknown == ["None", "odd"]
+
+
+def test_alignment(spark):
+    tiers = [{"type": "Mor", "data": {"items": MOR}}, {"type": "Gra", "data": {"relations": GRA}}, {"type": "UserDefined", "data": {"label": "xpho", "content": "a b c d e"}}, {"type": "Mod", "data": {"items": ["x", ["y", "z"]]}}]
+    u, bad = said(spark, line("CHI", CONTENT, tiers, ALIGN), line("CHI", CONTENT, [{"type": "Mor", "data": {"items": MOR}}], ALIGN | {"units": {"main_mor": [0]}}))
+    t = u.tokens
+    assert (t[0].stem, t[0].pos, t[0].num_morphemes, t[0].gra_relation) == ("go to", "part inf", 3, "A")
+    assert t[1].stem == "" and t[1].num_morphemes is None
+    assert t[3].clitic == "cop be" and t[3].gra_relation == "C" and t[4].gra_relation == "D"
+    assert [x.actual_phonology for x in t] == list("abcde") and {x.model_phonology for x in t} == {""} and u.model == ["x", "y z"]
+    assert [(m.type, m.lemma, m.features) for m in t[0].morphemes + t[3].morphemes] == [("stem", "go", ["PRESP"]), ("stem", "to", []), ("stem", "it", []), ("clitic", "be", [])]
+    assert bad.slot_mismatch and all(x.stem == "" for x in bad.tokens)
+
+
+def test_alignment_out_of_order(spark):
+    """Pairs in any order, with holes and repeats: a token has its items in the pairs' order, a chunk its last relation."""
+    words = [word(w) for w in "abcd"]
+    items = [mor("n", x) for x in ("w", "x", "y", "z")]
+    pairs = [{"source_index": s, "target_index": t} for s, t in ((3, 0), (1, 3), (None, 2), (1, 1), (0, None), (0, 9), (7, 1))]
+    links = [{"mor_chunk_index": c, "gra_index": g} for c, g in ((3, 1), (0, 0), (3, 2), (1, 8), (None, 0))]
+    tiers = [{"type": "Gra", "data": {"relations": GRA}}, {"type": "Mor", "data": {"items": items[:1]}}, {"type": "Mor", "data": {"items": items}}, {"type": "Ort", "data": {"segments": [{"type": "text", "text": "o"}, {"type": "x", "text": "-"}, {"type": "text", "text": "p"}]}}, {"type": "Spa", "data": "$INI"}]
+    u, v = said(spark, line("CHI", words, tiers, {"mor": {"pairs": pairs}, "gra": {"pairs": links}}), line("CHI", words, [{"type": "Ort", "data": {"content": {"segments": [{"type": "text", "text": "q"}]}}}, {"type": "Pho", "data": "s"}, {"type": "Pho", "data": {"items": [["a", ["b", ["c"]]], "d", 1, "e"]}}], {"mor": {"pairs": pairs}}))
+    assert [x.stem for x in u.tokens] == ["", "z x", "", "w"] and [x.gra_relation for x in u.tokens] == [None, "C", None, "A"]
+    assert (u.ort, u.spa, v.ort, v.spa) == ("o p", "$INI", "q", None) and v.actual == ["a b c", "d", "1", "e"] == [x.actual_phonology for x in v.tokens]
+
+
+def test_documents_that_cannot_be_read(spark):
+    texts = {"a": None, "b": "", "c": "{", "d": "[1]", "e": '{"lines": 3}', "f": "{}", "g": '{"lines": null, "participants": null}', "h": '{"lines": [{"line_type": "utterance"}]}'}
+    rows = {r.path: r for r in chat_json.parsed(spark.createDataFrame(list(texts.items()), "path string, text string")).collect()}
+    assert {p for p, r in rows.items() if r.error} == set("abcde") and all(r.participants == [] for r in rows.values())
+    assert [len(rows[p].utterances) for p in texts] == [0] * 7 + [1] and rows["h"].utterances[0].tokens == []
+
+
+def test_no_python_reads_documents(spark):
+    plan = chat_json.parsed(spark.createDataFrame([("p", "{}")], "path string, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
 @pytest.fixture(scope="module")

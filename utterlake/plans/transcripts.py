@@ -48,7 +48,8 @@ def as_json(rows: DataFrame, more: dict[str, Column] | None = None) -> DataFrame
     people = F.collect_set("role")
     about = lambda r: F.struct(r.alias("code"), F.lit(None).cast("string").alias("name"), F.when(r == "user", "Target_Child").otherwise(F.initcap(r)).alias("role"))
     rows = rows.groupBy("conv_id").agg(L.ordered(line, F.col("order")).alias("lines"), F.map_from_entries(F.transform(F.array_sort(people), lambda r: F.struct(r, about(r)))).alias("participants"))
-    return rows.select(F.concat(F.lpad(F.col("conv_id").cast("string"), 8, "0"), F.lit(".json")).alias("path"), F.to_json(F.struct("lines", "participants")).alias("text"))
+    files = rows.select(F.concat(F.lpad(F.col("conv_id").cast("string"), 8, "0"), F.lit(".json")).alias("path"), F.to_json(F.struct("lines", "participants")).alias("text"))
+    return files.repartition(files.sparkSession.sparkContext.defaultParallelism)  # as many splits as files of a corpus would have
 
 
 @query(f"""WITH {TOK}, d AS (SELECT conv_id, role, count(DISTINCT lower(gloss)) AS types, count(*) AS nt FROM t GROUP BY ALL)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from utterlake.functions import lexical as L
 from utterlake.functions import scalars as S
-from utterlake.operators import build, quality
+from utterlake.operators import build, diversity, quality
 from utterlake.plans.adapters import TOK, UTT, table, tok, utt
 from utterlake.plans.catalogue import query
 
@@ -82,6 +82,19 @@ def mtld_by_speaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utt(spark, sf_dir).where("num_tokens > 0").groupBy(*KEY).agg(words.alias("w")).select(*KEY, F.round(L.mtld(F.col("w")), 6).alias("mtld"))
 
 
+@query(
+    f"""WITH {TOK},
+g AS (SELECT role, list(lower(gloss) ORDER BY conv_id, ord, token_order) AS w FROM t GROUP BY ALL),
+f AS (SELECT role, w, {_FOLD.format(w="w")} AS a, {_FOLD.format(w="list_reverse(w)")} AS b FROM g)
+SELECT role, len(w) AS n_words, CASE WHEN len(w) >= 50 THEN round(({_ONE.format(s="a")} + {_ONE.format(s="b")}) / 2, 6) END AS mtld FROM f"""
+)
+def mtld_of_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MTLD over all that is said in a role, by chunks of 4,096 words."""
+    rows = utt(spark, sf_dir).select("role", "conv_id", "order", F.transform("tokens", F.lower).alias("words"))
+    out = diversity.mtld(rows, ["role"], ["conv_id", "order"], "words", chunk=4096, ahead=512)
+    return out.select("role", "n_words", F.round("mtld", 6).alias("mtld"))
+
+
 @query(f"WITH {TOK}, {_HDD} SELECT conv_id, role, round(hdd, 6) AS hdd FROM n LEFT JOIN h USING (conv_id, role)")
 def hdd_by_speaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """HD-D from word frequencies alone: no ordered words are gathered."""

@@ -24,7 +24,8 @@ def age_days_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     y, m, d = (k % 7).cast("string"), F.lpad((k % 12).cast("string"), 2, "0"), F.lpad((k % 30).cast("string"), 2, "0")
     text = F.when(k % 4 == 0, F.lit("unknown")).when(k % 4 == 1, F.concat(y, F.lit(";"))).when(k % 4 == 2, F.concat(y, F.lit(";"), m)).otherwise(F.concat(y, F.lit(";"), m, F.lit("."), d))
-    return table(spark, sf_dir, "orders").select("o_orderkey", S.age_days_chat(text).alias("age"))
+    blank = F.when(k % 5 == 0, F.lit(" ")).when(k % 5 == 1, F.lit("\t ")).otherwise("")
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.age_days_chat(F.concat(blank, text, blank)).alias("age"))
 
 
 @query("""SELECT o_orderkey, (12 * (o_orderkey % 7) + o_orderkey % 12 + CASE WHEN o_orderkey % 30 > 15 THEN 1 ELSE 0 END)::BIGINT AS months,
@@ -38,8 +39,9 @@ def age_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate::DATE END AS date FROM orders")
 def chat_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, day = F.col("o_orderkey"), F.col("o_orderdate")
-    text = F.when(k % 9 == 0, F.lit("31-FOO-1962")).when(k % 2 == 0, F.upper(F.date_format(day, "dd-MMM-yyyy"))).otherwise(F.date_format(day, "dd-MMMM-yyyy"))
-    return table(spark, sf_dir, "orders").select("o_orderkey", S.chat_date(text).alias("date"))
+    text = F.when(k % 9 == 0, F.lit("31-FOO-1962")).when(k % 2 == 0, F.upper(F.date_format(day, "dd-MMM-yyyy"))).when(k % 5 == 0, F.date_format(day, "d-MMM-yyyy")).otherwise(F.date_format(day, "dd-MMMM-yyyy"))
+    blank = F.when(k % 7 == 0, F.lit("  ")).otherwise("")
+    return table(spark, sf_dir, "orders").select("o_orderkey", S.chat_date(F.concat(blank, text, blank)).alias("date"))
 
 
 @query(r"""SELECT page_id, split_part(url, '/', 3) AS host, regexp_replace(regexp_extract(url, '[^/]*$'), '(.)\.[^.]*$', '\1') AS stem,

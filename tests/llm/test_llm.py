@@ -209,6 +209,25 @@ def test_top_k_prunes():
     assert s.made < 0.2 * s.tried  # segment statistics spare most products
 
 
+def test_top_k_products_made():
+    """Levels in principal axes leave few pairs of vectors of little structure to multiply out, and each level fewer than the one before."""
+    rng = np.random.default_rng(4)
+    v = np.floor(256 * (rng.normal(0, 1, (3000, 64)) * np.linspace(0.2, 0.03, 64)) @ np.linalg.qr(rng.normal(0, 1, (64, 64)))[0])
+    basis = topk.axes(v[:500])
+    assert np.allclose(basis.T @ basis, np.eye(64))
+    first = topk.Searcher(np.arange(60), v[:60], 5, (4, 16), basis=basis)
+    first.add(np.arange(100, 600), v[100:600])
+    s = topk.Searcher(np.arange(60), v[:60], 5, (4, 16), first.best.floor, basis)
+    for i in range(0, 3000, 700):
+        s.add(np.arange(i, min(i + 700, 3000)), v[i : i + 700])
+    assert s.left == sorted(s.left, reverse=True) and s.left[-1] <= s.made < 0.03 * s.tried
+    q, score, who = s.best.rows
+    exact = (v[:60] @ v.T).astype(np.int64)
+    for i in range(60):
+        want = sorted((-x, j) for j, x in enumerate(exact[i].tolist()) if j != i)[:5]
+        assert [(-a, b) for a, b in zip(score[q == i].tolist(), who[q == i].tolist())] == want
+
+
 # 3
 
 

@@ -3,9 +3,12 @@
 Vectors are quantised to integers (floor(scale * x)). A vector is cut into segments; over a segment of L components, with
 means m and deviations s, the squared distance of two vectors is at least L * ((m1 - m2)^2 + (s1 - s2)^2). With the lengths of both
 vectors known, that lower bound on distance is an upper bound on their product, the sum over segments of L * (m1 * m2 + s1 * s2).
-Each batch of candidates is first screened against each query's k-th best so far with a few long segments, the survivors
-with more and shorter ones, and only what is left is multiplied out, exactly. Where many pairs survive (vectors without
-structure), bounds and products are made for whole blocks as products of matrices, and pairs are dropped by the same comparisons.
+Bounds hold in any orthonormal basis, and are tight where a segment is short or its components small. So vectors are turned to the principal axes
+of a bounded sample first; a level has the leading axes (AXES, as shares of all) as segments of one component each and the rest as one segment. A finer
+level keeps the products of the axes that the coarser one had and adds those of its own.
+Pairs of a query and a candidate whose bound is below the query's k-th best score so far are dropped, level by level, and only survivors of the last
+level are multiplied out, exactly and in the given basis. While many pairs are left, a level's bounds are made for whole blocks as products of
+matrices, then for listed pairs (FEW); the comparisons are the same. On vectors without any structure most pairs fall at the finest levels only.
 
 Queries are taken in blocks of at most BLOCK rows, broadcast one block at a time (their size is fixed by BLOCK), and
 all candidates are passed over once for each block; if there are several, quantised candidates are written once and read for each.
@@ -30,13 +33,16 @@ from pyspark.sql import functions as F
 
 from utterlake.llm.common import cut, shared_dir
 
+#: Equal segments of the levels where there is no sample to take axes from.
 SEGMENTS = (4, 16)
+#: Leading axes of the levels, as shares of all.
+AXES = (1 / 8, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8)
 BLOCK = 16_384
 #: Candidates that floors are taken from.
 SAMPLE = 2_048
 #: Queries that a task screens at a time, and candidates: bounds its matrices to some 40 MB.
 ROWS_Q, ROWS_C = 1_024, 2_048
-#: Share of pairs below which they are listed one by one.
+#: Share of pairs below which bounds are made for listed pairs.
 FEW = 0.02
 _EXACT = 2.0**53
 
@@ -58,6 +64,22 @@ def segment_stats(v: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(out, axis=1) * np.sqrt(lens)
 
 
+def axes(sample: np.ndarray) -> np.ndarray:
+    """The principal axes of some vectors as columns, those of most energy first."""
+    largest = np.abs(sample).max(initial=0) or 1.0
+    return np.linalg.eigh((sample / largest).T @ (sample / largest))[1][:, ::-1].copy()
+
+
+def levels(v: np.ndarray, segments: tuple[int, ...], basis: np.ndarray | None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(own, rest) of each level: products of `own` over all levels so far and of this level's `rest` add up to the bound."""
+    n = v.shape[1]
+    leading = sorted({round(n * share) for share in AXES} - {0, n})
+    if basis is None or not leading:
+        return [(v[:, :0], segment_stats(v, k)) for k in segments]
+    turned = v @ basis
+    return [(turned[:, a:b], segment_stats(turned[:, b:], 1)) for a, b in zip([0, *leading], leading)]
+
+
 class Best:
     """The k best candidates of each query so far: scores descending, ids ascending among equals; none below the least score to look for."""
 
@@ -87,18 +109,24 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([max(-(2**63), min(2**63 - 1, e)) for e in exact], np.int64)
 
 
+def _paired(x: np.ndarray, y: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Products of rows q of x with rows c of y."""
+    return np.concatenate([np.einsum("ij,ij->i", x[q[i : i + 65_536]], y[c[i : i + 65_536]]) for i in range(0, len(q), 65_536)] or [np.zeros(0)])
+
+
 class Searcher:
-    """Queries of one vector length against batches of candidates."""
+    """Queries of one vector length against batches of candidates. tried: pairs; left: of them, those that each level leaves; made: products."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, segments: tuple[int, ...], least: np.ndarray | None = None):
-        self.ids, self.v, self.segments = ids, vectors, segments
-        self.stats = [segment_stats(vectors, s) for s in segments]
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int, segments: tuple[int, ...], least: np.ndarray | None = None, basis: np.ndarray | None = None):
+        self.ids, self.v, self.segments, self.basis = ids, vectors, segments, basis
+        self.levels = levels(vectors, segments, basis)
         self.best = Best(len(ids), k, least)
         self.k = k
         self.tried = self.made = 0
+        self.left = [0] * len(self.levels)
 
     def add(self, ids: np.ndarray, v: np.ndarray) -> None:
-        stats = [segment_stats(v, s) for s in self.segments]
+        theirs = levels(v, self.segments, self.basis)
         for a in range(0, len(self.ids), ROWS_Q):
             rows = slice(a, a + ROWS_Q)
             if np.isinf(self.best.floor[rows]).any():  # no k-th best yet: a few candidates in full
@@ -108,35 +136,32 @@ class Searcher:
                 rest = slice(n, None)
             else:
                 rest = slice(0, None)
-            self._screen(rows, rest, ids, v, stats)
+            self._screen(rows, rest, ids, v, theirs)
 
-    def _screen(self, rows: slice, rest: slice, ids: np.ndarray, v: np.ndarray, stats: list[np.ndarray]) -> None:
-        """Pairs of queries and candidates through the levels. While many are left, a level's bounds are made as one product of matrices."""
+    def _screen(self, rows: slice, rest: slice, ids: np.ndarray, v: np.ndarray, theirs: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Pairs of queries and candidates through the levels."""
         v, ids = v[rest], ids[rest]
         if not len(ids):
             return
-        slack, floor = self._slack(rows, v), self.best.floor[rows]
-        least = (floor - slack)[:, None]
-        alive = np.ones((len(floor), len(ids)), bool)
+        least = self.best.floor[rows] - self._slack(rows, v)
+        alive = np.ones((len(least), len(ids)), bool)
         self.tried += alive.size
-        q = c = None  # pairs that are left, once they are few
-        for level in range(len(self.segments)):
-            mine, theirs = self.stats[level][rows], stats[level][rest]
+        known = 0.0  # products of the axes so far, of the block or of the pairs that are left
+        q = c = None
+        for level, (mine, other) in enumerate(zip(self.levels, theirs)):
+            (x, tx), (y, ty) = (m[rows] for m in mine), (m[rest] for m in other)
             if q is None:
-                alive &= mine @ theirs.T >= least
-                if np.count_nonzero(alive) < FEW * alive.size:
+                known = known + x @ y.T
+                alive &= known + tx @ ty.T >= least[:, None]
+                self.left[level] += (n := np.count_nonzero(alive))
+                if n < FEW * alive.size:
                     q, c = np.nonzero(alive)
+                    known = known[q, c]
             else:
-                fine = np.concatenate([np.einsum("ij,ij->i", mine[q[i : i + 65_536]], theirs[c[i : i + 65_536]]) for i in range(0, len(q), 65_536)] or [np.zeros(0)])
-                keep = fine >= least[q, 0]
-                q, c = q[keep], c[keep]
-        own = self.v[rows]
-        if q is None and np.abs(own).max(initial=0) * np.abs(v).max(initial=0) * v.shape[1] < _EXACT:
-            self.made += np.count_nonzero(alive)
-            score = own @ v.T  # sums of integers below 2**53: exact in any order
-            q, c = np.nonzero(alive & (score >= floor[:, None]) & (self.ids[rows][:, None] != ids[None, :]))
-            self.best.add(q + rows.start, score[q, c].astype(np.int64), ids[c])
-            return
+                known = known + _paired(x, y, q, c)
+                keep = known + _paired(tx, ty, q, c) >= least[q]
+                q, c, known = q[keep], c[keep], known[keep]
+                self.left[level] += len(q)
         if q is None:
             q, c = np.nonzero(alive)
         for i in range(0, len(q), 1 << 17):
@@ -200,10 +225,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 25
     while rows is not None:
         parts = {}
         for n, (ids, v) in _by_length(rows).items():
-            first = Searcher(ids, v, k, segments)
+            basis = axes(known[n][1]) if n in known else None
+            first = Searcher(ids, v, k, segments, basis=basis)
             if n in known:
                 first.add(*known[n])
-            parts[n] = (ids, v, first.best.floor)
+            parts[n] = (ids, v, first.best.floor, basis)
         shared = spark.sparkContext.broadcast(parts)
 
         def search(batches, shared=shared):
@@ -217,8 +243,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 5, scale: int = 25
                     if n not in shared.value:
                         continue
                     if n not in searchers:
-                        ids_of, v_of, least = shared.value[n]
-                        searchers[n] = Searcher(ids_of, v_of, k, segments, least)
+                        searchers[n] = Searcher(*shared.value[n][:2], k, segments, *shared.value[n][2:])
                     own = np.flatnonzero(lens == n)
                     m = flat[at[own][:, None] + np.arange(n)]
                     for i in range(0, len(own), ROWS_C):

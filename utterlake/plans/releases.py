@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from utterlake.operators import release_diff
-from utterlake.plans.adapters import table
+from utterlake.plans.adapters import UTT, table, utt
 from utterlake.plans.catalogue import query
 from utterlake.session import scratch_dir
 from utterlake.sources import tables
+from utterlake.streaming import ingest, maintain
 
 PATH = ("collection", "corpus", "transcript")
+ARRAY = "array<struct<order:int,speaker:string,tokens:array<string>>>"
 
 
 def two_releases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -92,3 +96,51 @@ def release_rows_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = release_diff.changed_rows(old, new, PATH, "place", keys)
     values = F.from_json("key", "array<string>")
     return rows.select(*[F.get(values, F.lit(i)).alias(c) for i, c in enumerate(PATH)], "status", "old_n", "new_n", F.array_join("columns", ",").alias("columns"))
+
+
+def _event_files(spark: SparkSession, sf_dir: str, out: str) -> None:
+    """Three files of events: conversations as they first were, with later changes and additions, and with removals."""
+    turns = utt(spark, sf_dir).select("conv_id", F.struct(F.col("order").cast("int").alias("order"), F.col("role").alias("speaker"), "tokens").alias("u"))
+    files = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("u")).alias("utterances"))
+    k, us = F.col("conv_id"), F.col("utterances")
+    small = F.transform(us, lambda u: F.struct(u["order"].alias("order"), u["speaker"].alias("speaker"), F.transform(u["tokens"], F.lower).alias("tokens")))
+    users = F.filter(us, lambda u: u["speaker"] == "user")
+
+    def event(where: Column, at: int, utterances: Column | None) -> DataFrame:
+        gone = F.lit(utterances is None)
+        return files.where(where).select(k.cast("string").alias("path"), F.lit(at).cast("long").alias("at"), gone.alias("removed"), F.concat(F.lit("c"), k % 3).alias("corpus"), (F.lit(None) if utterances is None else utterances).cast(ARRAY).alias("utterances"))
+
+    for events in (
+        [event(k % 4 != 3, 1, F.when(k % 5 == 0, F.slice(us, 1, 2)).otherwise(us))],
+        [event(k % 4 == 3, 2, us), event(k % 5 == 0, 2, F.when(k % 10 == 0, small).otherwise(us)), event(k % 35 == 0, 1, None)],
+        [event(k % 7 == 0, 3, users), event(k % 6 == 1, 4, None), event(k % 6 == 1, 3, small), event(k % 11 == 10, 4, us)],
+    ):
+        reduce(DataFrame.unionByName, events).coalesce(1).write.mode("append").parquet(out)
+
+
+def _maintained(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_dir(spark)
+    _event_files(spark, sf_dir, f"{base}/events")
+    stream = ingest.files(spark, f"{base}/events", maintain.EVENT, maxFilesPerTrigger=1)
+    ingest.run(stream, f"{base}/state", maintain.writer(f"{base}/release", parts=8))
+    return f"{base}/release"
+
+
+_LEFT = f"""{UTT},
+s AS (
+  SELECT 'c' || conv_id % 3 AS corpus, role AS speaker, conv_id, ord,
+    CASE WHEN conv_id % 10 = 0 AND conv_id % 7 <> 0 AND conv_id % 11 <> 10 THEN list_transform(tokens, lambda w: lower(w)) ELSE tokens END AS tokens
+  FROM u WHERE conv_id % 6 <> 1 AND NOT (conv_id % 7 = 0 AND conv_id % 11 <> 10 AND role <> 'user'))"""
+
+
+@query(f"WITH {_LEFT} SELECT corpus, speaker, gloss, count(*) AS n FROM (SELECT corpus, speaker, unnest(tokens) AS gloss FROM s) GROUP BY ALL")
+def maintained_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word frequencies after three batches of added, changed and removed files, none of which built the table again."""
+    return maintain.table(spark, _maintained(spark, sf_dir), "frequency")
+
+
+@query(f"WITH {_LEFT} SELECT corpus, speaker, count(*) AS num_utterances, sum(len(tokens))::BIGINT AS num_tokens, round(sum(len(tokens)) / count(*), 6) AS mlu_w FROM s GROUP BY ALL")
+def maintained_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of speakers after the same batches."""
+    out = maintain.summaries(spark, _maintained(spark, sf_dir), ["corpus", "speaker"])
+    return out.withColumn("mlu_w", F.round("mlu_w", 6))

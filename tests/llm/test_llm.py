@@ -220,7 +220,7 @@ def test_top_k_products_made():
     s = topk.Searcher(np.arange(60), v[:60], 5, (4, 16), first.best.floor, basis)
     for i in range(0, 3000, 700):
         s.add(np.arange(i, min(i + 700, 3000)), v[i : i + 700])
-    assert s.left == sorted(s.left, reverse=True) and s.left[-1] <= s.made < 0.03 * s.tried
+    assert s.left == sorted(s.left, reverse=True) and s.left[-1] - 60 <= s.made <= s.left[-1] < 0.03 * s.tried  # a query is not multiplied with itself
     q, score, who = s.best.rows
     exact = (v[:60] @ v.T).astype(np.int64)
     for i in range(60):

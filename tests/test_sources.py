@@ -328,3 +328,28 @@ def test_database_roundtrip(spark):
     back = tables.jdbc(spark, url, "token", lower=1, upper=5001, partitions=4, key='"id"', properties=driver)
     assert back.rdd.getNumPartitions() == 4 and back.count() == 5000
     assert [r.id for r in tables.page(back, "id", 4990, 3).collect()] == [4991, 4992, 4993]
+
+
+def test_all_tables_of_a_database_dropped(spark, tmp_path):
+    """Views and other databases stay."""
+    for name in ("going", "staying"):
+        spark.sql(f"CREATE DATABASE {name} LOCATION 'file://{tmp_path}/{name}'")
+    for name in ("going.first", "going.second_one", "staying.first"):
+        spark.range(3).write.saveAsTable(name)
+    spark.range(1).createOrReplaceTempView("seen")
+    try:
+        assert sorted(tables.drop_all(spark, "going")) == ["first", "second_one"]
+        assert all(t.isTemporary for t in spark.catalog.listTables("going")) and tables.drop_all(spark, "going") == []
+        assert spark.table("staying.first").count() == 3 and spark.table("seen").count() == 1
+    finally:
+        for name in ("going", "staying"):
+            spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_csv_is_one_file(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "concat('a,', id, '\"') AS text").repartition(5)
+    for _ in range(2):  # the second replaces the first
+        tables.write_csv(rows, f"{tmp_path}/out")
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+    back = spark.read.schema("id long, text string").option("header", True).option("escape", "\\").csv(f"{tmp_path}/out")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))

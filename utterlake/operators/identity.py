@@ -18,6 +18,7 @@ def candidate_keys(path: Column, name: Column) -> list[tuple[str, Column]]:
     one = F.when(F.size(parts) > 1, parts[0])
     alpha, digits, tail = found("^[A-Za-z]+"), found("^[0-9]+"), found("[0-9]+$")
     both = lambda a, b: F.concat(a, F.lit("|"), b)
+    # Names and order of the rules, and what each takes of a path.
     before = F.when(F.rlike(stem, F.lit("^.*[_-][^_-]+$")), F.regexp_extract(stem, "^(.*)[_-][^_-]+$", 1))
     prefixes = [(f"prefix{k}", F.when(F.length(stem) >= k, F.left(stem, F.lit(k)))) for k in (6, 5, 4, 3, 2)]
     return [

@@ -184,14 +184,21 @@ def resumed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.exported(spark, out)
 
 
-@query("SELECT source, doc_id, lang FROM documents WHERE source IN (SELECT min(source) FROM documents)")
+@query("""SELECT source, doc_id, CASE WHEN source IN ('src0', 'src1') THEN upper(lang) ELSE lang END AS lang FROM documents""")
 def per_collection_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One collection read from a table written in a folder for each."""
+    """A table written in a folder for each collection, two of which are written again: all folders read back."""
     rows, out = table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), f"{_folder(spark)}/by-source"
     tables.write_by(rows, out, "source")
-    tables.write_by(rows.where("source IN ('src0', 'src1')"), out, "source")  # again: replaces its own folders alone
-    back = spark.read.parquet(out)
-    return back.join(F.broadcast(back.agg(F.min("source").alias("source"))), "source").select("source", "doc_id", "lang")
+    tables.write_by(rows.where("source IN ('src0', 'src1')").withColumn("lang", F.upper("lang")), out, "source")  # replaces its own folders alone
+    return spark.read.parquet(out).select("source", "doc_id", "lang")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as one CSV file with a header and read back."""
+    out, rows = f"{_folder(spark)}/report", table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    tables.write_csv(rows, out)
+    return spark.read.schema(rows.schema).option("header", True).csv(out)
 
 
 @query(f"WITH {TOK} SELECT conv_id AS transcript_id, gloss, token_order::INTEGER AS token_order, role AS speaker_role, NULL::VARCHAR AS stem FROM t WHERE role = 'user' AND (gloss LIKE 'th%' OR gloss LIKE '%on')")

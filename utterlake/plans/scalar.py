@@ -69,11 +69,11 @@ def exclude_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("brand").isNull() | (F.col("brand") != ""))
 
 
-@query("SELECT p_partkey, p_brand, p_type FROM part WHERE p_partkey % 3 <> 0 AND p_size > 10")
+@query("SELECT p_partkey, p_brand, p_type FROM part WHERE p_partkey % 3 <> 0")
 def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Empty strings as nulls, then complete rows alone."""
     gap = F.when(F.col("p_partkey") % 3 == 0, F.lit("")).otherwise(F.col("p_brand"))
-    rows = table(spark, sf_dir, "part").where("p_size > 10").select("p_partkey", F.nullif(gap, F.lit("")).alias("p_brand"), "p_type")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.nullif(gap, F.lit("")).alias("p_brand"), "p_type")
     return rows.dropna("any")
 
 
@@ -101,13 +101,13 @@ _EXCLUDED = "('" + "', '".join(archival.EXCLUDED) + "')"
 
 
 @query(rf"""WITH w AS (SELECT conv_id, turn, list_filter(list_transform(string_split_regex(text, '\s+'), lambda x: regexp_replace(x, '[.,]', '', 'g')), lambda x: x <> '') AS w FROM conversations),
-m AS (SELECT conv_id, turn, w, list_transform(w, lambda x: 'n|' || x) AS m FROM w WHERE len(w) > 2)
+m AS (SELECT conv_id, turn, w, list_transform(w, lambda x: 'n|' || x) AS m FROM w WHERE len(w) >= CASE WHEN turn % 3 = 0 THEN 2 ELSE 1 END)
 SELECT conv_id, turn, array_to_string(CASE turn % 3 WHEN 0 THEN list_concat(['BRK', 'BRK'], m) WHEN 1 THEN list_concat(['BRK'], m)
   ELSE list_concat(['EXC'], list_transform(w, lambda x: CASE WHEN x IN {_EXCLUDED} THEN 'EXC' ELSE 'n|' || x END), ['NON-LINGUISTIC']) END, ' ') AS mor FROM m""")
 def reformulation_realign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Morphology for words that are taken back, two or one, and for fillers and sounds that have none."""
+    """Morphology for words that are taken back, two or one (of turns that have as many), and for fillers and sounds that have none."""
     words = F.filter(F.transform(S.words(F.col("text")), lambda x: F.regexp_replace(x, "[.,]", "")), lambda x: x != "")
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", words.alias("w")).where(F.size("w") > 2)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", words.alias("w")).where(F.size("w") >= F.when(F.col("turn") % 3 == 0, 2).otherwise(1))
     item = lambda x: F.concat(F.lit("n|"), x)
     first, line, k = F.get("w", F.lit(0)), F.concat(F.array_join("w", " "), F.lit(" .")), F.col("turn") % 3
     gloss = F.when(k == 0, F.concat(F.lit("<"), first, F.lit(" "), F.get("w", F.lit(1)), F.lit("> [//] "), line)).otherwise(F.concat(first, F.lit(" [/] "), line))
@@ -117,11 +117,18 @@ def reformulation_realign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", F.array_join(F.when(k < 2, whole).otherwise(archival.reconcile(spoken, items)), " ").alias("mor"))
 
 
-@query("""SELECT * FROM (VALUES (4, ['EXC', 'n|cat', 'NON-LINGUISTIC']), (5, ['NO_UTT']), (6, NULL)) x(id, mor)""")
+@query(rf"""WITH w AS (SELECT conv_id, turn, list_filter(string_split_regex(regexp_replace(text, '[^0-9A-Za-z\s]', '', 'g'), '\s+'), lambda w: w <> '') AS w FROM conversations)
+SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN ['EXC'] || list_transform(w, lambda x: CASE WHEN x IN {_EXCLUDED} THEN 'EXC' WHEN x = '0' THEN 'NO_UTT' ELSE 'n|' || x END) || ['NON-LINGUISTIC']
+  WHEN 1 THEN ['NO_UTT'] ELSE NULL END AS mor FROM w""")
 def reconciled_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines without a word of their own, and one with more morphology than words, which gets none."""
-    rows = spark.createDataFrame([(4, "um cat &=laughs", ["n|cat"]), (5, "0", []), (6, "cat", ["n|cat", "v|run"])], "id int, gloss string, mor array<string>")
-    return rows.select("id", archival.reconcile(S.clean_gloss(F.col("gloss")), F.col("mor")).alias("mor"))
+    """Turns between a filler and a sound, which have no morphology, non-utterances, and turns with more morphology than words, which get none."""
+    plain = F.filter(F.split(F.regexp_replace("text", r"[^0-9A-Za-z\s]", ""), r"\s+"), lambda w: w != "")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", plain.alias("w"), (F.col("turn") % 3).alias("k"))
+    item = lambda w: F.concat(F.lit("n|"), w)
+    own = F.transform(F.filter("w", lambda w: ~w.isin(*archival.EXCLUDED, *archival.NO_UTTERANCE)), item)
+    spoken = F.when(F.col("k") == 0, F.concat(F.lit("um "), F.array_join("w", " "), F.lit(" &=laughs"))).when(F.col("k") == 1, "0").otherwise(F.array_join("w", " "))
+    mor = F.when(F.col("k") == 0, own).when(F.col("k") == 1, F.array().cast("array<string>")).otherwise(F.array_append(F.transform("w", item), "v|more"))
+    return rows.select("conv_id", "turn", archival.reconcile(S.clean_gloss(spoken), mor).alias("mor"))
 
 
 @query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'imperative_emphatic' WHEN '2-HIGH' THEN 'question' WHEN '3-MEDIUM' THEN 'declarative' ELSE o_orderpriority END AS type FROM orders""")

@@ -12,7 +12,7 @@ from utterlake.plans.adapters import UTT, table, utt
 from utterlake.plans.catalogue import query
 from utterlake.session import scratch_dir
 from utterlake.sources import tables
-from utterlake.streaming import ingest, maintain
+from utterlake.streaming import ingest, maintain, state
 
 PATH = ("collection", "corpus", "transcript")
 ARRAY = "array<struct<order:int,speaker:string,tokens:array<string>>>"
@@ -144,3 +144,21 @@ def maintained_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summaries of speakers after the same batches."""
     out = maintain.summaries(spark, _maintained(spark, sf_dir), ["corpus", "speaker"])
     return out.withColumn("mlu_w", F.round("mlu_w", 6))
+
+
+@query("""WITH b AS (SELECT max(event_id) // 2 AS middle, max(ts) - INTERVAL 10 MINUTE AS mark FROM events),
+l AS (SELECT user_id, epoch_us(ts) // 1000 AS t, 'late' AS status FROM events, b WHERE event_id <= middle AND event_id % 20 = 0 AND ts < mark),
+o AS (SELECT user_id, epoch_us(ts) // 1000 AS t, lag(epoch_us(ts) // 1000) OVER w AS before, lead(epoch_us(ts) // 1000) OVER w AS behind FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, t, CASE WHEN before IS NULL OR t > before + 28800000 THEN 'first' ELSE 'repeat' END AS status FROM o),
+x AS (SELECT user_id, t + 28800000 AS t, 'expired' AS status FROM o, b WHERE behind > t + 28800000 OR (behind IS NULL AND t + 28800000 <= epoch_us(mark) // 1000))
+SELECT user_id::VARCHAR AS pid, t AS "at", status FROM (SELECT * FROM l UNION ALL SELECT * FROM s UNION ALL SELECT * FROM x)""")
+def stream_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as PIDs that are forgotten after eight hours; the third file repeats rows of the first, which come late and go to a table of their own."""
+    base, events = scratch_dir(spark), table(spark, sf_dir, "events")
+    middle = F.lit(events.agg(F.max("event_id")).first()[0] // 2)
+    k = F.col("event_id")
+    for part in (k <= middle, k > middle, (k <= middle) & (k % 20 == 0)):
+        events.where(part).coalesce(1).write.mode("append").parquet(f"{base}/events")
+    stream = ingest.files(spark, f"{base}/events", events.schema, maxFilesPerTrigger=1)
+    ingest.run(state.sightings(stream, "user_id", "ts", 8 * 3600), f"{base}/state", state.tables(f"{base}/out"))
+    return state.read(spark, f"{base}/out", "seen").unionByName(state.read(spark, f"{base}/out", "late"))

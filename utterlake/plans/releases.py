@@ -5,13 +5,14 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from utterlake.operators import release_diff
 from utterlake.plans.adapters import UTT, table, utt
 from utterlake.plans.catalogue import query
 from utterlake.session import scratch_dir
-from utterlake.sources import tables
+from utterlake.sources import keyset, tables
 from utterlake.streaming import ingest, maintain, state
 
 PATH = ("collection", "corpus", "transcript")
@@ -162,3 +163,20 @@ def stream_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = ingest.files(spark, f"{base}/events", events.schema, maxFilesPerTrigger=1)
     ingest.run(state.sightings(stream, "user_id", "ts", 8 * 3600), f"{base}/state", state.tables(f"{base}/out"))
     return state.read(spark, f"{base}/out", "seen").unionByName(state.read(spark, f"{base}/out", "late"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey * 10 > 9 * m THEN o_orderkey * 1000000 ELSE o_orderkey END AS id, CASE WHEN o_orderkey <= m // 2 THEN 1 ELSE 2 END AS export
+FROM orders, (SELECT max(o_orderkey) AS m FROM orders)""")
+def keyset_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database table with uneven ids exported twice, the second time for its new rows alone. The database lives in the session's own process."""
+    rows, base = table(spark, sf_dir, "orders").select("o_orderkey"), scratch_dir(spark)
+    most = rows.agg(F.max("o_orderkey")).first()[0] or 0
+    k = F.col("o_orderkey")
+    rows = rows.withColumn("id", F.when(k * 10 > 9 * most, k * 1_000_000).otherwise(k))
+    url, driver = f"jdbc:derby:memory:{base.rsplit('-', 1)[1]};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    for new in (k <= most // 2, k > most // 2):
+        tables.write_jdbc(rows.where(new), url, "orders", "append", driver)
+        keyset.export_new(spark, url, "orders", '"id"', base, 8, driver)
+    number = F.dense_rank().over(W.orderBy("upto"))
+    exports = keyset.exported(spark, base).select("upto").distinct().withColumn("export", number)  # a row for each export
+    return keyset.exported(spark, base).join(exports, "upto").select("o_orderkey", "id", "export")

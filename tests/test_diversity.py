@@ -66,3 +66,24 @@ def test_running_sums_over_ranges(spark):
 def test_no_words(spark):
     df = spark.createDataFrame([("a", 1, []), ("b", 1, None)], "who string, line int, words array<string>")
     assert diversity.mtld(df, ["who"], ["line"], "words").collect() == []
+
+
+def test_types_at_every_level(spark):
+    """Bitmaps unite to exact counts, over many partitions of numbered words, with nulls and words that parts share."""
+    from utterlake.operators import types
+
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(4), rng.choice([None, "", f"w{int(70_000 * rng.random() ** 3)}"])) for _ in range(60_000)]
+    df = spark.createDataFrame(rows, "who string, part int, word string").repartition(5)
+    got = {(r.level, r.who, r.part): (r.num_types, r.num_tokens) for r in types.by_level(df, ["who", "part"], F.col("word")).collect()}
+    want = {}
+    for who, part, word in rows:
+        if word:
+            for k in ((0, None, None), (1, who, None), (2, who, part)):
+                seen, n = want.get(k, (set(), 0))
+                want[k] = (seen | {word} if len(seen) < 3 else (seen.add(word) or seen), n + 1)
+    assert got == {k: (len(s), n) for k, (s, n) in want.items()}
+    half = [types.bitmaps(df.where(w), ["who"], F.col("word"), numbers) for numbers in [types.numbered_words(df, F.col("word"))] for w in ("part < 2", "part >= 2")]
+    whole = types.counts(types.united(half[0].unionByName(half[1]), ["who"]), ["who"]).collect()
+    assert {r.who: r.num_types for r in whole} == {k[1]: v[0] for k, v in got.items() if k[0] == 1}
+    assert types.by_level(df.limit(0), ["who", "part"], F.col("word")).collect() == []

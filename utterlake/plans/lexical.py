@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from utterlake.functions import lexical as L
 from utterlake.functions import scalars as S
-from utterlake.operators import build, diversity, quality
+from utterlake.operators import build, diversity, quality, types
 from utterlake.plans.adapters import TOK, UTT, table, tok, utt
 from utterlake.plans.catalogue import query
 
@@ -195,3 +195,13 @@ def replacement_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tok(spark, sf_dir).groupBy("role", F.lower(F.left("gloss", F.lit(1))).alias("initial")).agg(F.count("*").alias("n"))
     return out.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy("role")), 6))
+
+
+@query(f"""WITH {TOK}
+SELECT (3 - grouping(role) - grouping(corpus) - grouping(conv_id))::INTEGER AS level, role, corpus, conv_id, count(DISTINCT lower(gloss)) AS num_types, count(*) AS num_tokens,
+  round(count(DISTINCT lower(gloss)) / count(*), 6) AS ttr
+FROM (SELECT *, conv_id % 7 AS corpus FROM t) GROUP BY GROUPING SETS ((), (role), (role, corpus), (role, corpus, conv_id)) HAVING count(*) > 0""")
+def types_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types, tokens and their ratio of transcripts, corpora, roles and the whole, all from the bitmaps of transcripts."""
+    rows = tok(spark, sf_dir).select("role", (F.col("conv_id") % 7).alias("corpus"), "conv_id", "gloss")
+    return types.by_level(rows, ["role", "corpus", "conv_id"], F.lower("gloss")).withColumn("ttr", F.round("ttr", 6))

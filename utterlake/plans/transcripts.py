@@ -12,7 +12,7 @@ from utterlake.operators import build, identity
 from utterlake.plans.adapters import TOK, table, utt
 from utterlake.plans.catalogue import query
 from utterlake.session import scratch_dir as _folder
-from utterlake.sources import chat_json, chat_text, talkbank_xml
+from utterlake.sources import chat_json, chat_text, talkbank_xml, xml_splits
 from utterlake.streaming import ingest
 
 
@@ -149,3 +149,18 @@ def stream_min_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _folder(spark)
     ingest.run(ingest.age_ranges(stream, ["user_id"], "value"), f"{out}/state", ingest.upsert(f"{out}/data", ["user_id"]), "update")
     return ingest.latest(spark, f"{out}/data", ["user_id"])
+
+
+@query(f"""WITH {TOK},
+o AS (SELECT conv_id, ord, row_number() OVER (PARTITION BY conv_id % 3 ORDER BY conv_id, ord) AS utterance_order FROM u)
+SELECT (conv_id % 3)::VARCHAR AS pid, role AS who, utterance_order, token_order, gloss AS word FROM t JOIN o USING (conv_id, ord)""")
+def xml_by_utterance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as three long XML files, which tasks read by utterances."""
+    out, rows = f"{_folder(spark)}/long", utt(spark, sf_dir).withColumn("pid", (F.col("conv_id") % 3).cast("string"))
+    said = rows.select("pid", F.lit(1).alias("part"), "conv_id", "order", F.concat(F.lit('<u who="'), escaped(F.col("role")), F.lit('">'), F.array_join(F.transform("tokens", lambda w: _bare(w, F.lit(0))), ""), F.lit("</u>")).alias("value"))
+    edge = lambda part, value: rows.select("pid").distinct().select("pid", F.lit(part).alias("part"), F.lit(0).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("order"), value.alias("value"))
+    head = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><CHAT xmlns="http://www.talkbank.org/ns/talkbank" PID="'), "pid", F.lit('"><Participants/>'))
+    lines = said.unionByName(edge(0, head)).unionByName(edge(2, F.lit("</CHAT>"))).repartition("pid").sortWithinPartitions("pid", "part", "conv_id", "order")
+    lines.select("pid", "value").write.partitionBy("pid").text(out)
+    words = talkbank_xml.words(xml_splits.utterances(xml_splits.read(spark, out, "*.txt"), "PID"), attribute="PID")
+    return words.select(F.col("PID").alias("pid"), "who", F.col("utterance_order").cast("long").alias("utterance_order"), F.col("token_order").cast("long").alias("token_order"), "word")

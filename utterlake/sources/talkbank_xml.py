@@ -104,26 +104,26 @@ def tokens(utterance: ET.Element, actual: list[str], model: list[str]) -> list[d
     return out
 
 
+def utterance(u: ET.Element) -> dict:
+    """An utterance's element as a row of UTTERANCE."""
+    said = {k: ["".join(x.text or "" for x in w.iterfind(f"{NS}ph")) for w in u.iterfind(f".//{NS}pg/{NS}{k}/{NS}pw")] for k in ("actual", "model")}
+    end, media = u.find(f".//{NS}t"), u.find(f".//{NS}media")
+    number = lambda m, k: float(m.get(k)) if m.get(k) else None
+    return {
+        "u_id": u.get("uID"), "who": u.get("who"), "terminator": None if end is None else end.get("type"),
+        "annotations": [{"type": a.get("type"), "flavor": a.get("flavor"), "who": a.get("who"), "text": a.text} for a in u.iter(f"{NS}a")],
+        "media": None if media is None else {"start": number(media, "start"), "end": number(media, "end"), "unit": media.get("unit")},
+        "actual_pho": said["actual"], "model_pho": said["model"], "tokens": tokens(u, said["actual"], said["model"]),
+    }
+
+
 def parse(path: str, text: str) -> dict:
     """A document as a row of DOCUMENT; a malformed one has its message in error and nothing else."""
     try:
         root = ET.fromstring(text)
     except ET.ParseError as e:
         return {"path": path, "attributes": None, "participants": None, "utterances": None, "error": str(e)}
-    phonology = root.find(f".//{NS}pw") is not None
-    utterances = []
-    for u in root.iter(f"{NS}u"):
-        said = {k: ["".join(x.text or "" for x in w.iterfind(f"{NS}ph")) for w in u.iterfind(f".//{NS}pg/{NS}{k}/{NS}pw")] if phonology else [] for k in ("actual", "model")}
-        end, media = u.find(f".//{NS}t"), u.find(f".//{NS}media")
-        number = lambda m, k: float(m.get(k)) if m.get(k) else None
-        utterances.append(
-            {
-                "u_id": u.get("uID"), "who": u.get("who"), "terminator": None if end is None else end.get("type"),
-                "annotations": [{"type": a.get("type"), "flavor": a.get("flavor"), "who": a.get("who"), "text": a.text} for a in u.iter(f"{NS}a")],
-                "media": None if media is None else {"start": number(media, "start"), "end": number(media, "end"), "unit": media.get("unit")},
-                "actual_pho": said["actual"], "model_pho": said["model"], "tokens": tokens(u, said["actual"], said["model"]),
-            }
-        )
+    utterances = [utterance(u) for u in root.iter(f"{NS}u")]
     people = [dict(p.attrib) for p in root.iterfind(f".//{NS}Participants/{NS}participant")]
     return {"path": path, "attributes": dict(root.attrib), "participants": people, "utterances": utterances, "error": None}
 
@@ -166,9 +166,14 @@ def participants(docs: DataFrame) -> DataFrame:
 
 
 def utterances(docs: DataFrame, speaker: str | list[str] = "ALL", attribute: str | None = None) -> DataFrame:
-    """A row for each utterance in order: path, utterance_order (from 1), and UTTERANCE; and one of the root's attributes, by its name."""
-    own = [] if attribute is None else [F.col("attributes")[attribute].alias(attribute)]
-    rows = docs.select("path", *own, F.posexplode("utterances").alias("at", "u")).select("path", *([attribute] if attribute else []), (F.col("at") + 1).alias("utterance_order"), "u.*")
+    """A row for each utterance in order: path, utterance_order (from 1), and UTTERANCE; and one of the root's attributes, by its name.
+
+    docs may be such rows already (those of xml_splits), as it may for all that follows; they then hold the attribute's column.
+    """
+    rows = docs
+    if "utterances" in docs.columns:
+        own = [] if attribute is None else [F.col("attributes")[attribute].alias(attribute)]
+        rows = docs.select("path", *own, F.posexplode("utterances").alias("at", "u")).select("path", *([attribute] if attribute else []), (F.col("at") + 1).alias("utterance_order"), "u.*")
     return rows if speaker == "ALL" else rows.where(F.col("who").isin([speaker] if isinstance(speaker, str) else speaker))
 
 

@@ -480,3 +480,17 @@ def external_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = chat_json.parsed(chat_json.run_parser(as_json(utt(spark, sf_dir)), ["cat"]).where("error IS NULL"))
     tokens_of = F.aggregate("utterances", F.lit(0), lambda n, u: n + F.size(u["tokens"]))
     return docs.select("path", F.size("utterances").cast("long").alias("num_utterances"), tokens_of.cast("long").alias("num_tokens"))
+
+
+@query(f"""WITH {TOK} SELECT 'few' AS asked, conv_id AS transcript_id, gloss, token_order::INTEGER AS token_order, role AS speaker_role FROM t WHERE gloss LIKE 'th%' OR gloss LIKE '%on'
+UNION ALL SELECT 'many', conv_id, gloss, token_order::INTEGER, role FROM t WHERE role = 'assistant' AND gloss LIKE '%_e%'""")
+def indexed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of few and of many glosses, whose patterns meet an index of the release's glosses."""
+    base = _folder(spark)
+    rows = tok(spark, sf_dir).select(F.col("conv_id").alias("transcript_id"), (F.col("conv_id") % 4).alias("corpus_id"), "gloss", F.col("token_order").cast("int").alias("token_order"), F.col("role").alias("speaker_role"))
+    tables.write_table(rows, base, "2026.1", "token")
+    release = Release(spark, base, "2026.1")
+    release.index_glosses()
+    few, many = release.tokens(["th%", "%on"]), release.tokens("%_e%", role="assistant")
+    columns = ("transcript_id", "gloss", "token_order", "speaker_role")
+    return few.select(F.lit("few").alias("asked"), *columns).unionByName(many.select(F.lit("many").alias("asked"), *columns))

@@ -353,3 +353,12 @@ def test_csv_is_one_file(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("*.csv"))) == 1
     back = spark.read.schema("id long, text string").option("header", True).option("escape", "\\").csv(f"{tmp_path}/out")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_files_are_replaced_in_one_step(spark, tmp_path):
+    files = tables.Files(spark, f"file://{tmp_path}/a b")
+    files.remove, removed = (lambda name="": removed.append(name)), []
+    for text in ("one", "", "drei é"):
+        files.write("x.json", text)
+        assert files.read("x.json") == text and files.listed() == ["x.json"]
+    assert removed == []  # there is no moment without the file

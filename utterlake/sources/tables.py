@@ -125,7 +125,7 @@ class Files:
 
     def __init__(self, spark: SparkSession, folder: str):
         self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self.folder, self._fs = folder, self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._spark, self.folder, self._fs = spark, folder, self._path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def path(self, name: str = ""):
         return self._path(f"{self.folder}/{name}" if name else self.folder)
@@ -150,8 +150,16 @@ class Files:
         finally:
             stream.close()
         if overwrite:
-            self.remove(name)
-            self.rename(f"_new-{name}", name)
+            self.replace(f"_new-{name}", name)
+
+    def replace(self, old: str, new: str) -> None:
+        """Rename a file over one that may be there, in one step where the file system has it: a reader or a crash finds one of the two."""
+        hadoop = self._spark._jvm.org.apache.hadoop.fs
+        over = self._spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        over[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        source = self._fs.makeQualified(self.path(old))
+        context = hadoop.FileContext.getFileContext(source.toUri(), self._spark._jsc.hadoopConfiguration())
+        context.rename(source, self._fs.makeQualified(self.path(new)), over)
 
     def rename(self, old: str, new: str) -> None:
         if not self._fs.rename(self.path(old), self.path(new)):

@@ -30,6 +30,8 @@ def as_xml(rows: DataFrame, word: Callable[[Column, Column], Column] = _bare) ->
     body = L.ordered(u, F.col("order"))
     roles = F.array_join(F.transform(F.array_sort(F.collect_set("role")), lambda r: F.concat(F.lit('<participant id="'), r, F.lit('" role="'), r, F.lit('"/>'))), "")
     doc = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><CHAT xmlns="http://www.talkbank.org/ns/talkbank" PID="'), F.col("conv_id"), F.lit('"><Participants>'), F.col("roles"), F.lit("</Participants>"), F.array_join("body", ""), F.lit("</CHAT>"))
+    # a given number of parts, which Spark doesn't merge: the reader that follows in the same tasks takes far longer than their bytes tell
+    rows = rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "conv_id")
     return rows.groupBy("conv_id").agg(body.alias("body"), roles.alias("roles")).select(F.concat("conv_id", F.lit(".xml")).alias("path"), doc.alias("text"))
 
 

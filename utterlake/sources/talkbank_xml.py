@@ -24,28 +24,63 @@ _NESTED = UTTERANCE.replace("u_id string", "u_id:string").replace("who string, t
 DOCUMENT = f"path string, attributes map<string,string>, participants array<map<string,string>>, utterances array<struct<{_NESTED}>>, error string"
 
 
+_W, _MOR, _MW, _POST, _GRA, _STEM, _LANGS, _REPLACEMENT = (f"{NS}{x}" for x in ("w", "mor", "mw", "mor-post", "gra", "stem", "langs", "replacement"))
+_OF_MW = {f"{NS}mpfx": "prefix", f"{NS}stem": "stem", f"{NS}mk": "suffix"}
+_OF_POS = {f"{NS}c": "c", f"{NS}s": "s"}
+_POS, _ENGLISH = f"{NS}pos", f"{NS}menx"
+_NO_MORPHOLOGY = {"prefix": "", "pos": "", "stem": "", "suffix": "", "english": "", "clitic": "", "num_morphemes": None}
+
+
 def _texts(word: ET.Element, path: str) -> list[str]:
     return [x.text or "" for x in word.iterfind(path.replace("~", NS))]
 
 
-def morphology(word: ET.Element) -> dict:
-    """Prefixes, part of speech with subcategories, stem, suffixes, translation, clitic, and the number of morphemes (null for none)."""
-    prefixes = _texts(word, ".//~mor/~mw/~mpfx")
-    pos = ":".join(_texts(word, ".//~mor/~mw/~pos/~c")[:1] + _texts(word, ".//~mor/~mw/~pos/~s")) if word.find(f".//{NS}mor/{NS}mw/{NS}pos/{NS}c") is not None else ""
-    stem = (_texts(word, ".//~mor/~mw/~stem") or [""])[0]
-    suffixes = _texts(word, ".//~mor/~mw/~mk")
+def _read(word: ET.Element) -> tuple[dict, str, str]:
+    """morphology(), relation() and stem_form() of a word, in one pass over its mor elements."""
+    found: dict[str, list[str]] = {"prefix": [], "stem": [], "suffix": [], "c": [], "s": []}
+    english = last = first_post = None
+    posts: list[str] = []
+    for mor in word.iter(_MOR):
+        for part in mor:
+            tag = part.tag
+            if tag == _MW:
+                for x in part:
+                    kind = _OF_MW.get(x.tag)
+                    if kind:
+                        found[kind].append(x.text or "")
+                    elif x.tag == _POS:
+                        for y in x:
+                            kind = _OF_POS.get(y.tag)
+                            if kind:
+                                found[kind].append(y.text or "")
+            elif tag == _GRA:
+                last = part if part.get("type") != "grt" else last
+            elif tag == _POST:
+                first_post = part if first_post is None else first_post
+                posts += [x.text or "" for x in part.iterfind(f"{_MW}/{_STEM}")]
+            elif tag == _ENGLISH and english is None:
+                english = part.text or ""
     clitic = ""
-    part = word.find(f".//{NS}mor/{NS}mor-post")
-    part = None if part is None else part.find(f".//{NS}mw")
-    if part is not None:
-        clitic = " ".join((_texts(part, p) or [""])[0] for p in (".//~pos/~c", ".//~stem", ".//~mk"))
+    inner = None if first_post is None else first_post.find(f".//{_MW}")
+    if inner is not None:
+        clitic = " ".join((_texts(inner, p) or [""])[0] for p in (".//~pos/~c", ".//~stem", ".//~mk"))
+    prefixes, suffixes, stem = found["prefix"], found["suffix"], (found["stem"] or [""])[0]
     n = len(prefixes) + bool(stem) + len(suffixes) + bool(clitic)
-    return {"prefix": " ".join(prefixes), "pos": pos, "stem": stem, "suffix": " ".join(suffixes), "english": (_texts(word, ".//~mor/~menx") or [""])[0], "clitic": clitic, "num_morphemes": n or None}
+    pos = ":".join(found["c"][:1] + found["s"]) if found["c"] else ""
+    out = {"prefix": " ".join(prefixes), "pos": pos, "stem": stem, "suffix": " ".join(suffixes), "english": english or "", "clitic": clitic, "num_morphemes": n or None}
+    head = next(word.iter(_STEM), None)
+    form = ("" if head is None else head.text or "") + ("-" + suffixes[0] if suffixes else "") + (" " + posts[0] if posts else "")
+    return out, "" if last is None else "|".join(last.get(k) or "" for k in ("index", "head", "relation")), form
+
+
+def morphology(word: ET.Element) -> dict:
+    """Prefixes, part of speech with subcategories, stem, suffixes, translation, clitic, and the number of morphemes (null for none)."""
+    return _read(word)[0]
 
 
 def gloss(word: ET.Element) -> str:
     """Text of a word with its compound parts (after a +), prosody marks' tails and shortenings."""
-    langs = word.find(f".//{NS}langs")
+    langs = next(word.iter(_LANGS), None)
     out = langs.tail if langs is not None and len(langs) else word.text
     out = out or ""
     for part in word:
@@ -57,16 +92,12 @@ def gloss(word: ET.Element) -> str:
 
 def relation(word: ET.Element) -> str:
     """index|head|relation of the last dependency that isn't the gold standard's."""
-    found = [x for x in word.iterfind(f".//{NS}mor/{NS}gra") if x.get("type") != "grt"]
-    return "|".join(found[-1].get(k) or "" for k in ("index", "head", "relation")) if found else ""
+    return _read(word)[1]
 
 
 def stem_form(word: ET.Element) -> str:
     """Stem, inflection behind a hyphen, and a clitic's stem."""
-    out = (_texts(word, ".//~stem") or [""])[0]
-    inflection = _texts(word, ".//~mor/~mw/~mk")
-    post = _texts(word, ".//~mor/~mor-post/~mw/~stem")
-    return out + ("-" + inflection[0] if inflection else "") + (" " + post[0] if post else "")
+    return _read(word)[2]
 
 
 def _merged(word: ET.Element, children: list[ET.Element]) -> dict:
@@ -79,7 +110,8 @@ def _merged(word: ET.Element, children: list[ET.Element]) -> dict:
 
 
 def tokens(utterance: ET.Element, actual: list[str], model: list[str]) -> list[dict]:
-    words = list(utterance.iter(f"{NS}w"))
+    words = list(utterance.iter(_W))
+    heard, meant = len(actual) == len(words), len(model) == len(words)
     out: list[dict] = []
     skip = 0
     for w in words:
@@ -88,18 +120,22 @@ def tokens(utterance: ET.Element, actual: list[str], model: list[str]) -> list[d
             continue
         if w.get("type") == "omission":
             continue
-        own = {"gloss": gloss(w), "stem_form": stem_form(w)}
-        box = w.find(f".//{NS}replacement")
-        if box is not None and len(box):
-            children = [x for x in w.iter(f"{NS}w") if x is not w]
-            own |= _merged(w, children)
-            skip = len(children)
+        if not len(w):  # text alone
+            own = _NO_MORPHOLOGY | {"gloss": (w.text or "").strip(), "stem_form": "", "replacement": "", "relation": ""}
         else:
-            own |= morphology(w) | {"replacement": "", "relation": relation(w)}
+            own, related, form = _read(w)
+            box = next(w.iter(_REPLACEMENT), None)
+            if box is not None and len(box):
+                children = [x for x in w.iter(_W) if x is not w]
+                own = _merged(w, children)
+                skip = len(children)
+            else:
+                own["replacement"], own["relation"] = "", related
+            own["gloss"], own["stem_form"] = gloss(w), form
         at = len(out)
         own["token_order"] = at + 1
-        own["pho"] = actual[at] if len(actual) == len(words) else ""
-        own["mod"] = model[at] if len(model) == len(words) else ""
+        own["pho"] = actual[at] if heard else ""
+        own["mod"] = model[at] if meant else ""
         out.append(own)
     return out
 

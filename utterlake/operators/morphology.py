@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from utterlake import schemas
+from utterlake.session import stored
 from utterlake.sources.talkbank_xml import NS
 
 _WORD = "id int, u_fk int, gloss string, replacement string, pos string, form_marker string, form_marker_suffix string, incomplete_type string, unidentifiable_type string, has_compound boolean, has_clitic boolean, has_shortening boolean"
@@ -99,7 +100,7 @@ def trio(files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                 part = batch.iloc[a : a + 16]
                 yield pd.DataFrame([parse(p, t) for p, t in zip(part["path"], part["text"])])
 
-    nested = files.select("path", "text").mapInPandas(walk, NESTED)
+    nested = stored(files.select("path", "text").mapInPandas(walk, NESTED), "mor")  # walked once for the three tables
     w = nested.select("transcript", F.inline("words"))
     mor = nested.select("transcript", F.inline("mors"))
     mk = mor.select("transcript", F.col("id").alias("mor_fk"), F.posexplode("affixes").alias("at", "a")).select("transcript", "mor_fk", "at", "a.*")

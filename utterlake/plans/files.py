@@ -91,7 +91,8 @@ def word_morpheme_affix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three tables of words, morphemes and affixes, joined again by their keys."""
     w, mor, mk = morphology.trio(_xml(spark, sf_dir))
     mor = mor.select("transcript", F.col("id").alias("mor_fk"), F.col("w_fk").alias("id"), F.col("pos").alias("mor_pos"), "stem", *_long("gra_index", "gra_head"))
-    rows = w.join(mor, ["transcript", "id"]).join(mk.select("transcript", "mor_fk", "affix", "affix_type"), ["transcript", "mor_fk"], "left")
+    # stored files are far smaller than their rows, so that Spark would broadcast tables that grow with the corpus
+    rows = w.join(mor.hint("merge"), ["transcript", "id"]).join(mk.select("transcript", "mor_fk", "affix", "affix_type").hint("merge"), ["transcript", "mor_fk"], "left")
     return rows.select("transcript", F.col("u_fk").cast("long").alias("utterance"), "gloss", F.col("mor_pos").alias("pos"), "stem", "gra_index", "gra_head", "affix", "affix_type")
 
 

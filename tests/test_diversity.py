@@ -87,3 +87,19 @@ def test_types_at_every_level(spark):
     whole = types.counts(types.united(half[0].unionByName(half[1]), ["who"]), ["who"]).collect()
     assert {r.who: r.num_types for r in whole} == {k[1]: v[0] for k, v in got.items() if k[0] == 1}
     assert types.by_level(df.limit(0), ["who", "part"], F.col("word")).collect() == []
+
+
+def test_words_ahead_go_to_chunks_that_need_them_alone(spark, monkeypatch):
+    """One factor reaches over many chunks: the words ahead are dealt to its own chunks, and no table is broadcast."""
+    made, chains = spark.sparkContext.accumulator(0), diversity._chains
+
+    def counted(table, chunk, threshold):
+        made.add(1)
+        return chains(table, chunk, threshold)
+
+    monkeypatch.setattr(diversity, "_chains", counted)
+    words = [*("a" if i % 2 else "b" for i in range(3000)), *(f"w{i}" for i in range(700)), *("a" for _ in range(3000))]
+    rows = spark.createDataFrame([("x", i, [w]) for i, w in enumerate(words)], "k string, at long, words array<string>")
+    out = diversity.mtld(rows, ["k"], ["at"], "words", chunk=64, ahead=8).first()
+    assert abs(out.mtld - mtld_of(words)) < 1e-9
+    assert made.value < 300

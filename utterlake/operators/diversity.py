@@ -38,7 +38,7 @@ def numbered(rows: DataFrame, key: Sequence[str], order: Sequence[str], size: st
     inner = W.partitionBy("_part", *key).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     within = dealt.withColumn("_within", F.coalesce(F.sum(size).over(inner), F.lit(0)))
     on = [within[k].eqNullSafe(offsets[k]) for k in ("_part", *key)]
-    return within.join(offsets, on).select(*[within[c] for c in rows.columns], (F.col("_within") + F.col("_offset")).alias("before"))
+    return within.join(offsets.hint("merge"), on).select(*[within[c] for c in rows.columns], (F.col("_within") + F.col("_offset")).alias("before"))
 
 
 def next_starts(words: np.ndarray, n: int, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -107,22 +107,24 @@ def factor_counts(words: DataFrame, threshold: float = THRESHOLD, chunk: int = C
         dealt = rows.withColumn("chunk", F.explode(F.sequence(back, own)))
         return dealt.groupBy("g", "chunk").applyInArrow(lambda t: _chains(t, chunk, threshold), _CHAINS)
 
+    # Tables are joined by sorting: their files are far smaller than their rows, and Spark would gather them in the driver to broadcast them.
     rows = stored(words, "mtld-words")
     found = stored(chains(rows, ahead), "mtld-chains")
     while found.where("unknown").take(1):
         ahead *= 8
         again = found.where("unknown").select("g", F.floor(F.col("place") / chunk).alias("_c")).distinct()
-        near = again.select("g", F.explode(F.sequence("_c", (F.col("_c") + ahead // chunk + 1).cast("long"))).alias("_of")).distinct()
-        some = rows.withColumn("_of", F.floor(F.col("place") / chunk)).join(near, ["g", "_of"], "left_semi").drop("_of")
-        fresh = chains(some, ahead).withColumn("_c", F.floor(F.col("place") / chunk)).join(again, ["g", "_c"], "left_semi").drop("_c")
-        old = found.withColumn("_c", F.floor(F.col("place") / chunk)).join(again, ["g", "_c"], "left_anti").drop("_c")
+        # each of these chunks gets its own words and those ahead; no other chunk is made of them
+        spans = again.select("g", F.col("_c").alias("chunk"), F.explode(F.sequence("_c", (F.col("_c") + ahead // chunk + 1).cast("long"))).alias("_of"))
+        some = rows.withColumn("_of", F.floor(F.col("place") / chunk)).join(spans.hint("merge"), ["g", "_of"]).where(F.col("place") < (F.col("chunk") + 1) * chunk + ahead)
+        fresh = some.groupBy("g", "chunk").applyInArrow(lambda t: _chains(t, chunk, threshold), _CHAINS)
+        old = found.withColumn("_c", F.floor(F.col("place") / chunk)).join(again.hint("merge"), ["g", "_c"], "left_anti").drop("_c")
         found = stored(old.unionByName(fresh.select(*old.columns)), "mtld-chains")
     met = found.where("enters IS NOT NULL").select("g", F.col("enters").alias("place")).distinct()
-    links = found.where("place = 0").unionByName(found.where("place > 0").join(met, ["g", "place"], "left_semi"))
+    links = found.where("place = 0").unionByName(found.where("place > 0").join(met.hint("merge"), ["g", "place"], "left_semi"))
     links = stored(links.select("g", "place", "enters", "factors"), "mtld-links")
     while links.where("place = 0 AND enters IS NOT NULL").take(1):
         further = links.select("g", F.col("place").alias("enters"), F.col("enters").alias("_on"), F.col("factors").alias("_more"))
-        both = links.join(further, ["g", "enters"], "left")
+        both = links.join(further.hint("merge"), ["g", "enters"], "left")
         links = stored(both.select("g", "place", F.col("_on").alias("enters"), (F.col("factors") + F.coalesce("_more", F.lit(0.0))).alias("factors")), "mtld-links")
     return links.where("place = 0").select("g", "factors")
 

@@ -99,8 +99,8 @@ def release_rows_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.get(values, F.lit(i)).alias(c) for i, c in enumerate(PATH)], "status", "old_n", "new_n", F.array_join("columns", ",").alias("columns"))
 
 
-def _event_files(spark: SparkSession, sf_dir: str, out: str) -> None:
-    """Three files of events: conversations as they first were, with later changes and additions, and with removals."""
+def _event_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Three batches of events: conversations as they first were, with later changes and additions, and with removals."""
     turns = utt(spark, sf_dir).select("conv_id", F.struct(F.col("order").cast("int").alias("order"), F.col("role").alias("speaker"), "tokens").alias("u"))
     files = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list("u")).alias("utterances"))
     k, us = F.col("conv_id"), F.col("utterances")
@@ -111,19 +111,19 @@ def _event_files(spark: SparkSession, sf_dir: str, out: str) -> None:
         gone = F.lit(utterances is None)
         return files.where(where).select(k.cast("string").alias("path"), F.lit(at).cast("long").alias("at"), gone.alias("removed"), F.concat(F.lit("c"), k % 3).alias("corpus"), (F.lit(None) if utterances is None else utterances).cast(ARRAY).alias("utterances"))
 
-    for events in (
+    batches = (
         [event(k % 4 != 3, 1, F.when(k % 5 == 0, F.slice(us, 1, 2)).otherwise(us))],
         [event(k % 4 == 3, 2, us), event(k % 5 == 0, 2, F.when(k % 10 == 0, small).otherwise(us)), event(k % 35 == 0, 1, None)],
         [event(k % 7 == 0, 3, users), event(k % 6 == 1, 4, None), event(k % 6 == 1, 3, small), event(k % 11 == 10, 4, us)],
-    ):
-        reduce(DataFrame.unionByName, events).coalesce(1).write.mode("append").parquet(out)
+    )
+    return [reduce(DataFrame.unionByName, events) for events in batches]
 
 
 def _maintained(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_dir(spark)
-    _event_files(spark, sf_dir, f"{base}/events")
-    stream = ingest.files(spark, f"{base}/events", maintain.EVENT, maxFilesPerTrigger=1)
-    ingest.run(stream, f"{base}/state", maintain.writer(f"{base}/release", parts=8))
+    for events in _event_batches(spark, sf_dir):  # what has come since the last run is a batch, of any number of files
+        events.write.mode("append").parquet(f"{base}/events")
+        ingest.run(ingest.files(spark, f"{base}/events", maintain.EVENT), f"{base}/state", maintain.writer(f"{base}/release", parts=8))
     return f"{base}/release"
 
 
@@ -154,14 +154,14 @@ s AS (SELECT user_id, t, CASE WHEN before IS NULL OR t > before + 28800000 THEN
 x AS (SELECT user_id, t + 28800000 AS t, 'expired' AS status FROM o, b WHERE behind > t + 28800000 OR (behind IS NULL AND t + 28800000 <= epoch_us(mark) // 1000))
 SELECT user_id::VARCHAR AS pid, t AS "at", status FROM (SELECT * FROM l UNION ALL SELECT * FROM s UNION ALL SELECT * FROM x)""")
 def stream_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users as PIDs that are forgotten after eight hours; the third file repeats rows of the first, which come late and go to a table of their own."""
+    """Users as PIDs that are forgotten after eight hours; the third batch repeats rows of the first, which come late and go to a table of their own."""
     base, events = scratch_dir(spark), table(spark, sf_dir, "events")
     middle = F.lit(events.agg(F.max("event_id")).first()[0] // 2)
     k = F.col("event_id")
-    for part in (k <= middle, k > middle, (k <= middle) & (k % 20 == 0)):
-        events.where(part).coalesce(1).write.mode("append").parquet(f"{base}/events")
-    stream = ingest.files(spark, f"{base}/events", events.schema, maxFilesPerTrigger=1)
-    ingest.run(state.sightings(stream, "user_id", "ts", 8 * 3600), f"{base}/state", state.tables(f"{base}/out"))
+    for part in (k <= middle, k > middle, (k <= middle) & (k % 20 == 0)):  # what has come since the last run is a batch, of any number of files
+        events.where(part).write.mode("append").parquet(f"{base}/events")
+        stream = ingest.files(spark, f"{base}/events", events.schema)
+        ingest.run(state.sightings(stream, "user_id", "ts", 8 * 3600), f"{base}/state", state.tables(f"{base}/out"))
     return state.read(spark, f"{base}/out", "seen").unionByName(state.read(spark, f"{base}/out", "late"))
 
 

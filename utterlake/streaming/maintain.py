@@ -67,7 +67,7 @@ def writer(base: str, parts: int = PARTS) -> Callable[[DataFrame, int], None]:
     def write(events: DataFrame, number: int) -> None:
         spark = events.sparkSession
         named = events.where("path IS NOT NULL").withColumns({"removed": F.coalesce("removed", F.lit(False)), "part": _part(parts), "tie": F.xxhash64("corpus", "utterances")})
-        _latest(named, "at", "removed", "tie").select("path", "removed", "corpus", "utterances", "part").repartition("part").write.mode("overwrite").partitionBy("part").parquet(_folder(base, "file", number))
+        _latest(named, "at", "removed", "tie").select("path", "removed", "corpus", "utterances", "part").hint("rebalance", "part").write.mode("overwrite").partitionBy("part").parquet(_folder(base, "file", number))
         new = _read(spark, base, "file").where(F.col("batch") == number)
         keys = new.select("path", "part")
         old = _read(spark, base, "file", number).join(keys, ["part", "path"], "left_semi")

@@ -12,7 +12,7 @@ from utterlake.operators import release_diff
 from utterlake.plans.adapters import UTT, table, utt
 from utterlake.plans.catalogue import query
 from utterlake.session import scratch_dir
-from utterlake.sources import append, keyset, tables
+from utterlake.sources import append, keyset, sqlite, tables
 from utterlake.streaming import ingest, maintain, state
 
 PATH = ("collection", "corpus", "transcript")
@@ -184,10 +184,10 @@ def keyset_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderkey % 3 AS batch FROM orders")
 def appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table appended to a database in three batches, each of which comes twice. The database lives in the session's own process."""
+    """A table appended to a database in three batches, each of which comes twice. The database lies in the shared folder."""
     base, k = scratch_dir(spark), F.col("o_orderkey") % 3
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", k.alias("batch"))
-    url, driver = f"jdbc:derby:memory:{base.rsplit('-', 1)[1]};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    url = sqlite.new(f"{base}/database")
     for batch in (0, 1, 0, 2, 1, 2):
-        append.append_once(rows.where(k == batch), url, "orders", f"batch {batch}", f"{base}/batches", 8, driver)
-    return spark.read.jdbc(url, "orders", properties=driver)
+        append.append_once(rows.where(k == batch), url, "orders", f"batch {batch}", f"{base}/batches", 8)
+    return keyset.read(spark, url, "orders", "rowid", 8, {})

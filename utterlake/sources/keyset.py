@@ -2,7 +2,8 @@
 
 Keys are rarely even: ids come in blocks, and rows are deleted. The database counts rows in cells of the key's span, at most CELLS rows an answer; cells
 that hold more than a task's share are counted again by themselves, and ranges are cut from the cells in order. A task's query is a range of the key, so
-that the database walks its index once and no page is found by skipping rows.
+that the database walks its index once and no page is found by skipping rows. In an SQLite database (`sources.sqlite`) tasks count the cells, each by its
+part of the index; the key is an indexed column or rowid.
 
 An export covers the keys above the last one exported, up to the largest as it began. Its rows go to a folder of that key, and only once they are
 written does the key enter the ledger; a failed export leaves a folder that no reader looks at and that the next one replaces or ignores. Keys must grow:
@@ -16,6 +17,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from utterlake.sources import sqlite
+
 CELLS = 1000
 
 
@@ -29,15 +32,26 @@ def ranges(spark: SparkSession, url: str, table: str, key: str, parts: int, prop
 
     def cells(low: int, high: int) -> list[tuple[int, int, int]]:
         width = (high - low) // CELLS + 1
+        if sqlite.at(url):
+            counts = [f"SELECT MIN({key}), MAX({key}), COUNT(*) FROM {table} WHERE {key} >= {i} AND {key} <= {min(i + width - 1, high)}" for i in range(low, high + 1, width)]
+            found = sqlite.select(spark, url, counts, "lo long, hi long, n long", tasks=parts).where("n > 0").collect()
+            return sorted((r.lo, r.hi, r.n) for r in found)
         offset = f"({key} - {low})"
         cell = f"SELECT ({offset} - MOD({offset}, {width})) / {width} AS cell, {key} AS k FROM {table} WHERE {key} >= {low} AND {key} <= {high}"
         found = _one(spark, url, f"SELECT MIN(k) AS lo, MAX(k) AS hi, COUNT(*) AS n FROM ({cell}) c GROUP BY cell", properties)
         return sorted((int(r[0]), int(r[1]), int(r[2])) for r in found)
 
-    (low, high, n), = _one(spark, url, f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {table} WHERE {above}", properties)
+    if sqlite.at(url):
+        ends = ", ".join(f"(SELECT {f}({key}) FROM {table} WHERE {above})" for f in ("MIN", "MAX"))  # by the index's ends
+        (low, high), = sqlite.select(spark, url, [f"SELECT {ends}"], "lo long, hi long").collect()
+        left = [] if low is None else cells(low, high)
+        n = sum(c[2] for c in left)
+    else:
+        (low, high, n), = _one(spark, url, f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {table} WHERE {above}", properties)
+        left = [(int(low), int(high), int(n))] if n else []
     if not n:
         return []
-    share, left, fine = -(-int(n) // parts), [(int(low), int(high), int(n))], []
+    share, fine = -(-int(n) // parts), []
     while left:
         low, high, n = left.pop()
         if n <= share // 4 or low == high:
@@ -63,6 +77,10 @@ def read(spark: SparkSession, url: str, table: str, key: str, parts: int, proper
 
 def _of(spark: SparkSession, url: str, table: str, key: str, found: list[tuple[int, int, int]], properties: Mapping[str, str]) -> DataFrame:
     wanted = [f"{key} >= {low} AND {key} <= {high}" for low, high, _ in found] or ["1 = 0"]
+    if sqlite.at(url):
+        schema = sqlite.schema(url, table)
+        columns = ", ".join(map(sqlite.named, schema.names))
+        return sqlite.select(spark, url, [f"SELECT {columns} FROM {table} WHERE {w}" for w in wanted], schema)
     return spark.read.jdbc(url, table, predicates=wanted, properties=dict(properties))
 
 

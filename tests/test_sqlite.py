@@ -1,6 +1,7 @@
 """Databases in a shared folder, which every process opens by itself."""
 
 import os
+import random
 import subprocess
 import sys
 from pathlib import Path
@@ -32,7 +33,7 @@ def rows(spark):
     return spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("id"), F.when(F.col("id") % 5 > 0, F.concat(F.lit("w\0é"), F.col("id") % 3)).alias("gloss"), (F.col("id") / 7).alias("x y"))
 
 
-@pytest.mark.parametrize("query", ["appended_once"])
+@pytest.mark.parametrize("query", ["appended_once", "keyset_export"])
 def test_executors_reach_the_database(tmp_path, query):
     home = tmp_path / "home"  # executors' logs go to Spark's home
     home.mkdir()
@@ -80,6 +81,29 @@ def test_a_task_that_fails_leaves_nothing_and_one_that_runs_again_adds_nothing(s
     assert sorted(r[0] for r in held(spark, url)) == list(range(20)) and append._ledger(spark, url, "append_ledger", "a", {}) == {0, 1}
 
 
+@pytest.mark.parametrize("shape", ["even", "blocks", "far", "same", "negative"])
+def test_ranges_hold_even_shares(spark, shape, tmp_path):
+    rng = random.Random(1)
+    ids = {
+        "even": range(1, 3001),
+        "blocks": [*range(1, 2001), *range(10**9 + 1, 10**9 + 801), *rng.sample(range(10**12, 2 * 10**12), 200)],
+        "far": [*range(2999), 9 * 10**18],
+        "same": [5] * 1500 + list(range(6, 1506)),
+        "negative": [-(i**3) for i in range(3000)],
+    }[shape]
+    url, rows = sqlite.new(str(tmp_path)), spark.createDataFrame([(i,) for i in ids], "id long")
+    sqlite.create(url, "token", rows.schema, key="id")
+    assert keyset.ranges(spark, url, "token", '"id"', 10, {}) == [] and keyset.read(spark, url, "token", '"id"', 4, {}).count() == 0
+    append.append_once(rows, url, "token", "a", f"{tmp_path}/batches", 4)
+    found = keyset.ranges(spark, url, "token", '"id"', 10, {})
+    sizes = [sum(low <= i <= high for i in ids) for low, high, _ in found]
+    assert sizes == [n for *_, n in found] and sum(sizes) == 3000 and max(sizes) <= (1500 if shape == "same" else 300) and len(found) <= 20
+    back = keyset.read(spark, url, "token", '"id"', 10, {})
+    assert back.rdd.getNumPartitions() == len(found) and sorted(r.id for r in back.collect()) == sorted(ids)
+    after = sorted(ids)[1000]
+    assert keyset.read(spark, url, "token", '"id"', 4, {}, after).count() == sum(i > after for i in ids)
+
+
 def test_a_store_that_is_no_folder_is_an_error():
     with pytest.raises(ValueError):
         sqlite.new("hdfs://host/shared")

@@ -168,15 +168,16 @@ def stream_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey * 10 > 9 * m THEN o_orderkey * 1000000 ELSE o_orderkey END AS id, CASE WHEN o_orderkey <= m // 2 THEN 1 ELSE 2 END AS export
 FROM orders, (SELECT max(o_orderkey) AS m FROM orders)""")
 def keyset_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A database table with uneven ids exported twice, the second time for its new rows alone. The database lives in the session's own process."""
+    """A database table with uneven ids exported twice, the second time for its new rows alone. The database lies in the shared folder."""
     rows, base = table(spark, sf_dir, "orders").select("o_orderkey"), scratch_dir(spark)
     most = rows.agg(F.max("o_orderkey")).first()[0] or 0
     k = F.col("o_orderkey")
     rows = rows.withColumn("id", F.when(k * 10 > 9 * most, k * 1_000_000).otherwise(k))
-    url, driver = f"jdbc:derby:memory:{base.rsplit('-', 1)[1]};create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    for new in (k <= most // 2, k > most // 2):
-        tables.write_jdbc(rows.where(new), url, "orders", "append", driver)
-        keyset.export_new(spark, url, "orders", '"id"', base, 8, driver)
+    url = sqlite.new(f"{base}/database")
+    sqlite.create(url, "orders", rows.schema, key="id")
+    for batch, new in (("old", k <= most // 2), ("new", k > most // 2)):
+        append.append_once(rows.where(new), url, "orders", batch, f"{base}/batches", 8)
+        keyset.export_new(spark, url, "orders", '"id"', base, 8, {})
     number = F.dense_rank().over(W.orderBy("upto"))
     exports = keyset.exported(spark, base).select("upto").distinct().withColumn("export", number)  # a row for each export
     return keyset.exported(spark, base).join(exports, "upto").select("o_orderkey", "id", "export")

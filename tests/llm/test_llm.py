@@ -301,6 +301,20 @@ def test_substring_pieces(monkeypatch):
     assert n == 9000 - 400 + 1 and starts == list(range(n))
 
 
+@pytest.mark.parametrize("hot", [500, 0])
+def test_substring_texts_of_several_pieces(spark, hot, monkeypatch):
+    """Where a text is cut into pieces, two of them share an anchor; only what another text holds as well is removed."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    rng = np.random.default_rng(3)
+    unique, long = (rng.integers(97, 123, substrings.PIECE + n).astype(np.uint8).tobytes().decode() for n in (9_000, 20_000))
+    at = substrings.PIECE - 400 + 1
+    texts = [unique, long, f"A{long[at - 500 : at + 500]}B", unique[at - 200 : at + 199]]
+    got = {r.doc_id: tuple(r)[1:] for r in substrings.removal(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    kept = [unique, long[: at - 500] + long[at + 500 :], "AB", texts[3]]
+    for i, (t, k) in enumerate(zip(texts, kept)):
+        assert got[i] == (len(t), len(t) - len(k), int(len(t) > len(k)), hashlib.sha256(k.encode()).hexdigest()), i
+
+
 def test_substrings_of_nothing(spark):
     assert substrings.removal(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
